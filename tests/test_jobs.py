@@ -1,0 +1,103 @@
+"""Golden end-to-end run of the ledger jobs on the generated fixtures."""
+
+from collections import Counter
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import TERM_COUNTS, write_fixtures
+from ledgerflow.plans import jobs
+
+
+@pytest.fixture()
+def cfg(tmp_path):
+    src = write_fixtures(tmp_path / "input")
+    return jobs.JobConfig(source_path=str(src), target_path=str(tmp_path / "out"), as_of=date(2023, 9, 15))
+
+
+def quarantine(spark, cfg):
+    postal = jobs.compute_postal_codes(spark, cfg.src(cfg.postal_codes_file))
+    return jobs.compute_purchases_quarantine(jobs.read_purchases(spark, cfg.src(cfg.purchases_file)), postal)
+
+
+def test_golden_quarantine(spark, cfg):
+    v = quarantine(spark, cfg)
+    acc = v.accepted.collect()
+    rej = v.rejected.collect()
+    assert len(acc) == 25
+    assert len(rej) == 30
+    assert Counter(r["inconsistencies"] for r in rej) == {
+        "invalid CNPJ": 22, "null column(s)": 4, "null column(s), invalid CNPJ": 2, "duplicated": 2,
+    }
+    stats = v.stats().first()
+    assert (stats["written"], stats["rejected"]) == (25, 30)
+    # both outputs are distinct rows; duplicated rows are also accepted
+    assert len({tuple(r) for r in acc}) == 25
+    dup = {tuple(r)[:-1] for r in rej if r["inconsistencies"] == "duplicated"}
+    assert dup <= {tuple(r) for r in acc}
+    # cleaning: names upper-case, terms canonical, empty COMPLEMENTO filled
+    assert all(r["NOME_FORNECEDOR"] == r["NOME_FORNECEDOR"].upper() for r in acc)
+    assert {r["CONDICAO_PAGAMENTO"] for r in acc} == set(TERM_COUNTS)
+    assert "N/A" in {r["COMPLEMENTO"] for r in acc}
+
+
+def test_golden_rule_counts(spark, cfg):
+    counts = {r["rule"]: r["failures"] for r in quarantine(spark, cfg).rule_counts().collect()}
+    assert counts == {"duplicated": 2, "null column(s)": 6, "invalid payment condition": 0, "invalid CNPJ": 24, "invalid CEP": 0}
+
+
+def test_run_all_lake(spark, cfg):
+    out = jobs.run_all(spark, cfg)
+    assert out["CEP"] == {"INSERT": 30, "UPDATE": 0}
+    assert out["CONDICAO_PAGAMENTO"] == {"INSERT": 7, "UPDATE": 0}
+    assert out["TIPO_ENDERECO"] == {"INSERT": 8, "UPDATE": 0}
+    assert out["quarantine"] == {"written": 25, "rejected": 30}
+    assert out["FORNECEDORES"] == {"INSERT": 23, "UPDATE": 0}
+    assert out["ENDERECOS_FORNECEDORES"] == {"INSERT": 23, "UPDATE": 0}
+    assert out["NOTAS_FISCAIS_ENTRADA"] == {"INSERT": 25, "UPDATE": 0}
+    assert out["PROGRAMACAO_PAGAMENTO"] == {"INSERT": 52, "UPDATE": 0}
+
+    t = jobs.tables_for(spark, cfg)
+    sup = t.read("FORNECEDORES").collect()
+    assert sorted(r["ID_FORNECEDOR"] for r in sup) == list(range(1, 24))
+    inv = t.read("NOTAS_FISCAIS_ENTRADA")
+    assert inv.where(F.col("ID_CONDICAO").isNull()).count() == 0
+    assert dict(inv.dtypes)["VALOR_TOTAL"] == "decimal(10,2)"
+    sched = t.read("PROGRAMACAO_PAGAMENTO")
+    rows = sched.collect()
+    assert len(rows) == 52
+    assert len({r["ID_PROG_PAGAMENTO"] for r in rows}) == 52
+    # shares add up to each invoice total (exact decimals, tolerance 1e-9)
+    totals = {r["ID_NF_ENTRADA"]: r["VALOR_TOTAL"] for r in inv.collect()}
+    per_inv = Counter()
+    for r in rows:
+        per_inv[r["ID_NF_ENTRADA"]] += r["VALOR_PARCELA"]
+    for k, s in per_inv.items():
+        assert abs(s - totals[k]) <= Decimal("1e-9")
+    # issued 2023-07-01, as of 2023-09-15: months 0-2 paid, later pending
+    for r in rows:
+        expect = "PAGO" if r["DATA_VENCIMENTO"] <= date(2023, 9, 15) else "PENDENTE"
+        assert r["STATUS_PAGAMENTO"] == expect
+    addr = t.read("ENDERECOS_FORNECEDORES").collect()
+    assert len(addr) == 23 and {r["ID_TIPO_ENDERECO"] for r in addr} == {8}
+
+    # re-run: everything matches, nothing is inserted; pending rows are
+    # recomputed and win over the stored pending copies
+    again = jobs.run_all(spark, cfg)
+    assert again["FORNECEDORES"] == {"INSERT": 0, "UPDATE": 23}
+    assert again["NOTAS_FISCAIS_ENTRADA"] == {"INSERT": 0, "UPDATE": 25}
+    assert again["PROGRAMACAO_PAGAMENTO"] == {"INSERT": 0, "UPDATE": 52}
+    assert t.read("PROGRAMACAO_PAGAMENTO").count() == 52
+    assert sorted(r["ID_FORNECEDOR"] for r in t.read("FORNECEDORES").collect()) == list(range(1, 24))
+
+
+def test_rejected_csv_written(spark, cfg, tmp_path):
+    jobs.run_postal_codes(spark, cfg)
+    stats = jobs.run_quarantine(spark, cfg)
+    assert stats == {"written": 25, "rejected": 30}
+    back = spark.read.option("header", True).option("sep", ";").csv(cfg.out("rejected/purchases"))
+    assert back.count() == 30
+    assert back.columns[-1] == "inconsistencies"
+    assert spark.read.parquet(cfg.out("staging/purchases")).count() == 25
