@@ -13,7 +13,7 @@ from ledgerflow.functions.clean import (
     upper_trim,
     with_row_ids,
 )
-from ledgerflow.functions.checks import cnpj_is_valid, digits_only
+from ledgerflow.functions.checks import cnpj_is_valid, digits_only, with_cnpj_valid
 
 __all__ = [
     "canonicalize",
@@ -29,4 +29,5 @@ __all__ = [
     "with_row_ids",
     "cnpj_is_valid",
     "digits_only",
+    "with_cnpj_valid",
 ]

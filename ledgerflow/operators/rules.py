@@ -29,7 +29,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.checks import cnpj_is_valid
+from ledgerflow.functions.checks import cnpj_is_valid, with_cnpj_valid
 from ledgerflow.functions.clean import concat_labels
 from ledgerflow.operators.joins import DEFAULT_BROADCAST_ROWS, is_bounded, lookup_join
 
@@ -52,6 +52,8 @@ class Rule:
     dim: DataFrame | None = None
     dim_key: ColumnOrName | None = None
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
+    # "frame" rules add their own boolean *pass* column: (df, name) -> df
+    add_ok: Callable[[DataFrame, str], DataFrame] | None = None
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -118,7 +120,9 @@ def rule_check_digit(column: ColumnOrName, label: str, kind: str = "cnpj", *, bl
     """Fires when the id fails its check digits (D1d). NULL fires."""
     if kind != "cnpj":
         raise ValueError(f"unknown check-digit scheme {kind!r}")
-    return Rule(label=label, kind="row", fails=lambda df: ~cnpj_is_valid(_col(column)), blocking=blocking)
+    if isinstance(column, str):
+        return Rule(label=label, kind="frame", add_ok=lambda df, name: with_cnpj_valid(df, column, name), blocking=blocking)
+    return Rule(label=label, kind="row", fails=lambda df: ~cnpj_is_valid(column), blocking=blocking)
 
 
 def rule_duplicated(label: str = "duplicated", *, blocking: bool = False) -> Rule:
@@ -193,6 +197,8 @@ def validate(
             g = g.withColumn(name, F.col(count_col) > 1)
         elif rule.kind == "row":
             g = g.withColumn(name, F.coalesce(rule.fails(g), F.lit(False)))
+        elif rule.kind == "frame":
+            g = rule.add_ok(g, name).withColumn(name, ~F.coalesce(F.col(name), F.lit(False)))
         elif rule.kind == "lookup":
             hit = f"__lf_hit{i}"
             dim_keys = rule.dim.select(_col(rule.dim_key).alias("__lf_dk")).where(F.col("__lf_dk").isNotNull())

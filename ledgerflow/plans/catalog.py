@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.functions import canonicalize, cnpj_is_valid, fill_null, parse_date, to_decimal, trim_strings, try_int, upper_trim, with_row_ids
+from ledgerflow.functions import canonicalize, with_cnpj_valid, fill_null, parse_date, to_decimal, trim_strings, try_int, upper_trim, with_row_ids
 from ledgerflow.operators import (
     Lookup,
     assign_surrogate_keys,
@@ -271,7 +271,7 @@ def _tax_ids(spark, sf_dir):
 
 
 def rule_check_digit(spark, sf_dir):
-    return _tax_ids(spark, sf_dir).select("o_orderkey", "tax_id", cnpj_is_valid("tax_id").alias("ok"))
+    return with_cnpj_valid(_tax_ids(spark, sf_dir), "tax_id", "ok")
 
 
 def rule_duplicated_q(spark, sf_dir):

@@ -81,6 +81,7 @@ class JobConfig:
     term_aliases: Mapping[str, str] = field(default_factory=lambda: dict(TERM_ALIASES))
     as_of: date | str | None = None        # payment status reference day; None = today
     jdbc: object | None = None             # JdbcConfig → tables in a database
+    jdbc_upsert_method: str = "merge"      # or "update_insert"
 
     def src(self, name: str) -> str:
         return f"{self.source_path.rstrip('/')}/{name}"
@@ -91,7 +92,7 @@ class JobConfig:
 
 def tables_for(spark: SparkSession, cfg: JobConfig):
     if cfg.jdbc is not None:
-        return JdbcTables(spark, cfg.jdbc)
+        return JdbcTables(spark, cfg.jdbc, cfg.jdbc_upsert_method)
     return LakeTables(spark, cfg.out("tables"))
 
 

@@ -121,6 +121,7 @@ class LakeTables:
 class JdbcTables:
     spark: SparkSession
     cfg: J.JdbcConfig
+    method: str = "merge"
 
     def read(self, name: str) -> DataFrame:
         return J.read_jdbc(self.spark, self.cfg, table=name)
@@ -128,7 +129,8 @@ class JdbcTables:
     def upsert(self, name: str, source: DataFrame, **kw) -> dict[str, int]:
         spec = TABLES[name]
         source = conform(source, name)
-        return J.upsert_jdbc(source, self.cfg, name, spec["keys"], column_types=J.string_column_types(source, 4000), **kw)
+        return J.upsert_jdbc(source, self.cfg, name, spec["keys"], column_types=J.string_column_types(source, 4000),
+                             method=self.method, **kw)
 
 
 def pending_rows(schedule: DataFrame, pending_label: str, columns: Sequence[str]) -> DataFrame:
