@@ -163,6 +163,18 @@ class Validation:
         pairs = ", ".join(f"'{r.label.replace(chr(39), chr(39) * 2)}', r{i}" for i, r in enumerate(self.rules))
         return one.selectExpr(f"stack({len(self.rules)}, {pairs}) AS (rule, failures)")
 
+    def materialize(self, path: str) -> "Validation":
+        """Write the annotated rows once (Parquet at ``path``, a shared folder)
+        and return a Validation reading them back.
+
+        Both outputs then come from a columnar scan instead of a second run
+        of the grouping shuffle, and unlike a cache the written rows survive
+        the loss of an executor.
+        """
+        self.annotated.write.mode("overwrite").parquet(path)
+        back = self.annotated.sparkSession.read.parquet(path)
+        return Validation(back, self.columns, self.rules, self.count_col, self.reasons_col)
+
     @contextmanager
     def persisted(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
         """Keep the annotated rows while both outputs are written, then release.
@@ -216,6 +228,10 @@ def validate(
         fired = fired | fc
         if rule.blocking:
             blocked = blocked | fc
+    # ``count > 0`` always holds; it ties the flag to the aggregate's output
+    # so a filter on it is not pushed below the aggregation, where the rule
+    # expressions would be re-inlined and evaluated on every input row
+    blocked = blocked & (F.col(count_col) > 0)
     annotated = g.select(
         *cols,
         F.col(count_col),
