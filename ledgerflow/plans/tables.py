@@ -123,8 +123,20 @@ class JdbcTables:
     cfg: J.JdbcConfig
     method: str = "merge"
 
+    num_partitions: int | None = None
+
     def read(self, name: str) -> DataFrame:
-        return J.read_jdbc(self.spark, self.cfg, table=name)
+        """Whole-table read, split into parallel range scans on the identity
+        (or single integer key) column."""
+        spec = TABLES[name]
+        types = dict(spec["schema"])
+        col = spec["identity"]
+        if col is None and len(spec["keys"]) == 1 and isinstance(types[spec["keys"][0]], (T.IntegerType, T.LongType)):
+            col = spec["keys"][0]
+        if col is None:
+            return J.read_jdbc(self.spark, self.cfg, table=name)
+        parts = self.num_partitions or self.spark.sparkContext.defaultParallelism
+        return J.read_jdbc(self.spark, self.cfg, table=name, partition_column=col, num_partitions=parts)
 
     def upsert(self, name: str, source: DataFrame, **kw) -> dict[str, int]:
         spec = TABLES[name]
