@@ -23,15 +23,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many rows are broadcast by default (keys + a few columns:
-# tens of MB at most).
+# At most this many rows are broadcast by default, and at most this many
+# bytes (estimated from the schema): keys plus a few columns.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# A side whose optimizer size estimate exceeds this is not counted at all
+# (the count itself would read too much); it takes the shuffle path and AQE
+# may still broadcast it if its real shuffle output turns out small.
+SKIP_CHECK_BYTES = 8 * 1024**3
 NULL_SPREAD = 1024
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows (bounded-cost check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _estimated_bytes(df: DataFrame) -> int | None:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate available
+        return None
+
+
+def _row_bytes(df: DataFrame) -> int:
+    # Spark's default size per type (strings count 20 bytes) plus row overhead
+    return 8 + sum(f.dataType.defaultSize() if hasattr(f.dataType, "defaultSize") else 8 for f in df.schema.fields)
+
+
+def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True only if ``df`` provably has at most ``max_rows`` rows and at most
+    ``max_bytes`` estimated bytes (rows x schema row width).
+
+    The proof is ``df.limit(n + 1).count()``; it is skipped (answer False)
+    when the optimizer already estimates ``df`` beyond ``SKIP_CHECK_BYTES``.
+    """
+    limit = min(max_rows, max(1, max_bytes // _row_bytes(df)))
+    est = _estimated_bytes(df)
+    if est is not None and est > SKIP_CHECK_BYTES:
+        return False
+    return df.limit(limit + 1).count() <= limit
 
 
 def null_spread(df: DataFrame, keys: Sequence[str], name: str, buckets: int = NULL_SPREAD) -> DataFrame:
