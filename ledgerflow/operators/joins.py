@@ -55,7 +55,9 @@ def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_
     """
     limit = min(max_rows, max(1, max_bytes // _row_bytes(df)))
     est = _estimated_bytes(df)
-    if est is not None and est > SKIP_CHECK_BYTES:
+    # an unknown size (RDD or JDBC relation) is reported as ~Long.MaxValue:
+    # then count (a JDBC source receives the LIMIT)
+    if est is not None and SKIP_CHECK_BYTES < est < 2**62:
         return False
     return df.limit(limit + 1).count() <= limit
 
