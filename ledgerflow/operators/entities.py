@@ -43,6 +43,7 @@ class Lookup:
     how: str = "inner"
     casefold: bool = False
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
+    salt_hot_keys: int | None = None  # see operators.joins.lookup_join
 
 
 def resolve_keys(df: DataFrame, lookups: Sequence[Lookup], observe: Observation | None = None) -> DataFrame:
@@ -65,9 +66,11 @@ def resolve_keys(df: DataFrame, lookups: Sequence[Lookup], observe: Observation
         if how not in ("inner", "left"):
             raise ValueError(f"unsupported lookup type {lk.how!r}")
         if how == "inner" and observe is None:
-            out = lookup_join(out, right, [key], [lk.dim_key], "inner", broadcast_rows=lk.broadcast_rows).drop(marker)
+            out = lookup_join(out, right, [key], [lk.dim_key], "inner", broadcast_rows=lk.broadcast_rows,
+                              salt_hot_keys=lk.salt_hot_keys).drop(marker)
             continue
-        out = lookup_join(out, right, [key], [lk.dim_key], "left", broadcast_rows=lk.broadcast_rows)
+        out = lookup_join(out, right, [key], [lk.dim_key], "left", broadcast_rows=lk.broadcast_rows,
+                          salt_hot_keys=lk.salt_hot_keys)
         if how == "inner":
             markers.append((i, marker))
         else:

@@ -55,9 +55,10 @@ def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_
     """
     limit = min(max_rows, max(1, max_bytes // _row_bytes(df)))
     est = _estimated_bytes(df)
-    # an unknown size (RDD or JDBC relation) is reported as ~Long.MaxValue:
-    # then count (a JDBC source receives the LIMIT)
-    if est is not None and SKIP_CHECK_BYTES < est < 2**62:
+    # an unknown size (RDD or JDBC relation, or plans derived from one) is
+    # reported near Long.MaxValue; no real input is 2^56 bytes, so such
+    # estimates mean "unknown": then count (a JDBC source receives the LIMIT)
+    if est is not None and SKIP_CHECK_BYTES < est < 2**56:
         return False
     return df.limit(limit + 1).count() <= limit
 
@@ -88,6 +89,8 @@ def lookup_join(
     *,
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
     bounded: bool | None = None,
+    salt_hot_keys: int | None = None,
+    salt_buckets: int = 64,
 ) -> DataFrame:
     """Equi-join ``left`` to ``right`` where ``left_on[i] == right[right_on[i]]``.
 
@@ -100,6 +103,13 @@ def lookup_join(
 
     Keys are joined under fresh internal names, so self-joins (``right``
     derived from ``left``) are unambiguous.
+
+    ``salt_hot_keys=n`` (shuffle path only): keys with at least ``n`` rows on
+    the left are found with one partial aggregation (there are at most
+    rows / n of them, a proven bound, so they are broadcast). Their left rows
+    are scattered over ``salt_buckets`` salts and their right rows are
+    replicated once per salt, so one hot key is spread over many tasks.
+    Other keys keep salt 0.
     """
     how = _HOW.get(how.lower(), how.lower())
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -119,10 +129,15 @@ def lookup_join(
     pairs = list(zip(lk, rk))
     if bounded:
         r = F.broadcast(r)
-    elif how in ("left", "left_anti"):
+    else:
         spread = "__lf_spread"
-        l = null_spread(l, lk, spread)
+        if how in ("left", "left_anti"):
+            l = null_spread(l, lk, spread)  # NULL keys: 1..NULL_SPREAD
+        else:
+            l = l.withColumn(spread, F.lit(0))
         r = r.withColumn(spread + "_r", F.lit(0))
+        if salt_hot_keys:
+            l, r = _salt_hot(l, r, lk, rk, spread, salt_hot_keys, salt_buckets)
         pairs.append((spread, spread + "_r"))
     cond = None
     for a, b in pairs:
@@ -132,6 +147,35 @@ def lookup_join(
     return joined.select(*left.columns, *extra)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """Non-NULL key values with at least ``min_rows`` rows (partial aggregation)."""
+    set_all = F.lit(True)
+    for k in keys:
+        set_all = set_all & F.col(k).isNotNull()
+    return df.where(set_all).groupBy(*keys).agg(F.count(F.lit(1)).alias("__lf_cnt")).where(F.col("__lf_cnt") >= min_rows).select(*keys)
+
+
+def _salt_hot(l: DataFrame, r: DataFrame, lk: list[str], rk: list[str], spread: str, min_rows: int, buckets: int):
+    hot = hot_keys(l, lk, min_rows)
+    if not is_bounded(hot, DEFAULT_BROADCAST_ROWS):
+        raise ValueError(f"salt_hot_keys={min_rows} selects too many keys to broadcast; raise it")
+    hot_l = F.broadcast(hot.withColumn("__lf_hot", F.lit(True)))
+    hot_r = F.broadcast(hot.select(*[F.col(a).alias(b) for a, b in zip(lk, rk)]).withColumn("__lf_hot", F.lit(True)))
+    lsalt = F.pmod(F.xxhash64(*[F.col(c) for c in l.columns]), F.lit(buckets))
+    l = (
+        l.join(hot_l, list(lk), "left")
+        .withColumn(spread, F.when(F.col("__lf_hot"), -1 - lsalt).otherwise(F.col(spread)))
+        .drop("__lf_hot")
+    )
+    salts = F.when(F.col("__lf_hot"), F.sequence(F.lit(-buckets), F.lit(-1))).otherwise(F.array(F.lit(0)))
+    r = (
+        r.join(hot_r, list(rk), "left")
+        .withColumn(spread + "_r", F.explode(salts))
+        .drop("__lf_hot")
+    )
+    return l, r
+
+
 def subtract_by_key(df: DataFrame, other: DataFrame, keys: Sequence[str], **kw) -> DataFrame:
     """Rows of ``df`` whose key is not in ``other`` (J1, a left anti join)."""
     return lookup_join(df, other.select(*keys), list(keys), list(keys), "left_anti", **kw)

@@ -54,6 +54,7 @@ class Rule:
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
     # "frame" rules add their own boolean *pass* column: (df, name) -> df
     add_ok: Callable[[DataFrame, str], DataFrame] | None = None
+    salt_hot_keys: int | None = None
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -103,17 +104,20 @@ def rule_in_lookup(
     *,
     blocking: bool = True,
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    salt_hot_keys: int | None = None,
 ) -> Rule:
     """Fires when ``key`` has no match in ``dim[dim_key]``.
 
     ``key`` may be an expression, e.g. a parsed integer of a text column. A
-    NULL or unparseable key has no match, so it fires.
+    NULL or unparseable key has no match, so it fires. ``salt_hot_keys``
+    spreads keys with that many distinct rows when the lookup shuffles.
     """
     if isinstance(key, (str, Column)):
         kf = lambda df, k=key: _col(k)
     else:
         kf = key
-    return Rule(label=label, kind="lookup", key=kf, dim=dim, dim_key=dim_key, blocking=blocking, broadcast_rows=broadcast_rows)
+    return Rule(label=label, kind="lookup", key=kf, dim=dim, dim_key=dim_key, blocking=blocking,
+                broadcast_rows=broadcast_rows, salt_hot_keys=salt_hot_keys)
 
 
 def rule_check_digit(column: ColumnOrName, label: str, kind: str = "cnpj", *, blocking: bool = True) -> Rule:
@@ -217,7 +221,7 @@ def validate(
             # proven bound on the raw key rows (>= distinct keys), cheap to check
             bounded = rule.broadcast_rows is not None and is_bounded(dim_keys, rule.broadcast_rows)
             dim_keys = dim_keys.distinct().withColumn(hit, F.lit(True))
-            g = lookup_join(g, dim_keys, [rule.key(g)], ["__lf_dk"], "left", bounded=bounded)
+            g = lookup_join(g, dim_keys, [rule.key(g)], ["__lf_dk"], "left", bounded=bounded, salt_hot_keys=rule.salt_hot_keys)
             g = g.withColumn(name, F.col(hit).isNull()).drop(hit)
         else:
             raise ValueError(f"unknown rule kind {rule.kind!r}")

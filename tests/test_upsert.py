@@ -88,3 +88,18 @@ def test_constraints(spark):
     assert (r.n, r.n_t, r.n_fk) == (1, 1, 0)
     assert [tuple(r) for r in check_length(df, "t", 3, keep=["a"]).collect()] == [(1, 6)]
     assert merge_stats is not None
+
+
+def test_lookup_join_salted_hot_key(spark):
+    # key 7 holds a third of the rows
+    left = spark.range(0, 3000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))).alias("k"), F.col("id").alias("row"))
+    left = left.union(spark.createDataFrame([(None, -1)], "k long, row long"))
+    right = spark.range(0, 3000, 2).select(F.col("id").alias("rk"), (F.col("id") * 10).alias("val"))
+    def rows(df):
+        return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, x or 0) for x in t))
+
+    for how in ("inner", "left", "left_anti"):
+        plain = rows(lookup_join(left, right, ["k"], ["rk"], how, bounded=True))
+        salted = lookup_join(left, right, ["k"], ["rk"], how, bounded=False, salt_hot_keys=500, salt_buckets=8)
+        assert rows(salted) == plain, how
+        assert "__lf_hot" in salted._jdf.queryExecution().optimizedPlan().toString()
