@@ -153,7 +153,10 @@ def compute_purchases_quarantine(purchases: DataFrame, postal_codes: DataFrame,
 
 
 def read_purchases(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, header=True, sep=",", schema=string_schema(PURCHASE_COLUMNS))
+    """The purchases feed as 17 string columns. The header must name them
+    (``enforceSchema=false``: a renamed or reordered column fails the read
+    instead of shifting values into the wrong column)."""
+    return read_csv(spark, path, header=True, sep=",", schema=string_schema(PURCHASE_COLUMNS), enforceSchema="false")
 
 
 # ---------------------------------------------------------------- entities

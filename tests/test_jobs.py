@@ -101,3 +101,13 @@ def test_rejected_csv_written(spark, cfg, tmp_path):
     assert back.count() == 30
     assert back.columns[-1] == "inconsistencies"
     assert spark.read.parquet(cfg.out("staging/purchases")).count() == 25
+
+
+def test_purchases_header_is_checked(spark, tmp_path):
+    from fixtures import COLUMNS, purchase_rows, to_csv
+
+    swapped = [COLUMNS[1], COLUMNS[0], *COLUMNS[2:]]
+    path = tmp_path / "bad.csv"
+    path.write_text(to_csv(purchase_rows()[:2], columns=swapped), encoding="utf-8")
+    with pytest.raises(Exception):
+        jobs.read_purchases(spark, str(path)).collect()
