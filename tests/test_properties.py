@@ -42,8 +42,8 @@ KEYED = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.integers(
 
 
 @SETTINGS
-@given(target=KEYED, source=KEYED)
-def test_upsert_matches_model(spark, target, source):
+@given(target=KEYED, source=KEYED, strategy=st.sampled_from(["shuffle", "broadcast"]))
+def test_upsert_matches_model(spark, target, source, strategy):
     # keep source keys unique (non-NULL), as the default mode requires
     seen, src = set(), []
     for k, v in source:
@@ -53,7 +53,7 @@ def test_upsert_matches_model(spark, target, source):
                 seen.add(k)
     t = spark.createDataFrame(target, "k int, v int")
     s = spark.createDataFrame(src, "k int, v int")
-    res = upsert_snapshot(t, s, ["k"])
+    res = upsert_snapshot(t, s, ["k"], strategy=strategy)
     src_keys = {k for k, _ in src if k is not None}
     # matched target rows are replaced by their source row; unmatched source rows are inserted
     model = [(k, v) for k, v in target if k is None or k not in src_keys] + list(src)

@@ -12,10 +12,11 @@ def stats(res):
     return {r.action: r.cnt for r in res.stats.collect()}
 
 
-def test_upsert_insert_update_keep_and_null_keys(spark):
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_upsert_insert_update_keep_and_null_keys(spark, strategy):
     target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "t")], "k int, v string")
     source = spark.createDataFrame([(2, "B"), (3, "C"), (None, "s1"), (None, "s2")], "k int, v string")
-    res = upsert_snapshot(target, source, ["k"])
+    res = upsert_snapshot(target, source, ["k"], strategy=strategy)
     state = sorted((r.k or 0, r.v) for r in res.state.collect())
     assert state == [(0, "s1"), (0, "s2"), (0, "t"), (1, "a"), (2, "B"), (3, "C")]
     assert stats(res) == {"UPDATE": 1, "INSERT": 3}
@@ -30,15 +31,26 @@ def test_upsert_duplicates_raise_or_latest(spark):
     assert sorted((r.k or 0, r.v) for r in res.state.collect()) == [(0, "m"), (0, "n"), (1, "y")]
 
 
-def test_upsert_case_insensitive_and_only_changed(spark):
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_upsert_case_insensitive_and_only_changed(spark, strategy):
     target = spark.createDataFrame([("ABC", 1), ("X", 2)], "k string, v int")
     source = spark.createDataFrame([("abc", 1), ("x", 5)], "k string, v int")
-    res = upsert_snapshot(target, source, ["k"], case_insensitive=True)
+    res = upsert_snapshot(target, source, ["k"], case_insensitive=True, strategy=strategy)
     assert sorted(tuple(r) for r in res.state.collect()) == [("abc", 1), ("x", 5)]
-    res = upsert_snapshot(target, source, ["k"], case_insensitive=True, only_changed=True)
+    res = upsert_snapshot(target, source, ["k"], case_insensitive=True, only_changed=True, strategy=strategy)
     assert stats(res) == {"UPDATE": 1}
     # case-sensitive: both are new keys
-    assert stats(upsert_snapshot(target, source, ["k"])) == {"INSERT": 2}
+    assert stats(upsert_snapshot(target, source, ["k"], strategy=strategy)) == {"INSERT": 2}
+
+
+def test_broadcast_merge_does_not_shuffle_the_target(spark):
+    target = spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    source = spark.createDataFrame([(5, -1), (5000, 7)], "k long, v long")
+    merged = upsert_snapshot(target, source, ["k"]).merged
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and "BroadcastHashJoin" in plan
+    rows = {r.k: (r.v, r._action) for r in merged.collect()}
+    assert rows[5] == (-1, "UPDATE") and rows[5000] == (7, "INSERT") and rows[6] == (12, None) and len(rows) == 1001
 
 
 def test_upsert_identity(spark):
