@@ -29,6 +29,7 @@ from ledgerflow.operators.upsert import (
     assert_unique_keys,
     keep_latest,
     merge_frames,
+    merge_parts,
     merge_observation,
     merge_stats,
     upsert_snapshot,

@@ -115,3 +115,13 @@ def test_lookup_join_salted_hot_key(spark):
         salted = lookup_join(left, right, ["k"], ["rk"], how, bounded=False, salt_hot_keys=500, salt_buckets=8)
         assert rows(salted) == plain, how
         assert "__lf_hot" in salted._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_upsert_identity_both_strategies(spark, strategy):
+    target = spark.createDataFrame([(10, "a", "1"), (11, "b", "2"), (12, None, "n")], "id long, k string, v string")
+    source = spark.createDataFrame([("b", "22"), ("c", "3"), (None, "4")], "k string, v string")
+    res = upsert_snapshot(target, source, ["k"], identity_col="id", strategy=strategy)
+    rows = sorted((r.id, r.k, r.v) for r in res.state.collect())
+    assert rows[:3] == [(10, "a", "1"), (11, "b", "22"), (12, None, "n")]
+    assert sorted(r[0] for r in rows[3:]) == [13, 14] and {r[2] for r in rows[3:]} == {"3", "4"}
