@@ -55,8 +55,12 @@ def test_upsert_matches_model(spark, target, source, strategy):
     s = spark.createDataFrame(src, "k int, v int")
     res = upsert_snapshot(t, s, ["k"], strategy=strategy)
     src_keys = {k for k, _ in src if k is not None}
-    # matched target rows are replaced by their source row; unmatched source rows are inserted
-    model = [(k, v) for k, v in target if k is None or k not in src_keys] + list(src)
+    # every matched target row takes its source row's values (MERGE updates
+    # each matching target row); unmatched source rows are inserted
+    src_by_key = {k: v for k, v in src if k is not None}
+    tgt_keys_all = {k for k, _ in target if k is not None}
+    model = [(k, src_by_key[k]) if k is not None and k in src_keys else (k, v) for k, v in target]
+    model += [(k, v) for k, v in src if k is None or k not in tgt_keys_all]
     key = lambda t: (t[0] is None, t[0] or 0, t[1])
     assert sorted((tuple(r) for r in res.state.collect()), key=key) == sorted(model, key=key)
     tgt_keys = {k for k, _ in target if k is not None}
