@@ -111,3 +111,20 @@ def test_purchases_header_is_checked(spark, tmp_path):
     path.write_text(to_csv(purchase_rows()[:2], columns=swapped), encoding="utf-8")
     with pytest.raises(Exception):
         jobs.read_purchases(spark, str(path)).collect()
+
+
+def test_cli_single_jobs(tmp_path):
+    import subprocess
+    import sys
+
+    src = write_fixtures(tmp_path / "input")
+    base = [sys.executable, "-m", "ledgerflow"]
+    common = ["--source-path", str(src), "--target-path", str(tmp_path / "out")]
+    env = {**__import__("os").environ, "PYSPARK_SUBMIT_ARGS": "--master local[2] pyspark-shell"}
+    for job in ("postal-codes", "quarantine"):
+        res = subprocess.run(base + [job] + common, capture_output=True, text=True, timeout=600, env=env,
+                             cwd=str(__import__("pathlib").Path(__file__).resolve().parents[1]))
+        assert res.returncode == 0, res.stderr[-2000:]
+    import json
+
+    assert json.loads(res.stdout.strip().splitlines()[-1]) == {"written": 25, "rejected": 30}
