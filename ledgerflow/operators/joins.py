@@ -10,10 +10,12 @@ Strategy for ``lookup_join(left, right, ...)``:
    are split at runtime by AQE's skew-join handling (enabled in
    ``ledgerflow.session``), which supports inner, left outer, left semi and
    left anti joins.
-3. **NULL keys never match**, but in a shuffle join they all hash to one
-   partition. Rows of the preserved side with a NULL key get a spread value
-   (1..``NULL_SPREAD``) in an extra equi-join column, the other side gets 0,
-   so those rows are scattered over many tasks and still match nothing.
+3. **NULL keys never match**, but in a shuffle join they would all hash to
+   one partition. Rows of the preserved side with a NULL key therefore skip
+   the join: they are selected apart (Parquet null-count statistics let that
+   scan skip row groups without NULLs) and unioned back with NULL lookup
+   columns. Even a third of all rows, all identical, with a NULL key stays
+   spread as the input was.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # (the count itself would read too much); it takes the shuffle path and AQE
 # may still broadcast it if its real shuffle output turns out small.
 SKIP_CHECK_BYTES = 8 * 1024**3
-NULL_SPREAD = 1024
 
 
 def _estimated_bytes(df: DataFrame) -> int | None:
@@ -63,19 +64,6 @@ def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_
     return df.limit(limit + 1).count() <= limit
 
 
-def null_spread(df: DataFrame, keys: Sequence[str], name: str, buckets: int = NULL_SPREAD) -> DataFrame:
-    """Add ``name``: 0 when all ``keys`` are set, else a deterministic 1..buckets.
-
-    Deterministic (a hash of the whole row), so a task recomputed after an
-    executor loss produces the same assignment.
-    """
-    any_null = None
-    for k in keys:
-        any_null = F.col(k).isNull() if any_null is None else (any_null | F.col(k).isNull())
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets)) + F.lit(1)
-    return df.withColumn(name, F.when(any_null, spread).otherwise(F.lit(0)))
-
-
 _HOW = {"left_outer": "left", "leftouter": "left", "anti": "left_anti", "leftanti": "left_anti",
         "semi": "left_semi", "leftsemi": "left_semi"}
 
@@ -127,24 +115,34 @@ def lookup_join(
     if bounded is None:
         bounded = broadcast_rows is not None and is_bounded(right, broadcast_rows)
     pairs = list(zip(lk, rk))
+
+    def on(ps) -> Column:
+        cond = None
+        for a, b in ps:
+            c = F.col(a) == F.col(b)
+            cond = c if cond is None else (cond & c)
+        return cond
+
     if bounded:
-        r = F.broadcast(r)
-    else:
-        spread = "__lf_spread"
-        if how in ("left", "left_anti"):
-            l = null_spread(l, lk, spread)  # NULL keys: 1..NULL_SPREAD
-        else:
-            l = l.withColumn(spread, F.lit(0))
-        r = r.withColumn(spread + "_r", F.lit(0))
-        if salt_hot_keys:
-            l, r = _salt_hot(l, r, lk, rk, spread, salt_hot_keys, salt_buckets)
-        pairs.append((spread, spread + "_r"))
-    cond = None
-    for a, b in pairs:
-        c = F.col(a) == F.col(b)
-        cond = c if cond is None else (cond & c)
-    joined = l.join(r, cond, how)
-    return joined.select(*left.columns, *extra)
+        return l.join(F.broadcast(r), on(pairs), how).select(*left.columns, *extra)
+    null_rows = None
+    if how in ("left", "left_anti"):
+        any_null = None
+        for k in lk:
+            any_null = F.col(k).isNull() if any_null is None else (any_null | F.col(k).isNull())
+        null_rows = l.where(any_null)
+        l = l.where(~any_null)
+    if salt_hot_keys:
+        salt = "__lf_salt"
+        l = l.withColumn(salt, F.lit(0))
+        r = r.withColumn(salt + "_r", F.lit(0))
+        l, r = _salt_hot(l, r, lk, rk, salt, salt_hot_keys, salt_buckets)
+        pairs.append((salt, salt + "_r"))
+    joined = l.join(r, on(pairs), how).select(*left.columns, *extra)
+    if null_rows is not None:
+        fill = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra]
+        joined = joined.unionByName(null_rows.select(*left.columns, *fill))
+    return joined
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
