@@ -37,6 +37,7 @@ from ledgerflow.operators import (
     validate,
 )
 from ledgerflow.plans.tables import JdbcTables, LakeTables, pending_rows
+from ledgerflow.session import sized_shuffle
 from ledgerflow.sources import read_csv, read_parquet, string_schema, typed_schema, write_csv, write_parquet
 
 LOG = logging.getLogger("ledgerflow")
@@ -242,9 +243,12 @@ def run_quarantine(spark, cfg: JobConfig):
     """Write accepted rows (Parquet) and rejected rows (``;`` CSV); counts are
     observed during the writes, so the plan runs once per output."""
     postal = tables_for(spark, cfg).read("CEP")
-    v = compute_purchases_quarantine(read_purchases(spark, cfg.src(cfg.purchases_file)), postal, cfg.term_aliases)
-    # one grouped pass, written once; both outputs are scans of that copy
-    v = v.materialize(cfg.out("work/purchases_annotated"))
+    purchases = read_purchases(spark, cfg.src(cfg.purchases_file))
+    v = compute_purchases_quarantine(purchases, postal, cfg.term_aliases)
+    # one grouped pass, written once; both outputs are scans of that copy.
+    # The grouping shuffles the whole input: size its partitions for it.
+    with sized_shuffle(spark, purchases):
+        v = v.materialize(cfg.out("work/purchases_annotated"))
     ok = write_parquet(v.accepted, cfg.out("staging/purchases"), observe="accepted")
     bad = write_csv(v.rejected, cfg.out("rejected/purchases"), sep=";", header=True, observe="rejected")
     stats = {"written": int(ok.get["rows"]), "rejected": int(bad.get["rows"])}

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.operators.upsert import merge_observation, upsert_snapshot
+from ledgerflow.session import sized_shuffle
 from ledgerflow.sources import jdbc as J
 from ledgerflow.sources.sinks import write_parquet
 
@@ -108,11 +109,13 @@ class LakeTables:
         spec = TABLES[name]
         source = conform(source, name)
         target = self.read(name)
-        res = upsert_snapshot(target, source, spec["keys"], identity_col=spec["identity"], **kw)
-        merged, obs = merge_observation(res.merged, f"upsert-{name}")
-        vs = self.versions(name)
-        nxt = int(vs[-1].rstrip("/").rsplit("/v", 1)[1]) + 1 if vs else 1
-        write_parquet(merged.drop("_action"), f"{self.root.rstrip('/')}/{name}/v{nxt:06d}")
+        # the shuffle strategy moves the whole target: size its partitions
+        with sized_shuffle(self.spark, target):
+            res = upsert_snapshot(target, source, spec["keys"], identity_col=spec["identity"], **kw)
+            merged, obs = merge_observation(res.merged, f"upsert-{name}")
+            vs = self.versions(name)
+            nxt = int(vs[-1].rstrip("/").rsplit("/v", 1)[1]) + 1 if vs else 1
+            write_parquet(merged.drop("_action"), f"{self.root.rstrip('/')}/{name}/v{nxt:06d}")
         m = obs.get
         return {"INSERT": int(m.get("INSERT", 0)), "UPDATE": int(m.get("UPDATE", 0))}
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -86,10 +87,48 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
 
 
+_INITIAL_PARTS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def shuffle_parts_for(spark: SparkSession, df, target_bytes: int = 128 * 1024 * 1024, max_parts: int = 200_000) -> int | None:
+    """Shuffle partitions for ``df``'s estimated input size (None: keep the
+    configured count, or no estimate available)."""
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+    if est >= 2**56:  # unknown size
+        return None
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    parts = min(max_parts, max(current, -(-est // target_bytes)))
+    return parts if parts > current else None
+
+
+@contextmanager
+def sized_shuffle(spark: SparkSession, df, target_bytes: int = 128 * 1024 * 1024, max_parts: int = 200_000):
+    """Within the block, shuffles start with enough partitions for ``df``.
+
+    AQE can only coalesce shuffle partitions, not split them (except skewed
+    join partitions), so an aggregation over 100 TB needs its partition
+    count up front: input bytes / ``target_bytes`` (the optimizer's size
+    estimate of ``df``) becomes AQE's initial partition number, which it
+    then coalesces for small data. Nothing changes when the user has set
+    that number. The previous setting is restored on exit.
+    """
+    parts = None if spark.conf.get(_INITIAL_PARTS, None) else shuffle_parts_for(spark, df, target_bytes, max_parts)
+    if parts:
+        spark.conf.set(_INITIAL_PARTS, str(parts))
+    try:
+        yield parts
+    finally:
+        if parts:
+            spark.conf.unset(_INITIAL_PARTS)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["DEFAULT_CONF", "build_session", "ensure_checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["DEFAULT_CONF", "build_session", "ensure_checkpoint_dir", "scratch_path", "sized_shuffle", "shuffle_parts_for", "local_path"]
 

@@ -55,3 +55,15 @@ def test_null_key_third_spread_in_shuffle_upsert(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert max(sizes) < nulls / 2
+
+
+def test_sized_shuffle_sets_and_restores_initial_partitions(spark):
+    from ledgerflow.session import sized_shuffle
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    with sized_shuffle(spark, df) as parts:  # tiny input: configured count kept
+        assert parts is None
+    with sized_shuffle(spark, df, target_bytes=1024) as parts:  # 1 KB per partition
+        assert parts is not None and parts > 4 and int(spark.conf.get(key)) == parts
+    assert spark.conf.get(key, None) is None
