@@ -120,7 +120,7 @@ def cast_columns(df: DataFrame, types: Mapping[str, str | T.DataType], date_form
     resolved = {}
     for name, dtype in types.items():
         if isinstance(dtype, str):
-            dtype = T._parse_datatype_string(dtype)
+            dtype = T.DataType.fromDDL(dtype)
         resolved[name] = dtype
     out = []
     for f in df.schema.fields:

@@ -37,7 +37,7 @@ def typed_schema(columns: Mapping[str, str | T.DataType]) -> T.StructType:
     fields = []
     for name, dtype in columns.items():
         if isinstance(dtype, str):
-            dtype = _SIMPLE_TYPES.get(dtype.lower()) or T._parse_datatype_string(dtype)
+            dtype = _SIMPLE_TYPES.get(dtype.lower()) or T.DataType.fromDDL(dtype)
         fields.append(T.StructField(name, dtype, True))
     return T.StructType(fields)
 
