@@ -2,10 +2,12 @@
 
 Strategy for ``lookup_join(left, right, ...)``:
 
-1. **Broadcast only behind a proven bound.** ``is_bounded(right, n)`` runs
-   ``right.limit(n + 1).count()``: every task reads at most ``n + 1`` rows,
-   so the check is cheap even when ``right`` is huge, and a true answer
-   proves the broadcast side holds at most ``n`` rows.
+1. **Broadcast only behind a proven bound.** ``is_bounded(right, n)`` first
+   asks the optimizer for a size estimate: a side estimated beyond 8 GB is
+   not broadcast and not counted. Otherwise it runs
+   ``right.limit(n + 1).count()`` (every task reads at most ``n + 1`` rows);
+   a true answer proves the broadcast side holds at most ``n`` rows, where
+   ``n`` also respects a byte budget at the schema's row width.
 2. **Otherwise shuffle both sides.** Hot non-NULL keys on the streamed side
    are split at runtime by AQE's skew-join handling (enabled in
    ``ledgerflow.session``), which supports inner, left outer, left semi and
@@ -24,6 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # At most this many rows are broadcast by default, and at most this many
 # bytes (estimated from the schema): keys plus a few columns.
@@ -42,9 +45,25 @@ def _estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def _type_bytes(dt: T.DataType) -> int:
+    # Spark's default sizes: strings count 20 bytes, nested values 100
+    if isinstance(dt, (T.StringType, T.VarcharType, T.CharType)):
+        return 20
+    if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dt, T.ShortType):
+        return 2
+    if isinstance(dt, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    return 100
+
+
 def _row_bytes(df: DataFrame) -> int:
-    # Spark's default size per type (strings count 20 bytes) plus row overhead
-    return 8 + sum(f.dataType.defaultSize() if hasattr(f.dataType, "defaultSize") else 8 for f in df.schema.fields)
+    return 8 + sum(_type_bytes(f.dataType) for f in df.schema.fields)
 
 
 def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
