@@ -40,8 +40,9 @@ ColumnOrName = Column | str
 class Rule:
     """One rule. ``fails`` builds the failing predicate over the grouped rows.
 
-    kind: "row" (``fails`` given), "lookup" (``dim``/``dim_key``/``key``
-    given), or "duplicate".
+    kind: "row" (``fails`` given), "frame" (``add_ok`` adds a pass column
+    through its own projections, e.g. the check-digit rule), "lookup"
+    (``dim``/``dim_key``/``key`` given), or "duplicate".
     """
 
     label: str
