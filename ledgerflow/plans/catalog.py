@@ -295,6 +295,19 @@ def rejected_with_reasons(spark, sf_dir):
     return _lineitem_quarantine(spark, sf_dir).rejected
 
 
+def quarantine_lineitem(spark, sf_dir):
+    """The full five-rule quarantine (D1) over whole lineitem rows: rejected rows."""
+    from ledgerflow.plans.headline import lineitem_quarantine
+
+    return lineitem_quarantine(spark, sf_dir).rejected
+
+
+def quarantine_lineitem_accepted(spark, sf_dir):
+    from ledgerflow.plans.headline import lineitem_quarantine
+
+    return lineitem_quarantine(spark, sf_dir).accepted
+
+
 def collect_reasons(spark, sf_dir):
     ev = table(spark, sf_dir, "events", "user_id", "event_type")
     return collect_labels(ev, ["user_id"], "event_type", "types")
@@ -453,6 +466,8 @@ QUERIES: dict[str, Query] = {
     "rule_duplicated": rule_duplicated_q,
     "accepted_rows": accepted_rows,
     "rejected_with_reasons": rejected_with_reasons,
+    "quarantine_lineitem": quarantine_lineitem,
+    "quarantine_lineitem_accepted": quarantine_lineitem_accepted,
     "collect_reasons": collect_reasons,
     "run_stats": run_stats,
     "left_anti_by_id": left_anti_by_id,

@@ -170,5 +170,37 @@ s AS (
 SELECT o_orderkey, due_date, installment_no, amount,
        CASE WHEN due_date <= DATE '1998-06-30' THEN 'PAID' ELSE 'PENDING' END AS status
 FROM s
+""",
+    "quarantine_lineitem": """
+WITH s AS (SELECT *, lpad(CAST(l_orderkey * 10007 + 33000167 AS VARCHAR), 14, '0') AS tax_id FROM lineitem),
+g AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id, count(*) AS n FROM s GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id),
+w AS (SELECT *, (5*CAST(substr(tax_id,1,1) AS INT)+4*CAST(substr(tax_id,2,1) AS INT)+3*CAST(substr(tax_id,3,1) AS INT)+2*CAST(substr(tax_id,4,1) AS INT)+9*CAST(substr(tax_id,5,1) AS INT)+8*CAST(substr(tax_id,6,1) AS INT)+7*CAST(substr(tax_id,7,1) AS INT)+6*CAST(substr(tax_id,8,1) AS INT)+5*CAST(substr(tax_id,9,1) AS INT)+4*CAST(substr(tax_id,10,1) AS INT)+3*CAST(substr(tax_id,11,1) AS INT)+2*CAST(substr(tax_id,12,1) AS INT)) % 11 AS r1, (6*CAST(substr(tax_id,1,1) AS INT)+5*CAST(substr(tax_id,2,1) AS INT)+4*CAST(substr(tax_id,3,1) AS INT)+3*CAST(substr(tax_id,4,1) AS INT)+2*CAST(substr(tax_id,5,1) AS INT)+9*CAST(substr(tax_id,6,1) AS INT)+8*CAST(substr(tax_id,7,1) AS INT)+7*CAST(substr(tax_id,8,1) AS INT)+6*CAST(substr(tax_id,9,1) AS INT)+5*CAST(substr(tax_id,10,1) AS INT)+4*CAST(substr(tax_id,11,1) AS INT)+3*CAST(substr(tax_id,12,1) AS INT)+2*CAST(substr(tax_id,13,1) AS INT)) % 11 AS r2 FROM g),
+f AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id,
+  n > 1 AS f_dup,
+  (l_orderkey IS NULL OR l_partkey IS NULL OR l_suppkey IS NULL OR l_linenumber IS NULL OR l_quantity IS NULL OR l_extendedprice IS NULL OR l_discount IS NULL OR l_tax IS NULL OR l_returnflag IS NULL OR l_linestatus IS NULL OR l_shipdate IS NULL OR tax_id IS NULL) AS f_null,
+  coalesce(l_linestatus IS NOT NULL AND l_linestatus NOT IN ('O', 'F'), false) AS f_dom,
+  NOT coalesce(CASE WHEN r1 < 2 THEN 0 ELSE 11 - r1 END = CAST(substr(tax_id,13,1) AS INT)
+      AND CASE WHEN r2 < 2 THEN 0 ELSE 11 - r2 END = CAST(substr(tax_id,14,1) AS INT)
+      AND tax_id <> repeat(substr(tax_id,1,1), 14), false) AS f_cd,
+  NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = w.l_partkey AND p.p_partkey % 50 <> 0) AS f_lk
+FROM w)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id, concat_ws(', ', CASE WHEN f_dup THEN 'duplicated' END, CASE WHEN f_null THEN 'null column(s)' END,
+  CASE WHEN f_dom THEN 'invalid line status' END, CASE WHEN f_cd THEN 'invalid tax id' END, CASE WHEN f_lk THEN 'invalid part' END) AS inconsistencies
+FROM f WHERE f_dup OR f_null OR f_dom OR f_cd OR f_lk
+""",
+    "quarantine_lineitem_accepted": """
+WITH s AS (SELECT *, lpad(CAST(l_orderkey * 10007 + 33000167 AS VARCHAR), 14, '0') AS tax_id FROM lineitem),
+g AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id, count(*) AS n FROM s GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id),
+w AS (SELECT *, (5*CAST(substr(tax_id,1,1) AS INT)+4*CAST(substr(tax_id,2,1) AS INT)+3*CAST(substr(tax_id,3,1) AS INT)+2*CAST(substr(tax_id,4,1) AS INT)+9*CAST(substr(tax_id,5,1) AS INT)+8*CAST(substr(tax_id,6,1) AS INT)+7*CAST(substr(tax_id,7,1) AS INT)+6*CAST(substr(tax_id,8,1) AS INT)+5*CAST(substr(tax_id,9,1) AS INT)+4*CAST(substr(tax_id,10,1) AS INT)+3*CAST(substr(tax_id,11,1) AS INT)+2*CAST(substr(tax_id,12,1) AS INT)) % 11 AS r1, (6*CAST(substr(tax_id,1,1) AS INT)+5*CAST(substr(tax_id,2,1) AS INT)+4*CAST(substr(tax_id,3,1) AS INT)+3*CAST(substr(tax_id,4,1) AS INT)+2*CAST(substr(tax_id,5,1) AS INT)+9*CAST(substr(tax_id,6,1) AS INT)+8*CAST(substr(tax_id,7,1) AS INT)+7*CAST(substr(tax_id,8,1) AS INT)+6*CAST(substr(tax_id,9,1) AS INT)+5*CAST(substr(tax_id,10,1) AS INT)+4*CAST(substr(tax_id,11,1) AS INT)+3*CAST(substr(tax_id,12,1) AS INT)+2*CAST(substr(tax_id,13,1) AS INT)) % 11 AS r2 FROM g),
+f AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id,
+  n > 1 AS f_dup,
+  (l_orderkey IS NULL OR l_partkey IS NULL OR l_suppkey IS NULL OR l_linenumber IS NULL OR l_quantity IS NULL OR l_extendedprice IS NULL OR l_discount IS NULL OR l_tax IS NULL OR l_returnflag IS NULL OR l_linestatus IS NULL OR l_shipdate IS NULL OR tax_id IS NULL) AS f_null,
+  coalesce(l_linestatus IS NOT NULL AND l_linestatus NOT IN ('O', 'F'), false) AS f_dom,
+  NOT coalesce(CASE WHEN r1 < 2 THEN 0 ELSE 11 - r1 END = CAST(substr(tax_id,13,1) AS INT)
+      AND CASE WHEN r2 < 2 THEN 0 ELSE 11 - r2 END = CAST(substr(tax_id,14,1) AS INT)
+      AND tax_id <> repeat(substr(tax_id,1,1), 14), false) AS f_cd,
+  NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = w.l_partkey AND p.p_partkey % 50 <> 0) AS f_lk
+FROM w)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id FROM f WHERE NOT (f_null OR f_dom OR f_cd OR f_lk)
 """,
 }
