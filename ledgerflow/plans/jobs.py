@@ -75,6 +75,7 @@ STATUS_PENDING = "PENDENTE"
 class JobConfig:
     source_path: str                       # input CSV folder
     target_path: str                       # staging / rejected / lake tables
+    # fixed values: the input file names of the ledger feed
     purchases_file: str = "compras.csv"
     terms_file: str = "condicao_pagamento.csv"
     address_types_file: str = "tipo_endereco.csv"
