@@ -201,12 +201,23 @@ def validate(
     reasons_col: str = "inconsistencies",
     count_col: str = "__lf_n",
     sep: str = ", ",
+    distinct: bool = True,
 ) -> Validation:
-    """Run ``rules`` over ``df`` and split it into accepted / rejected rows."""
+    """Run ``rules`` over ``df`` and split it into accepted / rejected rows.
+
+    ``distinct=False`` (only without a duplicate rule) keeps every input row
+    instead of distinct rows: no aggregation, so the whole validation runs
+    map-side without a shuffle (lookups against a broadcast dimension).
+    """
     cols = list(columns or df.columns)
     base = df.select(*cols)
-    # one shuffle: distinct rows with their multiplicity (partial aggregation)
-    g = base.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
+    if distinct:
+        # one shuffle: distinct rows with their multiplicity (partial aggregation)
+        g = base.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
+    else:
+        if any(r.kind == "duplicate" for r in rules):
+            raise ValueError("the duplicate rule needs distinct=True")
+        g = base.withColumn(count_col, F.lit(1).cast("long"))
     fail_cols: list[Column] = []
     for i, rule in enumerate(rules):
         name = f"__lf_fail{i}"
@@ -233,10 +244,14 @@ def validate(
         fired = fired | fc
         if rule.blocking:
             blocked = blocked | fc
-    # ``count > 0`` always holds; it ties the flag to the aggregate's output
-    # so a filter on it is not pushed below the aggregation, where the rule
-    # expressions would be re-inlined and evaluated on every input row
-    blocked = blocked & (F.col(count_col) > 0)
+    # A filter on the flag must stay above the rule projections, or Catalyst
+    # pushes it down and re-inlines the rule expressions into it. With
+    # grouping, ``count > 0`` (always true) ties the flag to the aggregate's
+    # output. Without it, ``spark_partition_id() >= 0`` (always true, but
+    # nondeterministic) makes the final projection one that filters are
+    # never pushed through.
+    fence = (F.col(count_col) > 0) if distinct else (F.spark_partition_id() >= 0)
+    blocked = blocked & fence
     annotated = g.select(
         *cols,
         F.col(count_col),

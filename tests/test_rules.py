@@ -73,3 +73,17 @@ def test_validate_plan_is_one_aggregation_and_broadcast_lookup(spark):
     plan = v.rejected._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "BatchEvalPython" not in plan
+
+
+def test_validate_without_distinct_is_map_only(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, v string")
+    dim = spark.createDataFrame([(1,), (2,)], "k int")
+    v = validate(df, [rule_not_null(["v"]), rule_in_lookup("k", dim, "k", "no k")], distinct=False)
+    assert sorted(tuple(r) for r in v.accepted.collect()) == [(1, "a"), (1, "a")]
+    assert [tuple(r) for r in v.rejected.collect()] == [(2, None, "null column(s)")]
+    plan = v.accepted._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan.split("BroadcastExchange")[0]
+    with pytest.raises(ValueError):
+        validate(df, [rule_duplicated()], distinct=False)
