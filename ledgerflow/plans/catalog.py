@@ -83,7 +83,7 @@ def scan_csv_schema(spark, sf_dir):
 
 
 def _derby(spark, tables: dict[str, DataFrame]) -> J.JdbcConfig:
-    cfg = J.derby_memory_config()
+    cfg = J.derby_memory_config(spark=spark)
     for name, df in tables.items():
         J.write_jdbc(df, cfg, name, mode="overwrite", column_types=J.string_column_types(df, 512))
     return cfg
@@ -118,7 +118,7 @@ def jdbc_filtered_scan(spark, sf_dir):
 
 def jdbc_append(spark, sf_dir):
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
-    cfg = J.derby_memory_config()
+    cfg = J.derby_memory_config(spark=spark)
     first = nation.where(F.col("n_regionkey") < 2).select("n_nationkey", "n_name")
     J.write_jdbc(first, cfg, "NATION_COPY", mode="append", column_types=J.string_column_types(first, 512))
     rest = nation.where(F.col("n_regionkey") >= 2).select("n_nationkey", "n_name")
