@@ -4,6 +4,7 @@ from ledgerflow.functions.clean import (
     canonicalize,
     cast_columns,
     concat_labels,
+    drop_nulls,
     empty_as_null,
     fill_null,
     parse_date,
@@ -19,6 +20,7 @@ __all__ = [
     "canonicalize",
     "cast_columns",
     "concat_labels",
+    "drop_nulls",
     "empty_as_null",
     "fill_null",
     "parse_date",

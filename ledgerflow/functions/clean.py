@@ -96,6 +96,11 @@ def fill_null(df: DataFrame, value: str | int | float, subset: Sequence[str]) ->
     return df.fillna(value, subset=list(subset))
 
 
+def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+    """Drop rows with a NULL in any of ``subset`` (default: all columns)."""
+    return df.dropna(how="any", subset=list(subset) if subset is not None else None)
+
+
 def try_int(c: ColumnOrName) -> Column:
     """String → int; malformed or out of range → NULL."""
     return _col(c).try_cast(T.IntegerType())

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.functions import canonicalize, with_cnpj_valid, fill_null, parse_date, to_decimal, trim_strings, try_int, upper_trim, with_row_ids
+from ledgerflow.functions import canonicalize, drop_nulls, with_cnpj_valid, fill_null, parse_date, to_decimal, trim_strings, try_int, upper_trim, with_row_ids
 from ledgerflow.operators import (
     Lookup,
     assign_surrogate_keys,
@@ -239,8 +239,8 @@ def row_ids(spark, sf_dir):
 # ------------------------------------------------------------ filters/rules
 
 
-def drop_nulls(spark, sf_dir):
-    return _events_with_nulls(spark, sf_dir).dropna(how="any", subset=["event_type"])
+def drop_nulls_q(spark, sf_dir):
+    return drop_nulls(_events_with_nulls(spark, sf_dir), ["event_type"])
 
 
 def _reasons(v, *keys: str) -> DataFrame:
@@ -458,7 +458,7 @@ QUERIES: dict[str, Query] = {
     "cast_decimal": cast_decimal,
     "parse_date": parse_date_q,
     "row_ids": row_ids,
-    "drop_nulls": drop_nulls,
+    "drop_nulls": drop_nulls_q,
     "rule_null": rule_null,
     "rule_domain": rule_domain,
     "rule_lookup": rule_lookup,
