@@ -18,7 +18,6 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerflow.functions import canonicalize, cast_columns, fill_null, trim_strings, try_int, upper_trim
 from ledgerflow.operators import (
