@@ -36,6 +36,8 @@ def test_query_matches_oracle(spark, duck, name):
     assert {c: kind_spark(t) for c, t in sdf.dtypes} == {d[0]: kind_duck(d[1]) for d in res.description}
     assert len(srows) == len(orows)
     assert rows_of(sdf.columns, srows) == rows_of(ocols, orows)
+    plan = sdf._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "PythonUDF" not in plan  # JVM-side only
 
 
 def test_entry_smoke(spark):
