@@ -88,15 +88,18 @@ class LakeTables:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def versions(self, name: str) -> list[str]:
+    def versions(self, name: str, complete: bool = True) -> list[str]:
+        """Version folders, oldest first; only those with ``_SUCCESS`` unless
+        ``complete=False`` (then failed attempts are listed too)."""
         p, fs = self._fs(f"{self.root.rstrip('/')}/{name}")
         if not fs.exists(p):
             return []
         out = []
         for st in fs.listStatus(p):
             child = st.getPath()
-            if st.isDirectory() and child.getName().startswith("v") and fs.exists(child.suffix("/_SUCCESS")):
-                out.append(child.toString())
+            if st.isDirectory() and child.getName().startswith("v"):
+                if not complete or fs.exists(child.suffix("/_SUCCESS")):
+                    out.append(child.toString())
         return sorted(out)
 
     def read(self, name: str) -> DataFrame:
@@ -113,9 +116,12 @@ class LakeTables:
         with sized_shuffle(self.spark, target):
             res = upsert_snapshot(target, source, spec["keys"], identity_col=spec["identity"], **kw)
             merged, obs = merge_observation(res.merged, f"upsert-{name}")
-            vs = self.versions(name)
+            # number past every folder, failed attempts included, and never
+            # overwrite: a concurrent writer of the same version fails
+            # instead of silently replacing the other's rows
+            vs = self.versions(name, complete=False)
             nxt = int(vs[-1].rstrip("/").rsplit("/v", 1)[1]) + 1 if vs else 1
-            write_parquet(merged.drop("_action"), f"{self.root.rstrip('/')}/{name}/v{nxt:06d}")
+            write_parquet(merged.drop("_action"), f"{self.root.rstrip('/')}/{name}/v{nxt:06d}", mode="errorifexists")
         m = obs.get
         return {"INSERT": int(m.get("INSERT", 0)), "UPDATE": int(m.get("UPDATE", 0))}
 

@@ -128,3 +128,15 @@ def test_cli_single_jobs(tmp_path):
     import json
 
     assert json.loads(res.stdout.strip().splitlines()[-1]) == {"written": 25, "rejected": 30}
+
+
+def test_lake_versions_skip_failed_attempts(spark, tmp_path):
+    from ledgerflow.plans.tables import LakeTables
+
+    t = LakeTables(spark, str(tmp_path / "lake"))
+    src = spark.createDataFrame([(1, "A VISTA", 1)], "ID_CONDICAO int, DESCRICAO string, QTD_PARCELAS int")
+    assert t.upsert("CONDICAO_PAGAMENTO", src) == {"INSERT": 1, "UPDATE": 0}
+    (tmp_path / "lake" / "CONDICAO_PAGAMENTO" / "v000002").mkdir()  # a failed attempt, no _SUCCESS
+    assert t.upsert("CONDICAO_PAGAMENTO", src) == {"INSERT": 0, "UPDATE": 1}
+    assert [v.rsplit("/", 1)[1] for v in t.versions("CONDICAO_PAGAMENTO")] == ["v000001", "v000003"]
+    assert t.read("CONDICAO_PAGAMENTO").count() == 1
