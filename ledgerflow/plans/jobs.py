@@ -36,7 +36,7 @@ from ledgerflow.operators import (
     validate,
 )
 from ledgerflow.plans.tables import JdbcTables, LakeTables, pending_rows
-from ledgerflow.session import sized_shuffle
+from ledgerflow.session import scratch_path, sized_shuffle
 from ledgerflow.sources import read_csv, read_parquet, string_schema, typed_schema, write_csv, write_parquet
 
 LOG = logging.getLogger("ledgerflow")
@@ -248,7 +248,8 @@ def run_quarantine(spark, cfg: JobConfig):
     # one grouped pass, written once; both outputs are scans of that copy.
     # The grouping shuffles the whole input: size its partitions for it.
     with sized_shuffle(spark, purchases):
-        v = v.materialize(cfg.out("work/purchases_annotated"))
+        # a fresh folder per run in the shared scratch area: runs never collide
+        v = v.materialize(scratch_path(spark, "purchases-annotated"))
     ok = write_parquet(v.accepted, cfg.out("staging/purchases"), observe="accepted")
     bad = write_csv(v.rejected, cfg.out("rejected/purchases"), sep=";", header=True, observe="rejected")
     stats = {"written": int(ok.get["rows"]), "rejected": int(bad.get["rows"])}
