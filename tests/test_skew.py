@@ -67,3 +67,16 @@ def test_sized_shuffle_sets_and_restores_initial_partitions(spark):
     with sized_shuffle(spark, df, target_bytes=1024) as parts:  # 1 KB per partition
         assert parts is not None and parts > 4 and int(spark.conf.get(key)) == parts
     assert spark.conf.get(key, None) is None
+
+
+def test_bound_check_skips_counting_huge_inputs(spark):
+    import time
+
+    from ledgerflow.operators.joins import is_bounded
+
+    huge = spark.range(0, 10**12)  # optimizer estimate: 8 TB
+    t0 = time.perf_counter()
+    assert is_bounded(huge, 1000) is False
+    assert time.perf_counter() - t0 < 5  # answered from the estimate, nothing counted
+    assert is_bounded(spark.range(0, 10), 1000) is True
+    assert is_bounded(spark.range(0, 2000), 1000) is False
