@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerflow.functions import canonicalize, cast_columns, fill_null, trim_strings, try_int, upper_trim
 from ledgerflow.operators import (
@@ -265,15 +265,27 @@ def run_suppliers(spark, cfg: JobConfig):
 
 
 def run_supplier_addresses(spark, cfg: JobConfig):
+    """Rows whose supplier or address type is unknown are not loaded (inner
+    lookups); their counts come back as ``unmatched_*``, observed while the
+    rows are computed."""
     t = tables_for(spark, cfg)
-    df = compute_supplier_addresses(read_staging(spark, cfg), t.read("FORNECEDORES"), t.read("TIPO_ENDERECO"))
-    return _log("ENDERECOS_FORNECEDORES", t.upsert("ENDERECOS_FORNECEDORES", df))
+    obs = Observation("addresses-unmatched")
+    df = compute_supplier_addresses(read_staging(spark, cfg), t.read("FORNECEDORES"), t.read("TIPO_ENDERECO"), observe=obs)
+    stats = t.upsert("ENDERECOS_FORNECEDORES", df)
+    got = obs.get
+    stats.update(unmatched_supplier=int(got.get("unmatched_0", 0)), unmatched_address_type=int(got.get("unmatched_1", 0)))
+    return _log("ENDERECOS_FORNECEDORES", stats)
 
 
 def run_invoices(spark, cfg: JobConfig):
+    """Invoices of unknown suppliers are not loaded; ``unmatched_supplier``
+    counts them. An unknown payment term loads with a NULL term id."""
     t = tables_for(spark, cfg)
-    df = compute_invoices(read_staging(spark, cfg), t.read("FORNECEDORES"), t.read("CONDICAO_PAGAMENTO"))
-    return _log("NOTAS_FISCAIS_ENTRADA", t.upsert("NOTAS_FISCAIS_ENTRADA", df))
+    obs = Observation("invoices-unmatched")
+    df = compute_invoices(read_staging(spark, cfg), t.read("FORNECEDORES"), t.read("CONDICAO_PAGAMENTO"), observe=obs)
+    stats = t.upsert("NOTAS_FISCAIS_ENTRADA", df)
+    stats.update(unmatched_supplier=int(obs.get.get("unmatched_0", 0)))
+    return _log("NOTAS_FISCAIS_ENTRADA", stats)
 
 
 def run_schedule(spark, cfg: JobConfig):

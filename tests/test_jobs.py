@@ -55,8 +55,8 @@ def test_run_all_lake(spark, cfg):
     assert out["TIPO_ENDERECO"] == {"INSERT": 8, "UPDATE": 0}
     assert out["quarantine"] == {"written": 25, "rejected": 30}
     assert out["FORNECEDORES"] == {"INSERT": 23, "UPDATE": 0}
-    assert out["ENDERECOS_FORNECEDORES"] == {"INSERT": 23, "UPDATE": 0}
-    assert out["NOTAS_FISCAIS_ENTRADA"] == {"INSERT": 25, "UPDATE": 0}
+    assert out["ENDERECOS_FORNECEDORES"] == {"INSERT": 23, "UPDATE": 0, "unmatched_supplier": 0, "unmatched_address_type": 0}
+    assert out["NOTAS_FISCAIS_ENTRADA"] == {"INSERT": 25, "UPDATE": 0, "unmatched_supplier": 0}
     assert out["PROGRAMACAO_PAGAMENTO"] == {"INSERT": 52, "UPDATE": 0}
 
     t = jobs.tables_for(spark, cfg)
@@ -87,7 +87,7 @@ def test_run_all_lake(spark, cfg):
     # recomputed and win over the stored pending copies
     again = jobs.run_all(spark, cfg)
     assert again["FORNECEDORES"] == {"INSERT": 0, "UPDATE": 23}
-    assert again["NOTAS_FISCAIS_ENTRADA"] == {"INSERT": 0, "UPDATE": 25}
+    assert again["NOTAS_FISCAIS_ENTRADA"] == {"INSERT": 0, "UPDATE": 25, "unmatched_supplier": 0}
     assert again["PROGRAMACAO_PAGAMENTO"] == {"INSERT": 0, "UPDATE": 52}
     assert t.read("PROGRAMACAO_PAGAMENTO").count() == 52
     assert sorted(r["ID_FORNECEDOR"] for r in t.read("FORNECEDORES").collect()) == list(range(1, 24))
@@ -140,3 +140,21 @@ def test_lake_versions_skip_failed_attempts(spark, tmp_path):
     assert t.upsert("CONDICAO_PAGAMENTO", src) == {"INSERT": 0, "UPDATE": 1}
     assert [v.rsplit("/", 1)[1] for v in t.versions("CONDICAO_PAGAMENTO")] == ["v000001", "v000003"]
     assert t.read("CONDICAO_PAGAMENTO").count() == 1
+
+
+def test_unknown_supplier_is_counted_not_loaded(spark, cfg):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    jobs.run_postal_codes(spark, cfg)
+    jobs.run_payment_terms(spark, cfg)
+    jobs.run_quarantine(spark, cfg)
+    staging = jobs.read_staging(spark, cfg)
+    suppliers = jobs.compute_suppliers(staging).withColumn("ID_FORNECEDOR", F.monotonically_increasing_id())
+    one = suppliers.orderBy("CNPJ").first()["CNPJ"]
+    t = jobs.tables_for(spark, cfg)
+    obs = Observation("u")
+    inv = jobs.compute_invoices(staging, suppliers.where(F.col("CNPJ") != one), t.read("CONDICAO_PAGAMENTO"), observe=obs)
+    n_missing = staging.where(F.col("CNPJ_FORNECEDOR") == one).count()
+    assert inv.count() == 25 - n_missing
+    assert obs.get["unmatched_0"] == n_missing >= 1
