@@ -73,3 +73,43 @@ def test_upsert_matches_model(spark, target, source, strategy):
             expect["INSERT"] += 1
     assert {r.action: r.cnt for r in res.stats.collect()} == {a: n for a, n in expect.items() if n}
     assert matched_rows == expect["UPDATE"]
+
+
+def _add_months(d, m):
+    import calendar
+    import datetime as dt
+
+    y, mo = divmod(d.month - 1 + m, 12)
+    y += d.year
+    last = calendar.monthrange(y, mo + 1)[1]
+    return dt.date(y, mo + 1, min(d.day, last))
+
+
+@SETTINGS
+@given(
+    invoices=st.lists(
+        st.tuples(st.dates(min_value=__import__("datetime").date(2000, 1, 1), max_value=__import__("datetime").date(2030, 12, 31)),
+                  st.integers(1, 10_000_000), st.one_of(st.none(), st.integers(-1, 12))),
+        max_size=8),
+)
+def test_schedule_matches_model(spark, invoices):
+    from decimal import Decimal
+
+    from ledgerflow.operators import installment_schedule
+
+    rows = [(i, d, Decimal(c) / 100, n) for i, (d, c, n) in enumerate(invoices)]
+    df = spark.createDataFrame(rows, "id int, d date, total decimal(10,2), n int")
+    kw = dict(id_col="id", issue_date_col="d", total_col="total", count_col="n")
+    plain = {(r.id, r.installment_no): (r.due_date, r.amount) for r in installment_schedule(df, **kw).collect()}
+    cents = {(r.id, r.installment_no): r.amount for r in installment_schedule(df, split="cents", **kw).collect()}
+    expected_keys = {(i, k) for i, _, _, n in rows if n is not None and n >= 1 for k in range(1, n + 1)}
+    assert set(plain) == expected_keys == set(cents)
+    for i, d, total, n in rows:
+        if n is None or n < 1:
+            continue
+        assert sum(cents[(i, k)] for k in range(1, n + 1)) == total
+        assert all(cents[(i, k)] == cents[(i, 1)] for k in range(1, n))
+        for k in range(1, n + 1):
+            due, amount = plain[(i, k)]
+            assert due == _add_months(d, k - 1)
+            assert abs(amount - total / n) < Decimal("1e-12")
