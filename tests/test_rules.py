@@ -87,3 +87,13 @@ def test_validate_without_distinct_is_map_only(spark):
     assert "HashAggregate" not in plan.split("BroadcastExchange")[0]
     with pytest.raises(ValueError):
         validate(df, [rule_duplicated()], distinct=False)
+
+
+def test_materialize_gives_the_same_outputs(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "z")], "k int, v string")
+    rules = [rule_duplicated(), rule_not_null(["v"]), rule_in_domain("v", ["a"], "bad v")]
+    v = validate(df, rules)
+    m = validate(df, rules).materialize(str(tmp_path / "annotated"))
+    assert sorted(map(tuple, v.accepted.collect())) == sorted(map(tuple, m.accepted.collect())) == [(1, "a")]
+    assert sorted(map(tuple, v.rejected.collect()), key=str) == sorted(map(tuple, m.rejected.collect()), key=str)
+    assert m.stats().first().asDict() == {"written": 1, "rejected": 3}
