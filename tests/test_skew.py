@@ -80,3 +80,18 @@ def test_bound_check_skips_counting_huge_inputs(spark):
     assert time.perf_counter() - t0 < 5  # answered from the estimate, nothing counted
     assert is_bounded(spark.range(0, 10), 1000) is True
     assert is_bounded(spark.range(0, 2000), 1000) is False
+
+
+def test_collect_labels_hot_group(spark):
+    from ledgerflow.operators import collect_labels
+
+    n = 30_000
+    ev = spark.range(0, n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(42)).otherwise(F.col("id")).alias("user_id"),
+        F.element_at(F.array(F.lit("view"), F.lit("click"), F.lit("buy")), (F.col("id") % 3 + 1).cast("int")).alias("event_type"),
+    )
+    out = {r.user_id: r.types for r in collect_labels(ev, ["user_id"], "event_type", "types").collect()}
+    assert out[42] == "view"  # id % 3 == 0 → the first label only
+    assert len(out) == n - n // 3 + 1
+    plan = collect_labels(ev, ["user_id"], "event_type", "types")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_collect_set" in plan
