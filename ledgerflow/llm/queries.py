@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import licenses, linededup, packing
+from ledgerflow.llm import crf, licenses, linededup, packing
 from ledgerflow.llm.common import read_table
+from ledgerflow.llm.labelled import remainder
 
 
 def tokenizer_path() -> str:
@@ -21,6 +22,13 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(licenses.scan_licenses(read_table(spark, sf_dir, "documents")))
 
 
+def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = crf.score_quality(docs, crf.train(docs, labels))
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", predicted, "n_lines", "n_bad")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = linededup.apply_keep(docs, linededup.line_keep_bitmaps(docs))
@@ -33,6 +41,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op5_quality_crf": op5_quality_crf,
     "op8_line_dedup": op8_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
