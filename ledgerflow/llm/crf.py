@@ -158,10 +158,10 @@ def fit(features: list[np.ndarray], labels: list[int], steps: int = 120, rate: f
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = 3000, max_chars: int = 100_000, parts: int = 5, held_out: int = 0, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: tuple[int, int] = (1500, 2500), max_chars: int = 100_000, parts: int = 5, held_out: int = 0, id_col: str = "doc_id", text_col: str = "text"
 ) -> Crf:
-    """Fit on at most ``rows`` labelled documents of the learning folds. Their
-    line statistics are made in the tasks; the driver gets those alone."""
+    """Fit on at most ``rows`` documents labelled 0 and 1 of the learning
+    folds, each at most ``max_chars`` long. Their line statistics are made in the tasks; the driver gets those alone."""
     sample = sample_texts(docs, sample_labels(labels, label_col, rows, parts, held_out, id_col), max_chars, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

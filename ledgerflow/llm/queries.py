@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import crf, licenses, linededup, packing
+from ledgerflow.llm import crf, licenses, linededup, packing, toxicity
 from ledgerflow.llm.common import read_table
 from ledgerflow.llm.labelled import remainder
 
@@ -22,6 +22,13 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(licenses.scan_licenses(read_table(spark, sf_dir, "documents")))
 
 
+def op2_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(docs, toxicity.train(docs, labels))
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", predicted, "n_windows", "worst")
+
+
 def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     scored = crf.score_quality(docs, crf.train(docs, labels))
@@ -41,6 +48,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_toxicity_gru": op2_toxicity_gru,
     "op5_quality_crf": op5_quality_crf,
     "op8_line_dedup": op8_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
