@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import crf, licenses, linededup, packing, toxicity
+from ledgerflow.llm import crf, licenses, linededup, ngramjoin, packing, toxicity
 from ledgerflow.llm.common import read_table
 from ledgerflow.llm.labelled import remainder
 
@@ -42,6 +42,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.jaccard_components(read_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity_gru": op2_toxicity_gru,
     "op5_quality_crf": op5_quality_crf,
     "op8_line_dedup": op8_line_dedup,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
