@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import crf, licenses, linededup, ngramjoin, packing, toxicity
+from ledgerflow.llm import crf, decontaminate, licenses, linededup, ngramjoin, packing, quality_rules, toxicity
 from ledgerflow.llm.common import read_table
 from ledgerflow.llm.labelled import remainder
 
@@ -29,6 +29,11 @@ def op2_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", predicted, "n_windows", "worst")
 
 
+def op4_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     scored = crf.score_quality(docs, crf.train(docs, labels))
@@ -36,6 +41,11 @@ def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", predicted, "n_lines", "n_bad")
 
 
+def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(read_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = linededup.apply_keep(docs, linededup.line_keep_bitmaps(docs))
@@ -53,13 +63,31 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity_gru": op2_toxicity_gru,
+    "op4_benchmark_containment": op4_benchmark_containment,
     "op5_quality_crf": op5_quality_crf,
+    "op6_robust_outliers": op6_robust_outliers,
     "op8_line_dedup": op8_line_dedup,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_benchmark_containment": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_split_to_array(trim(lower(coalesce(text, '')), e' \t\n\x0b\x0c\r'), '[\x20\x09-\x0D]+') AS w FROM documents
+        ), b AS (
+            SELECT item_id, regexp_split_to_array(trim(lower(coalesce(text, '')), e' \t\n\x0b\x0c\r'), '[\x20\x09-\x0D]+') AS w FROM benchmark
+        ), ds AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) AS u(i)
+        ), bs AS (
+            SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM b, unnest(range(1, len(w) - 3)) AS u(i)
+        ), n AS (
+            SELECT item_id, CAST(count(*) AS INT) AS n_item FROM bs GROUP BY item_id
+        ), hits AS (
+            SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id
+        )
+        SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM hits JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item
+    """,
     "op8_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, i AS pos, parts[i] AS line, translate(trim(parts[i], e' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
