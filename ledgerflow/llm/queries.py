@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import crf, decontaminate, licenses, linededup, ngramjoin, packing, quality_rules, toxicity
+from ledgerflow.llm import crf, decontaminate, licenses, linededup, ngramjoin, packing, quality_rules, toxicity, unitdedup
 from ledgerflow.llm.common import read_table
 from ledgerflow.llm.labelled import remainder
 
@@ -29,6 +29,12 @@ def op2_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", predicted, "n_windows", "worst")
 
 
+def op3_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # copied passages begin and end inside lines, so the units are clauses
+    passages = unitdedup.repeated_passages(read_table(spark, sf_dir, "documents"), unit="clause", min_words=25)
+    return passages.drop("text_hash")
+
+
 def op4_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash")
@@ -63,6 +69,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity_gru": op2_toxicity_gru,
+    "op3_unit_dedup": op3_unit_dedup,
     "op4_benchmark_containment": op4_benchmark_containment,
     "op5_quality_crf": op5_quality_crf,
     "op6_robust_outliers": op6_robust_outliers,
