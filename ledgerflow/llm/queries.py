@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import crf, decontaminate, licenses, linededup, ngramjoin, packing, quality_rules, toxicity, unitdedup
+from ledgerflow.llm import crf, decontaminate, licenses, linededup, ngramjoin, packing, quality_rules, surrogates, toxicity, unitdedup
 from ledgerflow.llm.common import read_table
 from ledgerflow.llm.labelled import remainder
 
 
+#: Only a stand-in: a deployment passes its own secret to the operator.
+SURROGATE_KEY = b"a key that is kept elsewhere"
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -52,6 +56,11 @@ def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
 
 
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, SURROGATE_KEY, only_changed=True).withColumn("n_entities", F.size("entities"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = linededup.apply_keep(docs, linededup.line_keep_bitmaps(docs))
@@ -73,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_containment": op4_benchmark_containment,
     "op5_quality_crf": op5_quality_crf,
     "op6_robust_outliers": op6_robust_outliers,
+    "op7_pii_surrogates": op7_pii_surrogates,
     "op8_line_dedup": op8_line_dedup,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_best_fit_packing": op10_best_fit_packing,
