@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import linededup, packing
+from ledgerflow.llm import crf, decontaminate, linededup, ngramjoin, packing
 from ledgerflow.llm.common import read_table, shared_table, ship
 from ledgerflow.llm.queries import tokenizer_path
 
@@ -19,6 +19,17 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+#: Documents that score lower are rejected.
+QUALITY = 0.3
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stay whose lines' length-weighted marginal of "good" is at
+    least ``QUALITY``. The model learns from labelled rows of ``docs``."""
+    model = crf.train(docs, read_table(spark, sf_dir, "labels"))
+    return crf.filter_quality(docs, model, QUALITY).select(*COLUMNS)
+
+
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines go that an earlier document has; a document that loses all of its
     lines goes with them, one that was empty before stays."""
@@ -27,13 +38,27 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return kept.where("n_dropped < n_lines").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of linked documents stays."""
+    ship(spark)
+    return ngramjoin.deduplicate(docs).select(*COLUMNS)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
     ("line_dedup", line_dedup_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
     ("packing", packing_stage),
 ]
 

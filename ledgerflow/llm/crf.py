@@ -20,9 +20,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ledgerflow.llm.labelled import collect_sorted, sample_labels, sample_texts
 
@@ -206,3 +208,14 @@ def score_quality(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col:
     return rows.withColumnRenamed("id", id_col)
 
 
+def filter_quality(docs: DataFrame, model: Crf, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score at least ``least``, with all their
+    columns; scored where they lie, without a join."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(DoubleType())
+    def score(texts: pd.Series) -> pd.Series:
+        made = [line_features(t) for t in texts]
+        return pd.Series(shared.value.score([x for x, _ in made], [w for _, w in made]))
+
+    return docs.where(score(text_col) >= least)
