@@ -6,14 +6,14 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerflow.session import scratch_path
 
 #: The six ASCII white-space characters, ``[\x20\x09-\x0D]``.
 BLANKS = " \t\n\x0b\x0c\r"
 _SHIPPED: set[str] = set()
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,3 +45,16 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f"{package.name}/{f.relative_to(package)}")
     spark.sparkContext.addPyFile(str(archive))
     _SHIPPED.add(app)
+
+
+def keyed_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, id, text_hash): each row of ``docs`` packed whole, so that no
+    column of it can clash with an operator's own, and what identifies it."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(F.struct(*columns).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The packed columns again; those in ``new`` replaced, or added last."""
+    old = [new.get(c, F.col("row").getField(c)).alias(c) for c in columns]
+    return rows.select(*old, *(v.alias(k) for k, v in new.items() if k not in columns))

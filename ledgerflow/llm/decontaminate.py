@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.columns import let, runs, words
-from ledgerflow.llm.common import shared_table
+from ledgerflow.llm.common import keyed_rows, shared_table, unpacked
 
 #: Rows of a side (tens of bytes each) that is broadcast rather than shuffled.
 BROADCAST_ROWS = 500_000
@@ -96,6 +96,7 @@ def contained_items(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that contain an item."""
-    bad = contained_items(docs, items, size, percent, id_col, item_col, text_col).select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    bad = contained_items(docs, items, size, percent, id_col, item_col, text_col).select(F.col(id_col).cast("long").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     bad = _bounded(shared_table(bad, "contaminated"))
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_id"]) & (F.xxhash64(docs[text_col]) == bad["_hash"]), "left_anti")
+    rows = keyed_rows(docs, id_col, text_col)
+    return unpacked(rows.join(bad, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left_anti"), docs.columns)

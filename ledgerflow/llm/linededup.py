@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from ledgerflow.llm.common import BLANKS, shared_table
+from ledgerflow.llm.common import BLANKS, keyed_rows, shared_table, unpacked
 
 _BLANK_BYTES = BLANKS.encode()
 _LINES = "h1 long, h2 long, id long, text_hash long, pos int"
@@ -165,11 +165,8 @@ def _kept(text: pd.Series, packed: pd.Series, n_lines: pd.Series) -> pd.Series:
 def apply_keep(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` cut to its kept lines, plus ``n_lines`` and
     ``n_dropped`` (a column of that name in ``docs`` is replaced)."""
-    b = bitmaps.dropDuplicates([id_col, "text_hash"]).select(
-        _id(id_col).alias("_id"), F.col("text_hash").alias("_hash"), F.col("n_lines").alias("_n"), F.col("n_dropped").alias("_d"), F.col("keep_bitmap").alias("_bits")
-    )
-    docs = docs.withColumn("_id", _id(id_col)).withColumn("_hash", F.xxhash64(F.col(text_col)))
-    joined = docs.join(b, ["_id", "_hash"])
-    rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "_id", "_hash")]
-    kept = F.when(F.col("_d") == 0, F.coalesce(F.col(text_col), F.lit(""))).otherwise(_kept(text_col, "_bits", "_n"))
-    return joined.select(*(kept.alias(c) if c == text_col else F.col(c) for c in rest), F.col("_n").alias("n_lines"), F.col("_d").alias("n_dropped"))
+    known = bitmaps.select(_id(id_col).alias("id"), "text_hash", F.struct("n_lines", "n_dropped", "keep_bitmap").alias("b")).dropDuplicates(["id", "text_hash"])
+    rows = keyed_rows(docs, id_col, text_col).withColumn("id", F.coalesce("id", F.lit(-(2**63)))).join(known, ["id", "text_hash"])
+    text = F.col("row").getField(text_col)
+    kept = F.when(F.col("b.n_dropped") == 0, F.coalesce(text, F.lit(""))).otherwise(_kept(text, F.col("b.keep_bitmap"), F.col("b.n_lines")))
+    return unpacked(rows, docs.columns, **{text_col: kept, "n_lines": F.col("b.n_lines"), "n_dropped": F.col("b.n_dropped")})

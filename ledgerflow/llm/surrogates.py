@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ledgerflow.llm.common import shared_table
+from ledgerflow.llm.common import keyed_rows, shared_table, unpacked
 
 _MALE = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Signor|Господин|Κύριος"
 _FEMALE = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mademoiselle|Señora|Sra|Señorita|Signora|Госпожа|Κυρία"
@@ -275,10 +275,10 @@ def _replaced(text: pd.Series, entities: pd.Series) -> pd.Series:
 
 def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text", only_changed: bool = False) -> DataFrame:
     """``docs`` with every entity replaced, and ``entities``."""
-    found = replacements(docs, key, id_col, text_col).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "entities")
-    rows = docs.drop("entities")
-    same = rows[id_col].cast("long").eqNullSafe(found["_id"]) & (F.xxhash64(rows[text_col]) == found["_hash"])
-    joined = rows.join(found, same, "inner" if only_changed else "left")
-    text = F.when(F.col("entities").isNull(), F.col(text_col)).otherwise(_replaced(text_col, "entities"))
+    found = replacements(docs, key, id_col, text_col).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("entities").alias("found"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    rows = keyed_rows(docs, id_col, text_col).join(found, same, "inner" if only_changed else "left")
+    text = F.col("row").getField(text_col)
     none = F.array().cast("array<struct<start:int,stop:int,type:string,surrogate:string>>")
-    return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in rows.columns), F.coalesce("entities", none).alias("entities"))
+    safe = F.when(F.col("found").isNull(), text).otherwise(_replaced(text, F.col("found")))
+    return unpacked(rows, docs.columns, **{text_col: safe, "entities": F.coalesce("found", none)})

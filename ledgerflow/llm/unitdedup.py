@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ledgerflow.llm.common import shared_table
+from ledgerflow.llm.common import keyed_rows, shared_table, unpacked
 
 #: What separates units.
 SEPARATORS = {"paragraph": r"\n[^\S\n]*(?:\n\s*)+", "line": r"\n", "clause": r"(?<=[.!?,;:])\s+|\n"}
@@ -158,8 +158,9 @@ def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
 def remove_spans(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the passages cut out of ``text_col``, and ``removed``: the
     spans, in offsets of the original text."""
-    cuts = passages.groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("removed"))
-    rows = docs.drop("removed")
-    joined = rows.join(cuts, rows[id_col].cast("long").eqNullSafe(cuts["_id"]) & (F.xxhash64(rows[text_col]) == cuts["_hash"]), "left")
-    text = F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(_without(text_col, "removed"))
-    return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in rows.columns), F.coalesce("removed", F.array().cast("array<struct<start:int,stop:int>>")).alias("removed"))
+    cuts = passages.groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("cut"))
+    rows = keyed_rows(docs, id_col, text_col)
+    rows = rows.join(cuts, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+    text = F.col("row").getField(text_col)
+    kept = F.when(F.col("cut").isNull(), text).otherwise(_without(text, F.col("cut")))
+    return unpacked(rows, docs.columns, **{text_col: kept, "removed": F.coalesce("cut", F.array().cast("array<struct<start:int,stop:int>>"))})
