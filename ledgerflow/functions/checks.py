@@ -23,50 +23,31 @@ def digits_only(c: Column | str, allowed_punctuation: str = "./-") -> Column:
     return F.translate(c, allowed_punctuation, "")
 
 
-def _digit(s: Column, pos: int) -> Column:
-    # ascii('7') - 48 = 7; never raises, unlike a cast under ANSI mode
-    return F.ascii(F.substring(s, pos, 1)) - F.lit(48)
+def _digit(num: Column, pos: int) -> Column:
+    """Digit at 1-based position ``pos`` of 14, in long arithmetic."""
+    return F.call_function("div", num, F.lit(10 ** (14 - pos)).cast("long")) % F.lit(10).cast("long")
 
 
-def _check_digit(s: Column, weights: tuple[int, ...]) -> Column:
+def _weighted(num: Column, weights: tuple[int, ...]) -> Column:
     total = None
     for pos, w in enumerate(weights, start=1):
-        term = _digit(s, pos) * F.lit(w)
+        term = _digit(num, pos) * F.lit(w).cast("long")
         total = term if total is None else total + term
-    r = total % F.lit(11)
-    return F.when(r < 2, F.lit(0)).otherwise(F.lit(11) - r)
+    return total
 
 
-def _num_digit(num: Column, pos: int) -> Column:
-    # exact integer arithmetic: digit at 1-based position ``pos`` of 14
-    p0 = 10 ** (14 - pos)
-    return ((num % F.lit(p0 * 10)) - (num % F.lit(p0))) / F.lit(p0)
+def _check_digit(total: Column) -> Column:
+    r = total % F.lit(11).cast("long")
+    return F.when(r < 2, F.lit(0).cast("long")).otherwise(F.lit(11).cast("long") - r)
 
 
-def _num_check_digit(num: Column, weights: tuple[int, ...]) -> Column:
-    total = None
-    for pos, w in enumerate(weights, start=1):
-        term = _num_digit(num, pos) * F.lit(w)
-        total = term if total is None else total + term
-    r = total.cast("long") % F.lit(11)
-    return F.when(r < 2, F.lit(0)).otherwise(F.lit(11) - r)
-
-
-def cnpj_valid_from_digits(raw: Column, digits: Column, num: Column | None = None, reject_repeated: bool = True) -> Column:
-    """Validity from the raw value, its punctuation-free ``digits`` and,
-    optionally, ``num`` = those digits as a long.
-
-    Pass column references computed once in an earlier projection (see
-    ``with_cnpj_valid``): every check digit reads them. With ``num`` the
-    digits come from integer arithmetic instead of 26 substring reads.
-    """
-    shape_ok = raw.rlike(r"^[0-9./-]+$") & (F.length(digits) == 14) & digits.rlike(r"^[0-9]{14}$")
-    if num is None:
-        ok = (_check_digit(digits, CNPJ_WEIGHTS_1) == _digit(digits, 13)) & (_check_digit(digits, CNPJ_WEIGHTS_2) == _digit(digits, 14))
-    else:
-        ok = (_num_check_digit(num, CNPJ_WEIGHTS_1) == _num_digit(num, 13)) & (_num_check_digit(num, CNPJ_WEIGHTS_2) == _num_digit(num, 14))
+def _verdict(raw: Column, digits: Column, num: Column, sum1: Column, sum2: Column, reject_repeated: bool) -> Column:
+    # only digits and . / - in the raw value, and 14 left after stripping the
+    # punctuation: then those 14 are digits
+    shape_ok = (F.length(F.translate(raw, "0123456789./-", "")) == 0) & (F.length(digits) == 14)
+    ok = (_check_digit(sum1) == _digit(num, 13)) & (_check_digit(sum2) == _digit(num, 14))
     if reject_repeated:
-        ok = ok & ~digits.rlike(r"^(\d)\1{13}$")
+        ok = ok & (digits != F.repeat(F.substring(digits, 1, 1), 14))
     return F.coalesce(F.when(shape_ok, ok).otherwise(F.lit(False)), F.lit(False))
 
 
@@ -74,11 +55,13 @@ def cnpj_is_valid(c: Column | str, reject_repeated: bool = True) -> Column:
     """Boolean Column: true only for a well-formed CNPJ with correct check digits.
 
     Never NULL: a NULL input gives false. Input with characters other than
-    digits and ``. / -`` gives false. Self-contained, so the punctuation is
-    stripped once per digit read; on large frames prefer ``with_cnpj_valid``.
+    digits and ``. / -`` gives false. Self-contained; on large frames prefer
+    ``with_cnpj_valid``, which strips and parses once.
     """
     raw = F.col(c) if isinstance(c, str) else c
-    return cnpj_valid_from_digits(raw, digits_only(raw), None, reject_repeated)
+    digits = digits_only(raw)
+    num = digits.try_cast("long")
+    return _verdict(raw, digits, num, _weighted(num, CNPJ_WEIGHTS_1), _weighted(num, CNPJ_WEIGHTS_2), reject_repeated)
 
 
 def with_cnpj_valid(df: DataFrame, column: str, out: str, reject_repeated: bool = True) -> DataFrame:
@@ -87,32 +70,10 @@ def with_cnpj_valid(df: DataFrame, column: str, out: str, reject_repeated: bool
     Three projections, each kept separate by Catalyst because its outputs
     are read several times (non-trivial expressions are not inlined into
     several places): digits and their numeric value → the two weighted
-    sums → the verdict. Whole-stage codegen gives each projection its own
-    method, so no generated method grows past the size the JIT compiles.
+    sums → the verdict.
     """
     dg, num, s1, s2 = (f"__lf_{k}_{out}" for k in ("dg", "num", "s1", "s2"))
-    raw = F.col(column)
-    step1 = df.withColumn(dg, digits_only(raw)).withColumn(num, F.col(dg).try_cast("long"))
-
-    def wsum(weights):
-        total = None
-        for pos, w in enumerate(weights, start=1):
-            term = _num_digit(F.col(num), pos) * F.lit(w)
-            total = term if total is None else total + term
-        return total.cast("long")
-
-    step2 = step1.withColumn(s1, wsum(CNPJ_WEIGHTS_1)).withColumn(s2, wsum(CNPJ_WEIGHTS_2))
-
-    def dv(total):
-        r = F.col(total) % F.lit(11)
-        return F.when(r < 2, F.lit(0)).otherwise(F.lit(11) - r)
-
-    dgc = F.col(dg)
-    # only digits and . / - in the raw value, and 14 left after stripping
-    # the punctuation: then those 14 are digits
-    shape_ok = (F.length(F.translate(raw, "0123456789./-", "")) == 0) & (F.length(dgc) == 14)
-    ok = (dv(s1) == _num_digit(F.col(num), 13)) & (dv(s2) == _num_digit(F.col(num), 14))
-    if reject_repeated:
-        ok = ok & (dgc != F.repeat(F.substring(dgc, 1, 1), 14))
-    verdict = F.coalesce(F.when(shape_ok, ok).otherwise(F.lit(False)), F.lit(False))
+    step1 = df.withColumn(dg, digits_only(column)).withColumn(num, F.col(dg).try_cast("long"))
+    step2 = step1.withColumn(s1, _weighted(F.col(num), CNPJ_WEIGHTS_1)).withColumn(s2, _weighted(F.col(num), CNPJ_WEIGHTS_2))
+    verdict = _verdict(F.col(column), F.col(dg), F.col(num), F.col(s1), F.col(s2), reject_repeated)
     return step2.withColumn(out, verdict).drop(dg, num, s1, s2)

@@ -61,11 +61,6 @@ def trim_strings(
     return df.select(*out)
 
 
-# Up to this many entries a mapping becomes a CASE expression; beyond it a
-# literal map lookup (one hash probe per row) is used.
-_CASE_LIMIT = 64
-
-
 def canonicalize(
     c: ColumnOrName,
     mapping: Mapping[str, str],
@@ -75,20 +70,20 @@ def canonicalize(
     """Map known values to their canonical form.
 
     Unknown non-null values keep their text plus ``invalid_suffix`` (string
-    concatenation, F4) or become NULL when the suffix is None. NULL stays NULL.
+    concatenation, F4) or become NULL when the suffix is None. NULL stays NULL;
+    a canonical value of None makes NULL. One CASE expression, whatever the
+    number of entries; a mapping of thousands belongs in a dimension table
+    (``operators.entities.Lookup``).
     """
     c = _col(c)
     if invalid_suffix is None:
         fallback = F.lit(None).cast("string")
     else:
         fallback = F.concat(c, F.lit(invalid_suffix))
-    if len(mapping) <= _CASE_LIMIT:
-        expr = None
-        for raw, canon in mapping.items():
-            expr = (F.when if expr is None else expr.when)(c == F.lit(raw), F.lit(canon))
-        return fallback if expr is None else expr.otherwise(fallback)
-    lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return F.coalesce(F.try_element_at(lookup, c), fallback)
+    expr = None
+    for raw, canon in mapping.items():
+        expr = (F.when if expr is None else expr.when)(c == F.lit(raw), F.lit(canon).cast("string"))
+    return fallback if expr is None else expr.otherwise(fallback)
 
 
 def fill_null(df: DataFrame, value: str | int | float, subset: Sequence[str]) -> DataFrame:

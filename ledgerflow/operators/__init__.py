@@ -1,9 +1,9 @@
 """Operators: DataFrame → DataFrame building blocks (joins, rules, upsert...)."""
 
-from ledgerflow.operators.aggregates import collect_labels, count_by, count_rows
+from ledgerflow.operators.aggregates import collect_labels
 from ledgerflow.operators.constraints import check_length, check_not_null, check_references, check_unique
 from ledgerflow.operators.entities import Lookup, extract_entity, resolve_keys, union_distinct
-from ledgerflow.operators.joins import is_bounded, lookup_join, subtract_by_key
+from ledgerflow.operators.joins import lookup_join, subtract_by_key
 from ledgerflow.operators.keys import assign_surrogate_keys
 from ledgerflow.operators.rules import (
     Rule,
@@ -29,7 +29,6 @@ from ledgerflow.operators.upsert import (
     assert_unique_keys,
     keep_latest,
     merge_frames,
-    merge_parts,
     merge_observation,
     merge_stats,
     upsert_snapshot,

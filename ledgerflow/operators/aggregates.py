@@ -1,4 +1,4 @@
-"""Aggregations (A1, A3-A5)."""
+"""Aggregations (A3)."""
 
 from __future__ import annotations
 
@@ -12,16 +12,7 @@ def collect_labels(df: DataFrame, group_cols: Sequence[str], label_col: str, out
     """Distinct labels per group, sorted, joined with ``sep`` (A3).
 
     ``collect_set`` merges map-side, so a group's state is bounded by the
-    number of distinct labels, not by its row count.
+    number of distinct labels, not by its row count: meant for label columns
+    of a fixed vocabulary (rule names, event types), not for free text.
     """
     return df.groupBy(*group_cols).agg(F.concat_ws(sep, F.array_sort(F.collect_set(F.col(label_col)))).alias(out_col))
-
-
-def count_rows(df: DataFrame, out_col: str = "n") -> DataFrame:
-    """One row with the row count (A4) — an aggregation, not a driver action."""
-    return df.agg(F.count(F.lit(1)).alias(out_col))
-
-
-def count_by(df: DataFrame, col: str, out_col: str = "cnt") -> DataFrame:
-    """Rows per value of ``col`` (A5)."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias(out_col))

@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
+from ledgerflow.operators.joins import lookup_join
 
 
 def check_unique(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> DataFrame:
@@ -29,13 +29,13 @@ def check_references(
     parent: DataFrame,
     pk: Sequence[str],
     *,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Child rows whose (all non-NULL) foreign key has no parent row."""
     set_fk = F.lit(True)
     for c in fk:
         set_fk = set_fk & F.col(c).isNotNull()
-    return lookup_join(child.where(set_fk), parent.select(*pk), list(fk), list(pk), "left_anti", broadcast_rows=broadcast_rows)
+    return lookup_join(child.where(set_fk), parent.select(*pk), list(fk), list(pk), "left_anti", broadcast=broadcast)
 
 
 def check_not_null(df: DataFrame, columns: Iterable[str], count_col: str = "n", by_column: bool = False) -> DataFrame:

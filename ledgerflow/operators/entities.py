@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.joins import DEFAULT_BROADCAST_ROWS, lookup_join
+from ledgerflow.operators.joins import lookup_join
 
 ColumnOrName = Column | str
 
@@ -42,8 +42,8 @@ class Lookup:
     take: Mapping[str, str] = field(default_factory=dict)
     how: str = "inner"
     casefold: bool = False
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
-    salt_hot_keys: int | None = None  # see operators.joins.lookup_join
+    broadcast: bool | None = None  # this and the next: see operators.joins.lookup_join
+    salt_hot_keys: int | None = None
 
 
 def resolve_keys(df: DataFrame, lookups: Sequence[Lookup], observe: Observation | None = None) -> DataFrame:
@@ -51,8 +51,9 @@ def resolve_keys(df: DataFrame, lookups: Sequence[Lookup], observe: Observation
 
     With ``observe``, inner lookups run as left joins plus one filter on the
     match markers (the same rows as inner joins), and the Observation gets
-    ``unmatched_<i>``: rows lookup ``i`` dropped, counted during the write
-    with no extra pass.
+    ``unmatched_<i>``: rows lookup ``i`` dropped, counted by the first action
+    on the result with no extra pass. That action must read all of it (a
+    write, a checkpoint), not a ``limit``.
     """
     out = df
     markers: list[tuple[int, str]] = []
@@ -66,10 +67,10 @@ def resolve_keys(df: DataFrame, lookups: Sequence[Lookup], observe: Observation
         if how not in ("inner", "left"):
             raise ValueError(f"unsupported lookup type {lk.how!r}")
         if how == "inner" and observe is None:
-            out = lookup_join(out, right, [key], [lk.dim_key], "inner", broadcast_rows=lk.broadcast_rows,
+            out = lookup_join(out, right, [key], [lk.dim_key], "inner", broadcast=lk.broadcast,
                               salt_hot_keys=lk.salt_hot_keys).drop(marker)
             continue
-        out = lookup_join(out, right, [key], [lk.dim_key], "left", broadcast_rows=lk.broadcast_rows,
+        out = lookup_join(out, right, [key], [lk.dim_key], "left", broadcast=lk.broadcast,
                           salt_hot_keys=lk.salt_hot_keys)
         if how == "inner":
             markers.append((i, marker))

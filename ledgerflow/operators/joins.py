@@ -1,23 +1,20 @@
-"""Lookup joins with a checked broadcast and skew-safe NULL keys.
-
-Strategy for ``lookup_join(left, right, ...)``:
-
-1. **Broadcast only behind a proven bound.** ``is_bounded(right, n)`` first
-   asks the optimizer for a size estimate: a side estimated beyond 8 GB is
-   not broadcast and not counted. Otherwise it runs
-   ``right.limit(n + 1).count()`` (every task reads at most ``n + 1`` rows);
-   a true answer proves the broadcast side holds at most ``n`` rows, where
-   ``n`` also respects a byte budget at the schema's row width.
-2. **Otherwise shuffle both sides.** Hot non-NULL keys on the streamed side
-   are split at runtime by AQE's skew-join handling (enabled in
-   ``ledgerflow.session``), which supports inner, left outer, left semi and
-   left anti joins.
+"""Lookup joins with skew-safe NULL keys.
+
+``lookup_join(left, right, ...)`` is one join in one pass over each side:
+
+1. **Broadcasting is Catalyst's choice** from the optimizer's sizes and, at
+   runtime, AQE's measured shuffle bytes
+   (``spark.sql.autoBroadcastJoinThreshold``, set in ``ledgerflow.session``).
+   No side is counted or probed beforehand. ``broadcast=True`` is the caller's
+   statement that the right side is small; ``broadcast=False`` forbids it.
+2. Hot non-NULL keys on the streamed side are split at runtime by AQE's
+   skew-join handling, which supports inner, left outer, left semi and left
+   anti joins.
 3. **NULL keys never match**, but in a shuffle join they would all hash to
-   one partition. Rows of the preserved side with a NULL key therefore skip
-   the join: they are selected apart (Parquet null-count statistics let that
-   scan skip row groups without NULLs) and unioned back with NULL lookup
-   columns. Even a third of all rows, all identical, with a NULL key stays
-   spread as the input was.
+   one partition. The key of the preserved side therefore carries a salt: 0
+   for a set key (as on the right side), a running number for a row with a
+   NULL in its key. Such rows still match nothing and stay spread, however
+   many and however alike they are.
 """
 
 from __future__ import annotations
@@ -26,61 +23,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# At most this many rows are broadcast by default, and at most this many
-# bytes (estimated from the schema): keys plus a few columns.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-# A side whose optimizer size estimate exceeds this is not counted at all
-# (the count itself would read too much); it takes the shuffle path and AQE
-# may still broadcast it if its real shuffle output turns out small.
-SKIP_CHECK_BYTES = 8 * 1024**3
-
-
-def _estimated_bytes(df: DataFrame) -> int | None:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate available
-        return None
-
-
-def _type_bytes(dt: T.DataType) -> int:
-    # Spark's default sizes: strings count 20 bytes, nested values 100
-    if isinstance(dt, (T.StringType, T.VarcharType, T.CharType)):
-        return 20
-    if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, T.ShortType):
-        return 2
-    if isinstance(dt, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    return 100
-
-
-def _row_bytes(df: DataFrame) -> int:
-    return 8 + sum(_type_bytes(f.dataType) for f in df.schema.fields)
-
-
-def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True only if ``df`` provably has at most ``max_rows`` rows and at most
-    ``max_bytes`` estimated bytes (rows x schema row width).
-
-    The proof is ``df.limit(n + 1).count()``; it is skipped (answer False)
-    when the optimizer already estimates ``df`` beyond ``SKIP_CHECK_BYTES``.
-    """
-    limit = min(max_rows, max(1, max_bytes // _row_bytes(df)))
-    est = _estimated_bytes(df)
-    # an unknown size (RDD or JDBC relation, or plans derived from one) is
-    # reported near Long.MaxValue; no real input is 2^56 bytes, so such
-    # estimates mean "unknown": then count (a JDBC source receives the LIMIT)
-    if est is not None and SKIP_CHECK_BYTES < est < 2**56:
-        return False
-    return df.limit(limit + 1).count() <= limit
+
+#: Hot keys (``salt_hot_keys``) that may be broadcast.
+MAX_HOT_KEYS = 2_000_000
+_NULL_SALTS = 1 << 20
+
+
+def any_null(keys: Sequence[str]) -> Column:
+    out = F.lit(False)
+    for k in keys:
+        out = out | F.col(k).isNull()
+    return out
+
+
+def null_salt(keys: Sequence[str]) -> Column:
+    """0 for rows whose key is set, else a number that spreads the rows."""
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(_NULL_SALTS)) + 1
+    return F.when(any_null(keys), spread).otherwise(F.lit(0).cast("long"))
+
+
+def zero_salt(keys: Sequence[str]) -> Column:
+    """0, but as a column: a literal would be folded out of the join key and
+    the salt with it."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1).cast("long"))
 
 
 _HOW = {"left_outer": "left", "leftouter": "left", "anti": "left_anti", "leftanti": "left_anti",
@@ -94,8 +59,7 @@ def lookup_join(
     right_on: Sequence[str],
     how: str = "inner",
     *,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-    bounded: bool | None = None,
+    broadcast: bool | None = None,
     salt_hot_keys: int | None = None,
     salt_buckets: int = 64,
 ) -> DataFrame:
@@ -105,18 +69,17 @@ def lookup_join(
     parsed key); ``right_on`` names columns of ``right``. ``how`` is one of
     inner, left, left_semi, left_anti. The result has the columns of
     ``left`` followed, for inner/left, by the non-key columns of ``right``
-    (which must not clash with ``left``'s). ``bounded`` skips the size check
-    when the caller already knows the answer.
+    (which must not clash with ``left``'s). ``broadcast`` as in the module
+    docstring.
 
     Keys are joined under fresh internal names, so self-joins (``right``
     derived from ``left``) are unambiguous.
 
-    ``salt_hot_keys=n`` (shuffle path only): keys with at least ``n`` rows on
-    the left are found with one partial aggregation (there are at most
-    rows / n of them, a proven bound, so they are broadcast). Their left rows
-    are scattered over ``salt_buckets`` salts and their right rows are
-    replicated once per salt, so one hot key is spread over many tasks.
-    Other keys keep salt 0.
+    ``salt_hot_keys=n`` (for joins that AQE cannot split, such as one feeding
+    an aggregation on the same key): keys with at least ``n`` rows on the left
+    are found with one partial aggregation and, counted to be few, broadcast.
+    Their left rows are dealt over ``salt_buckets`` salts row by row (identical
+    rows too) and their right rows are replicated once per salt.
     """
     how = _HOW.get(how.lower(), how.lower())
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -131,8 +94,6 @@ def lookup_join(
     rk = [f"__lf_rk{i}" for i in range(len(right_on))]
     l = left.select("*", *[(F.col(a) if isinstance(a, str) else a).alias(n) for a, n in zip(left_on, lk)])
     r = right.select(*[F.col(b).alias(n) for b, n in zip(right_on, rk)], *extra)
-    if bounded is None:
-        bounded = broadcast_rows is not None and is_bounded(right, broadcast_rows)
     pairs = list(zip(lk, rk))
 
     def on(ps) -> Column:
@@ -142,26 +103,17 @@ def lookup_join(
             cond = c if cond is None else (cond & c)
         return cond
 
-    if bounded:
+    if broadcast:
         return l.join(F.broadcast(r), on(pairs), how).select(*left.columns, *extra)
-    null_rows = None
-    if how in ("left", "left_anti"):
-        any_null = None
-        for k in lk:
-            any_null = F.col(k).isNull() if any_null is None else (any_null | F.col(k).isNull())
-        null_rows = l.where(any_null)
-        l = l.where(~any_null)
-    if salt_hot_keys:
-        salt = "__lf_salt"
-        l = l.withColumn(salt, F.lit(0))
-        r = r.withColumn(salt + "_r", F.lit(0))
-        l, r = _salt_hot(l, r, lk, rk, salt, salt_hot_keys, salt_buckets)
+    salt = "__lf_salt"
+    if how in ("left", "left_anti") or salt_hot_keys:
+        l, r = l.withColumn(salt, null_salt(lk)), r.withColumn(salt + "_r", zero_salt(rk))
+        if salt_hot_keys:
+            l, r = _salt_hot(l, r, lk, rk, salt, salt_hot_keys, salt_buckets)
         pairs.append((salt, salt + "_r"))
-    joined = l.join(r, on(pairs), how).select(*left.columns, *extra)
-    if null_rows is not None:
-        fill = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra]
-        joined = joined.unionByName(null_rows.select(*left.columns, *fill))
-    return joined
+    if broadcast is False:
+        r = r.hint("merge")
+    return l.join(r, on(pairs), how).select(*left.columns, *extra)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
@@ -174,17 +126,17 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
 
 def _salt_hot(l: DataFrame, r: DataFrame, lk: list[str], rk: list[str], spread: str, min_rows: int, buckets: int):
     hot = hot_keys(l, lk, min_rows)
-    if not is_bounded(hot, DEFAULT_BROADCAST_ROWS):
+    if hot.count() > MAX_HOT_KEYS:
         raise ValueError(f"salt_hot_keys={min_rows} selects too many keys to broadcast; raise it")
     hot_l = F.broadcast(hot.withColumn("__lf_hot", F.lit(True)))
     hot_r = F.broadcast(hot.select(*[F.col(a).alias(b) for a, b in zip(lk, rk)]).withColumn("__lf_hot", F.lit(True)))
-    lsalt = F.pmod(F.xxhash64(*[F.col(c) for c in l.columns]), F.lit(buckets))
+    lsalt = F.pmod(F.monotonically_increasing_id(), F.lit(buckets))
     l = (
         l.join(hot_l, list(lk), "left")
         .withColumn(spread, F.when(F.col("__lf_hot"), -1 - lsalt).otherwise(F.col(spread)))
         .drop("__lf_hot")
     )
-    salts = F.when(F.col("__lf_hot"), F.sequence(F.lit(-buckets), F.lit(-1))).otherwise(F.array(F.lit(0)))
+    salts = F.when(F.col("__lf_hot"), F.sequence(F.lit(-buckets).cast("long"), F.lit(-1).cast("long"))).otherwise(F.array(F.col(spread + "_r")))
     r = (
         r.join(hot_r, list(rk), "left")
         .withColumn(spread + "_r", F.explode(salts))

@@ -21,24 +21,20 @@ from ledgerflow.session import ensure_checkpoint_dir
 
 
 def assign_surrogate_keys(
-    df: DataFrame, id_col: str = "id", base: int | DataFrame = 0, base_col: str | None = None, *, fixed: bool = False
+    df: DataFrame, id_col: str = "id", base: int | DataFrame = 0, base_col: str | None = None
 ) -> DataFrame:
     """Add ``id_col`` = base + 1, base + 2, ... (gap-free, unique).
 
     ``base`` is an int or a DataFrame whose ``max(base_col or id_col)`` is used
-    (an empty/NULL max counts as 0). ``fixed=True`` says ``df`` is already a
-    deterministic function of checkpointed or written data (same rows in the
-    same partitions on every run), so no checkpoint of its own is taken.
+    (an empty/NULL max counts as 0).
     """
     spark = df.sparkSession
     if isinstance(base, DataFrame):
         m = base.agg(F.max(base_col or id_col)).first()[0]
         base = int(m or 0)
-    if not fixed:
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
-    fixed_df = df
-    tagged = fixed_df.select("*", F.spark_partition_id().alias("__lf_pid"), F.monotonically_increasing_id().alias("__lf_mid"))
+    ensure_checkpoint_dir(spark)
+    df = df.checkpoint(eager=True)
+    tagged = df.select("*", F.spark_partition_id().alias("__lf_pid"), F.monotonically_increasing_id().alias("__lf_mid"))
     counts = {r[0]: r[1] for r in tagged.groupBy("__lf_pid").count().collect()}
     pids = sorted(counts)
     starts = [0, *accumulate(counts[p] for p in pids)][:-1]
@@ -51,18 +47,3 @@ def assign_surrogate_keys(
     pos = F.col("__lf_mid") - F.shiftleft(F.col("__lf_pid").cast("long"), 33)
     new_id = F.lit(base).cast("long") + F.col("__lf_off") + pos + F.lit(1)
     return joined.select(*df.columns, new_id.alias(id_col))
-
-
-def fill_identity(merged: DataFrame, id_col: str, target: DataFrame) -> DataFrame:
-    """Give inserted rows (NULL ``id_col``) new ids above ``max(target.id_col)``.
-
-    The merged rows are checkpointed once, so the join that produced them
-    runs once; rows keeping their id and rows getting one are both read
-    from that copy.
-    """
-    ensure_checkpoint_dir(merged.sparkSession)
-    fixed = merged.checkpoint(eager=True)
-    has = fixed.where(F.col(id_col).isNotNull())
-    new = fixed.where(F.col(id_col).isNull()).drop(id_col)
-    filled = assign_surrogate_keys(new, id_col, base=target, base_col=id_col, fixed=True)
-    return has.unionByName(filled.select(*merged.columns))

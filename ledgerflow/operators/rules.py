@@ -9,8 +9,7 @@
   most once per input partition;
 * row rules are boolean Columns over the grouped rows;
 * lookup rules are left joins of the grouped rows to the distinct key list
-  of a dimension (broadcast only behind a proven bound, see
-  ``operators.joins``), adding a hit flag;
+  of a dimension (see ``operators.joins``), adding a hit flag;
 * the reasons text is ``concat_ws(', ', when(fail_i, label_i) ...)`` in rule
   order, so it is deterministic.
 
@@ -23,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.checks import cnpj_is_valid, with_cnpj_valid
 from ledgerflow.functions.clean import concat_labels
-from ledgerflow.operators.joins import DEFAULT_BROADCAST_ROWS, is_bounded, lookup_join
+from ledgerflow.operators.joins import lookup_join
 
 ColumnOrName = Column | str
 
@@ -52,7 +51,7 @@ class Rule:
     key: Callable[[DataFrame], Column] | None = None
     dim: DataFrame | None = None
     dim_key: ColumnOrName | None = None
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
+    broadcast: bool | None = None  # see operators.joins.lookup_join
     # "frame" rules add their own boolean *pass* column: (df, name) -> df
     add_ok: Callable[[DataFrame, str], DataFrame] | None = None
     salt_hot_keys: int | None = None
@@ -104,7 +103,7 @@ def rule_in_lookup(
     label: str,
     *,
     blocking: bool = True,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    broadcast: bool | None = None,
     salt_hot_keys: int | None = None,
 ) -> Rule:
     """Fires when ``key`` has no match in ``dim[dim_key]``.
@@ -118,7 +117,7 @@ def rule_in_lookup(
     else:
         kf = key
     return Rule(label=label, kind="lookup", key=kf, dim=dim, dim_key=dim_key, blocking=blocking,
-                broadcast_rows=broadcast_rows, salt_hot_keys=salt_hot_keys)
+                broadcast=broadcast, salt_hot_keys=salt_hot_keys)
 
 
 def rule_check_digit(column: ColumnOrName, label: str, kind: str = "cnpj", *, blocking: bool = True) -> Rule:
@@ -144,7 +143,6 @@ class Validation:
     rules: list[Rule]
     count_col: str
     reasons_col: str
-    _persisted: bool = field(default=False, repr=False)
 
     @property
     def accepted(self) -> DataFrame:
@@ -230,10 +228,8 @@ def validate(
         elif rule.kind == "lookup":
             hit = f"__lf_hit{i}"
             dim_keys = rule.dim.select(_col(rule.dim_key).alias("__lf_dk")).where(F.col("__lf_dk").isNotNull())
-            # proven bound on the raw key rows (>= distinct keys), cheap to check
-            bounded = rule.broadcast_rows is not None and is_bounded(dim_keys, rule.broadcast_rows)
             dim_keys = dim_keys.distinct().withColumn(hit, F.lit(True))
-            g = lookup_join(g, dim_keys, [rule.key(g)], ["__lf_dk"], "left", bounded=bounded, salt_hot_keys=rule.salt_hot_keys)
+            g = lookup_join(g, dim_keys, [rule.key(g)], ["__lf_dk"], "left", broadcast=rule.broadcast, salt_hot_keys=rule.salt_hot_keys)
             g = g.withColumn(name, F.col(hit).isNull()).drop(hit)
         else:
             raise ValueError(f"unknown rule kind {rule.kind!r}")

@@ -55,9 +55,15 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", cols or None)
 
 
-def _customers_known(spark, sf_dir) -> DataFrame:
-    # every tenth customer is missing from the dimension, so lookups fail
-    return table(spark, sf_dir, "customer", "c_custkey").where(F.col("c_custkey") % 10 != 0)
+def _customers(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer", "c_custkey")
+
+
+def _orders_with_bad_keys(spark, sf_dir, *extra) -> DataFrame:
+    """Orders of whose customer keys every tenth is broken, so lookups fail."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", *extra)
+    bad = F.when(F.col("o_orderkey") % 10 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    return o.withColumn("o_custkey", bad)
 
 
 # ---------------------------------------------------------------- sources
@@ -145,10 +151,10 @@ def sink_csv_roundtrip(spark, sf_dir):
 
 
 def _customer_upsert(spark, sf_dir):
+    # both sides are the whole table; every second source key is in the target
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
-    target = cust.where(F.col("c_custkey") % 2 == 0)
-    source = cust.where(F.col("c_custkey") % 3 == 0).select("c_custkey", F.lower("c_mktsegment").alias("c_mktsegment"))
-    return upsert_snapshot(target, source, ["c_custkey"])
+    source = cust.select((F.col("c_custkey") * 2).alias("c_custkey"), F.lower("c_mktsegment").alias("c_mktsegment"))
+    return upsert_snapshot(cust, source, ["c_custkey"])
 
 
 def upsert_snapshot_q(spark, sf_dir):
@@ -161,9 +167,8 @@ def merge_stats_q(spark, sf_dir):
 
 def jdbc_upsert(spark, sf_dir):
     sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
-    target = sup.where(F.col("s_suppkey") % 2 == 0)
-    cfg = _derby(spark, {"SUPPLIER_T": target})
-    source = sup.where(F.col("s_suppkey") % 3 == 0).select("s_suppkey", F.lower("s_name").alias("s_name"))
+    cfg = _derby(spark, {"SUPPLIER_T": sup})
+    source = sup.select((F.col("s_suppkey") * 2).alias("s_suppkey"), F.lower("s_name").alias("s_name"))
     J.upsert_jdbc(source, cfg, "SUPPLIER_T", ["s_suppkey"], column_types=J.string_column_types(source, 512))
     return J.read_jdbc(spark, cfg, table="SUPPLIER_T")
 
@@ -175,6 +180,51 @@ def ci_upsert(spark, sf_dir):
     return upsert_snapshot(target, source, ["segment"], case_insensitive=True).state
 
 
+def upsert_identity(spark, sf_dir):
+    """Half of the source's names are new: they get ids above the largest;
+    stored ids stay."""
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment")
+    target = cust.select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("stored"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    name = F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).otherwise(F.concat(F.lit("new "), "c_name"))
+    source = cust.select((-F.col("c_custkey")).alias("id"), name.alias("name"), F.lower("c_mktsegment").alias("segment"))
+    state = upsert_snapshot(target, source, ["name"], identity_col="id").state
+    return state.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("n_ids"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
+        F.count_if(F.col("id") == F.col("stored")).alias("n_kept"), F.count_if(F.col("segment") == F.lower("segment")).alias("n_written"),
+    )
+
+
+def upsert_latest(spark, sf_dir):
+    """Orders keyed by customer: many rows a key, of which the last one counts."""
+    target = table(spark, sf_dir, "customer", "c_custkey").withColumn("last_order", F.lit(0).cast("long"))
+    source = table(spark, sf_dir, "orders", "o_custkey", "o_orderkey").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").cast("long").alias("last_order"))
+    return upsert_snapshot(target, source, ["c_custkey"], on_duplicate="latest", order_by=["last_order"]).state
+
+
+def ci_upsert_duplicates(spark, sf_dir):
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+    target = cust.select(F.upper("c_mktsegment").alias("segment")).distinct().withColumn("n", F.lit(0).cast("long"))
+    key = F.col("c_custkey").cast("long")
+    source = cust.select(F.lower("c_mktsegment").alias("segment"), (key * 2).alias("n")).union(cust.select(F.initcap("c_mktsegment"), key * 2 + 1))
+    return upsert_snapshot(target, source, ["segment"], case_insensitive=True, on_duplicate="latest", order_by=["n"]).state
+
+
+def dimension_load(spark, sf_dir):
+    """Postal codes from a headerless file into a stored table, twice (D2):
+    rows whose code is no number are rejected, not piled up."""
+    from ledgerflow.plans.jobs import compute_postal_codes
+    from ledgerflow.plans.tables import LakeTables
+
+    s = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    code = F.when(F.col("s_suppkey") % 10 == 0, F.lit("none")).otherwise(F.col("s_suppkey").cast("string"))
+    path = scratch_path(spark, "postal-codes")
+    write_csv(s.select(code.alias("a"), F.lit(" sp ").alias("b"), F.concat(F.lit("city "), "s_nationkey").alias("c"), F.col("s_name").alias("d"), F.lit("x").alias("e")), path, sep=";", header=False)
+    tables = LakeTables(spark, scratch_path(spark, "lake"))
+    for _ in range(2):
+        tables.upsert("CEP", compute_postal_codes(spark, path))
+    return tables.read("CEP")
+
+
 # ---------------------------------------------------------- projections
 
 
@@ -259,8 +309,14 @@ def rule_domain(spark, sf_dir):
 
 
 def rule_lookup(spark, sf_dir):
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    v = validate(o, [rule_in_lookup("o_custkey", _customers_known(spark, sf_dir), "c_custkey", "invalid customer")])
+    v = validate(_orders_with_bad_keys(spark, sf_dir), [rule_in_lookup("o_custkey", _customers(spark, sf_dir), "c_custkey", "invalid customer")])
+    return _reasons(v, "o_orderkey")
+
+
+def rule_lookup_shuffled(spark, sf_dir):
+    """NULL and bad keys against a dimension that is not broadcast."""
+    o = _orders_with_bad_keys(spark, sf_dir).withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")))
+    v = validate(o, [rule_in_lookup("o_custkey", _customers(spark, sf_dir), "c_custkey", "invalid customer", broadcast=False)])
     return _reasons(v, "o_orderkey")
 
 
@@ -337,6 +393,7 @@ def inner_lookup(spark, sf_dir):
 def casefold_lookup(spark, sf_dir):
     ev = table(spark, sf_dir, "events", "event_id", "event_type")
     dim = ev.select(F.upper("event_type").alias("descr"), F.length("event_type").cast("int").alias("len")).distinct()
+    ev = ev.withColumn("event_type", F.when(F.col("event_id") % 10 == 0, F.concat("event_type", F.lit("?"))).otherwise(F.col("event_type")))
     out = resolve_keys(ev, [Lookup(dim, "event_type", "descr", take={"len": "len"}, casefold=True)])
     return out.select("event_id", "len")
 
@@ -344,7 +401,8 @@ def casefold_lookup(spark, sf_dir):
 def two_lookups(spark, sf_dir):
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    nation = table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey").where(F.col("n_regionkey") != 0)
+    cust = cust.withColumn("c_nationkey", F.when(F.col("c_custkey") % 10 == 0, F.lit(-1)).otherwise(F.col("c_nationkey")))
+    nation = table(spark, sf_dir, "nation", "n_nationkey")
     out = resolve_keys(o, [
         Lookup(cust, "o_custkey", "c_custkey", take={"c_custkey": "customer_id", "c_nationkey": "c_nationkey"}),
         Lookup(nation, "c_nationkey", "n_nationkey", take={"n_nationkey": "nation_id"}, how="left"),
@@ -352,6 +410,52 @@ def two_lookups(spark, sf_dir):
     return out.select("o_orderkey", "customer_id", "nation_id", F.to_date("o_orderdate").alias("order_date"))
 
 
+def supplier_addresses(spark, sf_dir):
+    """The address load (D6) with customers as suppliers and market segments
+    as address types; some of either are unknown."""
+    from ledgerflow.plans.jobs import compute_supplier_addresses
+
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    staging = c.select(
+        F.when(F.col("c_custkey") % 10 == 0, F.lit("unknown")).otherwise(F.col("c_name")).alias("CNPJ_FORNECEDOR"),
+        F.when(F.col("c_custkey") % 7 == 0, F.lit("unknown")).otherwise(F.lower("c_mktsegment")).alias("TIPO_ENDERECO"),
+        F.col("c_custkey").cast("string").alias("NUM_ENDERECO"), F.lit("N/A").alias("COMPLEMENTO"), F.col("c_nationkey").cast("string").alias("CEP"),
+    )
+    kinds = c.select(F.ascii("c_mktsegment").alias("ID_TIPO_ENDERECO"), F.upper("c_mktsegment").alias("DESCRICAO")).distinct()
+    return compute_supplier_addresses(staging, c.select(F.col("c_name").alias("CNPJ"), F.col("c_custkey").alias("ID_FORNECEDOR")), kinds)
+
+
+def _invoice_fact(spark, sf_dir):
+    from ledgerflow.plans.jobs import compute_invoices
+
+    o = _orders_with_bad_keys(spark, sf_dir, "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    money = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    staging = o.select(
+        F.col("o_orderkey").cast("string").alias("NUMERO_NF"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("DATA_EMISSAO"),
+        money.alias("VALOR_NET"), F.lit("0.00").alias("VALOR_TRIBUTO"), money.alias("VALOR_TOTAL"), F.col("o_orderpriority").alias("NOME_ITEM"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.lit("many")).otherwise(F.lit("1")).alias("QTD_ITEM"),
+        F.col("o_orderstatus").alias("CONDICAO_PAGAMENTO"), F.col("o_custkey").cast("string").alias("CNPJ_FORNECEDOR"),
+    )
+    c = _customers(spark, sf_dir)
+    suppliers = c.select(F.col("c_custkey").cast("string").alias("CNPJ"), F.col("c_custkey").alias("ID_FORNECEDOR"))
+    terms = spark.createDataFrame([(1, "O", 3), (2, "F", 0)], "ID_CONDICAO int, DESCRICAO string, QTD_PARCELAS int")
+    return compute_invoices(staging, suppliers, terms), terms
+
+
+def invoice_fact(spark, sf_dir):
+    """The invoice load (D7): supplier by inner, payment term by left lookup."""
+    return _invoice_fact(spark, sf_dir)[0]
+
+
+def unscheduled_invoices_q(spark, sf_dir):
+    """Invoices of an unknown term (status P) or one without installments (F)."""
+    from ledgerflow.plans.jobs import unscheduled_invoices
+
+    invoices, terms = _invoice_fact(spark, sf_dir)
+    counted = resolve_keys(invoices, [Lookup(terms, "ID_CONDICAO", "ID_CONDICAO", take={"QTD_PARCELAS": "QTD_PARCELAS"}, how="left")])
+    return unscheduled_invoices(counted).select("NUMERO_NF", "QTD_PARCELAS")
+
+
 def union_distinct_q(spark, sf_dir):
     c = table(spark, sf_dir, "customer", "c_nationkey").select(F.col("c_nationkey").alias("k"), F.lit("customer").alias("src"))
     s = table(spark, sf_dir, "supplier", "s_nationkey").select(F.col("s_nationkey").alias("k"), F.lit("supplier").alias("src"))
@@ -397,11 +501,12 @@ def flagship_schedule(spark, sf_dir):
     """orders → canonical priority → quarantine (not-null, domain, customer
     lookup) → installment schedule of the accepted orders → status."""
     inv = _invoices(spark, sf_dir, "o_custkey", "o_orderpriority")
-    inv = inv.select("o_orderkey", "o_custkey", "d", "total", "n", canonicalize("o_orderpriority", PRIORITY_MAP).alias("priority"))
+    customer = F.when(F.col("o_orderkey") % 10 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    inv = inv.select("o_orderkey", customer.alias("o_custkey"), "d", "total", "n", canonicalize("o_orderpriority", PRIORITY_MAP).alias("priority"))
     v = validate(inv, [
         rule_not_null(),
         rule_in_domain("priority", sorted(set(PRIORITY_MAP.values())), "invalid priority"),
-        rule_in_lookup("o_custkey", _customers_known(spark, sf_dir), "c_custkey", "invalid customer"),
+        rule_in_lookup("o_custkey", _customers(spark, sf_dir), "c_custkey", "invalid customer"),
     ])
     sched = installment_schedule(v.accepted, id_col="o_orderkey", issue_date_col="d", total_col="total", count_col="n")
     return refresh_status(_rounded(sched), "due_date", "status", as_of=AS_OF)
@@ -422,8 +527,7 @@ def check_unique_q(spark, sf_dir):
 
 
 def check_references_q(spark, sf_dir):
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-    return check_references(o, ["o_custkey"], _customers_known(spark, sf_dir), ["c_custkey"])
+    return check_references(_orders_with_bad_keys(spark, sf_dir), ["o_custkey"], _customers(spark, sf_dir), ["c_custkey"])
 
 
 def check_not_null_q(spark, sf_dir):
@@ -449,6 +553,10 @@ QUERIES: dict[str, Query] = {
     "jdbc_upsert": jdbc_upsert,
     "merge_stats": merge_stats_q,
     "ci_upsert": ci_upsert,
+    "upsert_identity": upsert_identity,
+    "upsert_latest": upsert_latest,
+    "ci_upsert_duplicates": ci_upsert_duplicates,
+    "dimension_load": dimension_load,
     "select_rename_distinct": select_rename_distinct,
     "trim_all_strings": trim_all_strings,
     "upper_trim": upper_trim_q,
@@ -462,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "rule_null": rule_null,
     "rule_domain": rule_domain,
     "rule_lookup": rule_lookup,
+    "rule_lookup_shuffled": rule_lookup_shuffled,
     "rule_check_digit": rule_check_digit,
     "rule_duplicated": rule_duplicated_q,
     "accepted_rows": accepted_rows,
@@ -474,6 +583,9 @@ QUERIES: dict[str, Query] = {
     "inner_lookup": inner_lookup,
     "casefold_lookup": casefold_lookup,
     "two_lookups": two_lookups,
+    "supplier_addresses": supplier_addresses,
+    "invoice_fact": invoice_fact,
+    "unscheduled_invoices": unscheduled_invoices_q,
     "union_distinct": union_distinct_q,
     "installment_schedule": installment_schedule_q,
     "status_as_of": status_as_of,

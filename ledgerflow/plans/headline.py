@@ -21,7 +21,9 @@ from ledgerflow.plans.catalog import table
 def lineitem_quarantine(spark: SparkSession, sf_dir: str):
     li = table(spark, sf_dir, "lineitem")
     li = li.withColumn("tax_id", F.lpad((F.col("l_orderkey") * 10007 + 33000167).cast("string"), 14, "0"))
-    part = table(spark, sf_dir, "part", "p_partkey").where(F.col("p_partkey") % 50 != 0)
+    # every fiftieth part key is broken
+    li = li.withColumn("l_partkey", F.when(F.col("l_partkey") % 50 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey")))
+    part = table(spark, sf_dir, "part", "p_partkey")
     rules = [
         rule_duplicated(),
         rule_not_null(),
@@ -34,13 +36,11 @@ def lineitem_quarantine(spark: SparkSession, sf_dir: str):
 
 def orders_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    target = o.where(F.col("o_orderkey") % 2 == 0)
-    source = o.where(F.col("o_orderkey") % 3 == 0).withColumn("o_orderpriority", F.lower("o_orderpriority"))
-    return upsert_snapshot(target, source, ["o_orderkey"]).merged
+    source = o.withColumn("o_orderkey", F.col("o_orderkey") * 2).withColumn("o_orderpriority", F.lower("o_orderpriority"))
+    return upsert_snapshot(o, source, ["o_orderkey"]).merged
 
 
 def customer_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    target = c.where(F.col("c_custkey") % 2 == 0)
-    source = c.where(F.col("c_custkey") % 3 == 0).withColumn("c_acctbal", F.col("c_acctbal") + 1)
-    return upsert_snapshot(target, source, ["c_custkey"], only_changed=True).merged
+    source = c.withColumn("c_custkey", F.col("c_custkey") * 2).withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    return upsert_snapshot(c, source, ["c_custkey"], only_changed=True).merged

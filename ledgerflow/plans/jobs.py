@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerflow.functions import canonicalize, cast_columns, fill_null, trim_strings, try_int, upper_trim
 from ledgerflow.operators import (
@@ -25,6 +26,7 @@ from ledgerflow.operators import (
     Validation,
     extract_entity,
     installment_schedule,
+    invalid_installment_counts,
     refresh_status,
     resolve_keys,
     rule_check_digit,
@@ -36,7 +38,7 @@ from ledgerflow.operators import (
     validate,
 )
 from ledgerflow.plans.tables import JdbcTables, LakeTables, pending_rows
-from ledgerflow.session import scratch_path, sized_shuffle
+from ledgerflow.session import remove_path, scratch_path, sized_shuffle
 from ledgerflow.sources import read_csv, read_parquet, string_schema, typed_schema, write_csv, write_parquet
 
 LOG = logging.getLogger("ledgerflow")
@@ -78,11 +80,16 @@ class JobConfig:
     purchases_file: str = "compras.csv"
     terms_file: str = "condicao_pagamento.csv"
     address_types_file: str = "tipo_endereco.csv"
-    postal_codes_file: str = "postal_codes.csv"
+    postal_codes_file: str = "postal_codes.csv"  # a name of this library's own
     term_aliases: Mapping[str, str] = field(default_factory=lambda: dict(TERM_ALIASES))
     as_of: date | str | None = None        # payment status reference day; None = today
     jdbc: object | None = None             # JdbcConfig → tables in a database
     jdbc_upsert_method: str = "merge"      # or "update_insert"
+    # what becomes of source rows that share a business key: "raise" stops the
+    # job, "latest" keeps the row with the largest ``order_by`` values
+    on_duplicate: str = "raise"
+    order_by: Mapping[str, list[str]] = field(default_factory=dict)  # per table; default: all its columns
+    keep_versions: int | None = None       # lake tables: versions that stay; None = all
 
     def src(self, name: str) -> str:
         return f"{self.source_path.rstrip('/')}/{name}"
@@ -94,7 +101,12 @@ class JobConfig:
 def tables_for(spark: SparkSession, cfg: JobConfig):
     if cfg.jdbc is not None:
         return JdbcTables(spark, cfg.jdbc, cfg.jdbc_upsert_method)
-    return LakeTables(spark, cfg.out("tables"))
+    return LakeTables(spark, cfg.out("tables"), cfg.keep_versions)
+
+
+def _upsert(spark, cfg: JobConfig, name: str, df: DataFrame) -> dict[str, int]:
+    order = cfg.order_by.get(name) or df.columns
+    return tables_for(spark, cfg).upsert(name, df, on_duplicate=cfg.on_duplicate, order_by=order)
 
 
 # ---------------------------------------------------------------- dimensions
@@ -200,18 +212,21 @@ def compute_invoices(staging: DataFrame, suppliers: DataFrame, terms: DataFrame,
     })
 
 
-def compute_schedule(invoices: DataFrame, terms: DataFrame, pending: DataFrame | None, as_of=None, **schedule_kw) -> DataFrame:
+def unscheduled_invoices(invoices: DataFrame, count_col: str = "QTD_PARCELAS") -> DataFrame:
+    """Invoices that get no schedule: their payment term is unknown or gives
+    no installments."""
+    return invalid_installment_counts(invoices, count_col)
+
+
+def compute_schedule(invoices: DataFrame, pending: DataFrame | None, as_of=None, **schedule_kw) -> DataFrame:
     """Installment schedule of the invoices plus still-pending rows, with status.
 
-    ``invoices`` needs ID_NF_ENTRADA, DATA_EMISSAO, VALOR_TOTAL, ID_CONDICAO;
-    the installment count comes from ``terms`` (inner join on ID_CONDICAO).
+    ``invoices`` needs ID_NF_ENTRADA, DATA_EMISSAO, VALOR_TOTAL and the
+    QTD_PARCELAS of their payment term (``unscheduled_invoices`` lists those
+    that get no row).
     """
-    inv = resolve_keys(
-        invoices.select("ID_NF_ENTRADA", "DATA_EMISSAO", "VALOR_TOTAL", "ID_CONDICAO"),
-        [Lookup(terms, "ID_CONDICAO", "ID_CONDICAO", take={"QTD_PARCELAS": "QTD_PARCELAS"})],
-    )
     sched = installment_schedule(
-        inv, id_col="ID_NF_ENTRADA", issue_date_col="DATA_EMISSAO", total_col="VALOR_TOTAL", count_col="QTD_PARCELAS",
+        invoices, id_col="ID_NF_ENTRADA", issue_date_col="DATA_EMISSAO", total_col="VALOR_TOTAL", count_col="QTD_PARCELAS",
         due_col="DATA_VENCIMENTO", number_col="NUM_PARCELA", amount_col="VALOR_PARCELA", **schedule_kw,
     )
     if pending is not None:
@@ -228,15 +243,15 @@ def _log(job: str, stats: Mapping[str, int]) -> dict[str, int]:
 
 
 def run_postal_codes(spark, cfg: JobConfig):
-    return _log("CEP", tables_for(spark, cfg).upsert("CEP", compute_postal_codes(spark, cfg.src(cfg.postal_codes_file))))
+    return _log("CEP", _upsert(spark, cfg, "CEP", compute_postal_codes(spark, cfg.src(cfg.postal_codes_file))))
 
 
 def run_payment_terms(spark, cfg: JobConfig):
-    return _log("CONDICAO_PAGAMENTO", tables_for(spark, cfg).upsert("CONDICAO_PAGAMENTO", compute_payment_terms(spark, cfg.src(cfg.terms_file))))
+    return _log("CONDICAO_PAGAMENTO", _upsert(spark, cfg, "CONDICAO_PAGAMENTO", compute_payment_terms(spark, cfg.src(cfg.terms_file))))
 
 
 def run_address_types(spark, cfg: JobConfig):
-    return _log("TIPO_ENDERECO", tables_for(spark, cfg).upsert("TIPO_ENDERECO", compute_address_types(spark, cfg.src(cfg.address_types_file))))
+    return _log("TIPO_ENDERECO", _upsert(spark, cfg, "TIPO_ENDERECO", compute_address_types(spark, cfg.src(cfg.address_types_file))))
 
 
 def run_quarantine(spark, cfg: JobConfig):
@@ -249,10 +264,12 @@ def run_quarantine(spark, cfg: JobConfig):
     # The grouping shuffles the whole input: size its partitions for it.
     with sized_shuffle(spark, purchases):
         # a fresh folder per run in the shared scratch area: runs never collide
-        v = v.materialize(scratch_path(spark, "purchases-annotated"))
+        annotated = scratch_path(spark, "purchases-annotated")
+        v = v.materialize(annotated)
     ok = write_parquet(v.accepted, cfg.out("staging/purchases"), observe="accepted")
     bad = write_csv(v.rejected, cfg.out("rejected/purchases"), sep=";", header=True, observe="rejected")
     stats = {"written": int(ok.get["rows"]), "rejected": int(bad.get["rows"])}
+    remove_path(spark, annotated)
     return _log("quarantine", stats)
 
 
@@ -261,7 +278,7 @@ def read_staging(spark, cfg: JobConfig) -> DataFrame:
 
 
 def run_suppliers(spark, cfg: JobConfig):
-    return _log("FORNECEDORES", tables_for(spark, cfg).upsert("FORNECEDORES", compute_suppliers(read_staging(spark, cfg))))
+    return _log("FORNECEDORES", _upsert(spark, cfg, "FORNECEDORES", compute_suppliers(read_staging(spark, cfg))))
 
 
 def run_supplier_addresses(spark, cfg: JobConfig):
@@ -271,7 +288,7 @@ def run_supplier_addresses(spark, cfg: JobConfig):
     t = tables_for(spark, cfg)
     obs = Observation("addresses-unmatched")
     df = compute_supplier_addresses(read_staging(spark, cfg), t.read("FORNECEDORES"), t.read("TIPO_ENDERECO"), observe=obs)
-    stats = t.upsert("ENDERECOS_FORNECEDORES", df)
+    stats = _upsert(spark, cfg, "ENDERECOS_FORNECEDORES", df)
     got = obs.get
     stats.update(unmatched_supplier=int(got.get("unmatched_0", 0)), unmatched_address_type=int(got.get("unmatched_1", 0)))
     return _log("ENDERECOS_FORNECEDORES", stats)
@@ -283,17 +300,22 @@ def run_invoices(spark, cfg: JobConfig):
     t = tables_for(spark, cfg)
     obs = Observation("invoices-unmatched")
     df = compute_invoices(read_staging(spark, cfg), t.read("FORNECEDORES"), t.read("CONDICAO_PAGAMENTO"), observe=obs)
-    stats = t.upsert("NOTAS_FISCAIS_ENTRADA", df)
+    stats = _upsert(spark, cfg, "NOTAS_FISCAIS_ENTRADA", df)
     stats.update(unmatched_supplier=int(obs.get.get("unmatched_0", 0)))
     return _log("NOTAS_FISCAIS_ENTRADA", stats)
 
 
 def run_schedule(spark, cfg: JobConfig):
+    """``unscheduled`` counts the invoices without any installment, among them
+    ``unmatched_term`` of no known payment term; left out when zero."""
     t = tables_for(spark, cfg)
     cols = ["ID_NF_ENTRADA", "DATA_VENCIMENTO", "NUM_PARCELA", "VALOR_PARCELA"]
     pending = pending_rows(t.read("PROGRAMACAO_PAGAMENTO"), STATUS_PENDING, cols)
-    df = compute_schedule(t.read("NOTAS_FISCAIS_ENTRADA"), t.read("CONDICAO_PAGAMENTO"), pending, as_of=cfg.as_of)
-    return _log("PROGRAMACAO_PAGAMENTO", t.upsert("PROGRAMACAO_PAGAMENTO", df))
+    invoices = t.invoices_with_counts()
+    stats = _upsert(spark, cfg, "PROGRAMACAO_PAGAMENTO", compute_schedule(invoices, pending, as_of=cfg.as_of))
+    lost = unscheduled_invoices(invoices).agg(F.count(F.lit(1)).alias("unscheduled"), F.count_if(F.col("QTD_PARCELAS").isNull()).alias("unmatched_term")).first()
+    stats.update({k: int(v) for k, v in lost.asDict().items() if v})
+    return _log("PROGRAMACAO_PAGAMENTO", stats)
 
 
 def run_all(spark, cfg: JobConfig) -> dict[str, dict[str, int]]:

@@ -32,16 +32,29 @@ SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
 SELECT c_custkey, c_name, c_mktsegment FROM customer
 """,
     "upsert_snapshot": """
-SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS c_mktsegment FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0
+SELECT coalesce(s.k, t.c_custkey) AS c_custkey, coalesce(s.seg, t.c_mktsegment) AS c_mktsegment FROM customer t FULL OUTER JOIN (SELECT c_custkey * 2 AS k, lower(c_mktsegment) AS seg FROM customer) s ON t.c_custkey = s.k
 """,
     "jdbc_upsert": """
-SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN lower(s_name) ELSE s_name END AS s_name FROM supplier WHERE s_suppkey % 2 = 0 OR s_suppkey % 3 = 0
+SELECT coalesce(s.k, t.s_suppkey) AS s_suppkey, coalesce(s.n, t.s_name) AS s_name FROM supplier t FULL OUTER JOIN (SELECT s_suppkey * 2 AS k, lower(s_name) AS n FROM supplier) s ON t.s_suppkey = s.k
 """,
     "merge_stats": """
-SELECT CASE WHEN c_custkey % 2 = 0 THEN 'UPDATE' ELSE 'INSERT' END AS action, count(*) AS cnt FROM customer WHERE c_custkey % 3 = 0 GROUP BY 1
+SELECT CASE WHEN t.c_custkey IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS action, count(*) AS cnt FROM (SELECT c_custkey * 2 AS k FROM customer) s LEFT JOIN customer t ON t.c_custkey = s.k GROUP BY 1
 """,
     "ci_upsert": """
 SELECT lower(c_mktsegment) AS segment, count(*) AS n FROM customer GROUP BY 1
+""",
+    "upsert_identity": """
+WITH m AS (SELECT max(c_custkey) AS top, min(c_custkey) AS low, count(*) AS n, count(*) FILTER (WHERE c_custkey % 2 <> 0) AS added, count(*) FILTER (WHERE c_custkey % 2 = 0) AS changed FROM customer)
+SELECT n + added AS n, n + added AS n_ids, low AS min_id, top + added AS max_id, n AS n_kept, added + changed AS n_written FROM m
+""",
+    "upsert_latest": """
+SELECT coalesce(c.c_custkey, o.k) AS c_custkey, coalesce(o.last, CAST(0 AS BIGINT)) AS last_order FROM customer c FULL OUTER JOIN (SELECT o_custkey AS k, CAST(max(o_orderkey) AS BIGINT) AS last FROM orders GROUP BY 1) o ON c.c_custkey = o.k
+""",
+    "ci_upsert_duplicates": """
+SELECT upper(substr(max(c_mktsegment), 1, 1)) || lower(substr(max(c_mktsegment), 2)) AS segment, CAST(max(c_custkey) * 2 + 1 AS BIGINT) AS n FROM customer GROUP BY upper(c_mktsegment)
+""",
+    "dimension_load": """
+SELECT CAST(s_suppkey AS INTEGER) AS CEP, 'SP' AS UF, 'CITY ' || s_nationkey AS CIDADE, upper(trim(s_name)) AS BAIRRO, 'X' AS LOGRADOURO FROM supplier WHERE s_suppkey % 10 <> 0
 """,
     "select_rename_distinct": """
 SELECT DISTINCT c_nationkey AS nation_id, c_mktsegment AS segment FROM customer
@@ -80,7 +93,10 @@ SELECT event_id, 'null column(s)' AS inconsistency FROM events WHERE nullif(even
 SELECT o_orderkey, 'invalid priority' AS inconsistency FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')
 """,
     "rule_lookup": """
-SELECT o_orderkey, 'invalid customer' AS inconsistency FROM orders o LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0) c ON o.o_custkey = c.c_custkey WHERE c.c_custkey IS NULL
+SELECT o_orderkey, 'invalid customer' AS inconsistency FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN -o_custkey ELSE o_custkey END AS k FROM orders) o LEFT JOIN customer c ON o.k = c.c_custkey WHERE c.c_custkey IS NULL
+""",
+    "rule_lookup_shuffled": """
+SELECT o_orderkey, 'invalid customer' AS inconsistency FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN CASE WHEN o_orderkey % 10 = 0 THEN -o_custkey ELSE o_custkey END END AS k FROM orders) o LEFT JOIN customer c ON o.k = c.c_custkey WHERE c.c_custkey IS NULL
 """,
     "rule_check_digit": """
 WITH d AS (SELECT o_orderkey, lpad(CAST(o_orderkey * 10007 + 33000167 AS VARCHAR), 14, '0') AS t FROM orders),
@@ -115,12 +131,25 @@ SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT o_order
 SELECT o.o_orderkey, c.c_custkey AS customer_id, c.c_name FROM orders o INNER JOIN customer c ON o.o_custkey = c.c_custkey
 """,
     "casefold_lookup": """
-WITH dim AS (SELECT DISTINCT upper(event_type) AS descr, CAST(length(event_type) AS INTEGER) AS len FROM events)
-SELECT e.event_id, d.len FROM events e INNER JOIN dim d ON upper(e.event_type) = d.descr
+WITH dim AS (SELECT DISTINCT upper(event_type) AS descr, CAST(length(event_type) AS INTEGER) AS len FROM events),
+ e AS (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN event_type || '?' ELSE event_type END AS event_type FROM events)
+SELECT e.event_id, d.len FROM e INNER JOIN dim d ON upper(e.event_type) = d.descr
 """,
     "two_lookups": """
 SELECT o.o_orderkey, c.c_custkey AS customer_id, n.n_nationkey AS nation_id, CAST(o.o_orderdate AS DATE) AS order_date
-FROM orders o INNER JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0) n ON c.c_nationkey = n.n_nationkey
+FROM orders o INNER JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation n ON CASE WHEN c.c_custkey % 10 = 0 THEN -1 ELSE c.c_nationkey END = n.n_nationkey
+""",
+    "supplier_addresses": """
+SELECT CAST(c_nationkey AS INTEGER) AS CEP, c_custkey AS ID_FORNECEDOR, CAST(ascii(c_mktsegment) AS INTEGER) AS ID_TIPO_ENDERECO, CAST(c_custkey AS VARCHAR) AS NUM_ENDERECO, 'N/A' AS COMPLEMENTO FROM customer WHERE c_custkey % 10 <> 0 AND c_custkey % 7 <> 0
+""",
+    "invoice_fact": """
+SELECT CAST(o_orderkey AS VARCHAR) AS NUMERO_NF, c.c_custkey AS ID_FORNECEDOR, CASE o_orderstatus WHEN 'O' THEN CAST(1 AS INTEGER) WHEN 'F' THEN CAST(2 AS INTEGER) END AS ID_CONDICAO, CAST(o_orderdate AS DATE) AS DATA_EMISSAO,
+  CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(10,2)) AS VALOR_NET, CAST(0 AS DECIMAL(10,2)) AS VALOR_TRIBUTO, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(10,2)) AS VALOR_TOTAL, o_orderpriority AS NOME_ITEM,
+  CASE WHEN o_orderkey % 5 <> 0 THEN CAST(1 AS INTEGER) END AS QTD_ITEM
+FROM orders INNER JOIN customer c ON CASE WHEN o_orderkey % 10 = 0 THEN -o_custkey ELSE o_custkey END = c.c_custkey
+""",
+    "unscheduled_invoices": """
+SELECT CAST(o_orderkey AS VARCHAR) AS NUMERO_NF, CASE o_orderstatus WHEN 'F' THEN CAST(0 AS INTEGER) END AS QTD_PARCELAS FROM orders INNER JOIN customer c ON CASE WHEN o_orderkey % 10 = 0 THEN -o_custkey ELSE o_custkey END = c.c_custkey WHERE o_orderstatus <> 'O'
 """,
     "union_distinct": """
 SELECT c_nationkey AS k, 'customer' AS src FROM customer UNION SELECT s_nationkey, 'supplier' FROM supplier
@@ -143,7 +172,7 @@ SELECT count(*) AS n, CAST(1001 AS BIGINT) AS min_id, 1000 + count(*) AS max_id,
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
 """,
     "check_references": """
-SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)
+SELECT o_orderkey, k AS o_custkey FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN -o_custkey ELSE o_custkey END AS k FROM orders) WHERE k IS NOT NULL AND k NOT IN (SELECT c_custkey FROM customer)
 """,
     "check_not_null": """
 SELECT count(*) AS n FROM events WHERE nullif(event_type, 'error') IS NULL
@@ -153,7 +182,7 @@ SELECT doc_id, CAST(length(text) AS INTEGER) AS len FROM documents WHERE length(
 """,
     "flagship_schedule": """
 WITH o AS (
-  SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS d, CAST(o_totalprice AS DECIMAL(10,2)) AS total,
+  SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey, CAST(o_orderdate AS DATE) AS d, CAST(o_totalprice AS DECIMAL(10,2)) AS total,
          CAST(1 + o_orderkey % 4 AS INTEGER) AS n,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'HIGH' WHEN '2-HIGH' THEN 'HIGH' WHEN '3-MEDIUM' THEN 'MEDIUM'
               WHEN '5-LOW' THEN 'LOW' ELSE concat(o_orderpriority, ' (invalid)') END AS priority
@@ -162,7 +191,7 @@ a AS (
   SELECT DISTINCT * FROM o
   WHERE o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND d IS NOT NULL AND total IS NOT NULL AND n IS NOT NULL
     AND priority IN ('HIGH', 'LOW', 'MEDIUM')
-    AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)),
+    AND o_custkey IN (SELECT c_custkey FROM customer)),
 s AS (
   SELECT o_orderkey, CAST(d + to_months(CAST(i - 1 AS INTEGER)) AS DATE) AS due_date, CAST(i AS INTEGER) AS installment_no,
          round(CAST(total AS DOUBLE) / n, 4) AS amount
@@ -172,7 +201,7 @@ SELECT o_orderkey, due_date, installment_no, amount,
 FROM s
 """,
     "quarantine_lineitem": """
-WITH s AS (SELECT *, lpad(CAST(l_orderkey * 10007 + 33000167 AS VARCHAR), 14, '0') AS tax_id FROM lineitem),
+WITH s AS (SELECT * REPLACE (CASE WHEN l_partkey % 50 = 0 THEN -l_partkey ELSE l_partkey END AS l_partkey), lpad(CAST(l_orderkey * 10007 + 33000167 AS VARCHAR), 14, '0') AS tax_id FROM lineitem),
 g AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id, count(*) AS n FROM s GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id),
 w AS (SELECT *, (5*CAST(substr(tax_id,1,1) AS INT)+4*CAST(substr(tax_id,2,1) AS INT)+3*CAST(substr(tax_id,3,1) AS INT)+2*CAST(substr(tax_id,4,1) AS INT)+9*CAST(substr(tax_id,5,1) AS INT)+8*CAST(substr(tax_id,6,1) AS INT)+7*CAST(substr(tax_id,7,1) AS INT)+6*CAST(substr(tax_id,8,1) AS INT)+5*CAST(substr(tax_id,9,1) AS INT)+4*CAST(substr(tax_id,10,1) AS INT)+3*CAST(substr(tax_id,11,1) AS INT)+2*CAST(substr(tax_id,12,1) AS INT)) % 11 AS r1, (6*CAST(substr(tax_id,1,1) AS INT)+5*CAST(substr(tax_id,2,1) AS INT)+4*CAST(substr(tax_id,3,1) AS INT)+3*CAST(substr(tax_id,4,1) AS INT)+2*CAST(substr(tax_id,5,1) AS INT)+9*CAST(substr(tax_id,6,1) AS INT)+8*CAST(substr(tax_id,7,1) AS INT)+7*CAST(substr(tax_id,8,1) AS INT)+6*CAST(substr(tax_id,9,1) AS INT)+5*CAST(substr(tax_id,10,1) AS INT)+4*CAST(substr(tax_id,11,1) AS INT)+3*CAST(substr(tax_id,12,1) AS INT)+2*CAST(substr(tax_id,13,1) AS INT)) % 11 AS r2 FROM g),
 f AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id,
@@ -182,14 +211,14 @@ f AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_exten
   NOT coalesce(CASE WHEN r1 < 2 THEN 0 ELSE 11 - r1 END = CAST(substr(tax_id,13,1) AS INT)
       AND CASE WHEN r2 < 2 THEN 0 ELSE 11 - r2 END = CAST(substr(tax_id,14,1) AS INT)
       AND tax_id <> repeat(substr(tax_id,1,1), 14), false) AS f_cd,
-  NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = w.l_partkey AND p.p_partkey % 50 <> 0) AS f_lk
+  NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = w.l_partkey) AS f_lk
 FROM w)
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id, concat_ws(', ', CASE WHEN f_dup THEN 'duplicated' END, CASE WHEN f_null THEN 'null column(s)' END,
   CASE WHEN f_dom THEN 'invalid line status' END, CASE WHEN f_cd THEN 'invalid tax id' END, CASE WHEN f_lk THEN 'invalid part' END) AS inconsistencies
 FROM f WHERE f_dup OR f_null OR f_dom OR f_cd OR f_lk
 """,
     "quarantine_lineitem_accepted": """
-WITH s AS (SELECT *, lpad(CAST(l_orderkey * 10007 + 33000167 AS VARCHAR), 14, '0') AS tax_id FROM lineitem),
+WITH s AS (SELECT * REPLACE (CASE WHEN l_partkey % 50 = 0 THEN -l_partkey ELSE l_partkey END AS l_partkey), lpad(CAST(l_orderkey * 10007 + 33000167 AS VARCHAR), 14, '0') AS tax_id FROM lineitem),
 g AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id, count(*) AS n FROM s GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id),
 w AS (SELECT *, (5*CAST(substr(tax_id,1,1) AS INT)+4*CAST(substr(tax_id,2,1) AS INT)+3*CAST(substr(tax_id,3,1) AS INT)+2*CAST(substr(tax_id,4,1) AS INT)+9*CAST(substr(tax_id,5,1) AS INT)+8*CAST(substr(tax_id,6,1) AS INT)+7*CAST(substr(tax_id,7,1) AS INT)+6*CAST(substr(tax_id,8,1) AS INT)+5*CAST(substr(tax_id,9,1) AS INT)+4*CAST(substr(tax_id,10,1) AS INT)+3*CAST(substr(tax_id,11,1) AS INT)+2*CAST(substr(tax_id,12,1) AS INT)) % 11 AS r1, (6*CAST(substr(tax_id,1,1) AS INT)+5*CAST(substr(tax_id,2,1) AS INT)+4*CAST(substr(tax_id,3,1) AS INT)+3*CAST(substr(tax_id,4,1) AS INT)+2*CAST(substr(tax_id,5,1) AS INT)+9*CAST(substr(tax_id,6,1) AS INT)+8*CAST(substr(tax_id,7,1) AS INT)+7*CAST(substr(tax_id,8,1) AS INT)+6*CAST(substr(tax_id,9,1) AS INT)+5*CAST(substr(tax_id,10,1) AS INT)+4*CAST(substr(tax_id,11,1) AS INT)+3*CAST(substr(tax_id,12,1) AS INT)+2*CAST(substr(tax_id,13,1) AS INT)) % 11 AS r2 FROM g),
 f AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id,
@@ -199,7 +228,7 @@ f AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_exten
   NOT coalesce(CASE WHEN r1 < 2 THEN 0 ELSE 11 - r1 END = CAST(substr(tax_id,13,1) AS INT)
       AND CASE WHEN r2 < 2 THEN 0 ELSE 11 - r2 END = CAST(substr(tax_id,14,1) AS INT)
       AND tax_id <> repeat(substr(tax_id,1,1), 14), false) AS f_cd,
-  NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = w.l_partkey AND p.p_partkey % 50 <> 0) AS f_lk
+  NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = w.l_partkey) AS f_lk
 FROM w)
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id FROM f WHERE NOT (f_null OR f_dom OR f_cd OR f_lk)
 """,

@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 # small partitions and splits skewed join partitions.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
@@ -28,6 +29,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files go when their data is no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -57,11 +60,17 @@ def build_session(
     return builder.getOrCreate()
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared file system folder and is used
-    as is. Only when it is unset (local runs, tests) a fresh folder is made.
+    as is; without it this raises, as a folder of one machine would lose rows.
+    Only in local mode (one machine) a fresh folder is made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf_dir:
+        if not is_local(spark):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -90,32 +101,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _INITIAL_PARTS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def shuffle_parts_for(spark: SparkSession, df, target_bytes: int = 128 * 1024 * 1024, max_parts: int = 200_000) -> int | None:
-    """Shuffle partitions for ``df``'s estimated input size (None: keep the
-    configured count, or no estimate available)."""
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
-    if est >= 2**56:  # unknown size
-        return None
+def shuffle_parts_for(spark: SparkSession, frames, target_bytes: int = 512 * 1024 * 1024, max_parts: int = 200_000) -> int | None:
+    """Shuffle partitions for the estimated size of ``frames`` together (None:
+    keep the configured count, or no estimate available)."""
+    est = 0
+    for df in frames:
+        try:
+            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        except Exception:  # noqa: BLE001
+            return None
+        if size >= 2**56:  # unknown size
+            return None
+        est += size
     current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     parts = min(max_parts, max(current, -(-est // target_bytes)))
     return parts if parts > current else None
 
 
 @contextmanager
-def sized_shuffle(spark: SparkSession, df, target_bytes: int = 128 * 1024 * 1024, max_parts: int = 200_000):
-    """Within the block, shuffles start with enough partitions for ``df``.
+def sized_shuffle(spark: SparkSession, *frames, target_bytes: int = 512 * 1024 * 1024, max_parts: int = 200_000):
+    """Within the block, shuffles start with enough partitions for ``frames``.
 
     AQE can only coalesce shuffle partitions, not split them (except skewed
     join partitions), so an aggregation over 100 TB needs its partition
     count up front: input bytes / ``target_bytes`` (the optimizer's size
-    estimate of ``df``) becomes AQE's initial partition number, which it
+    estimate of ``frames``) becomes AQE's initial partition number, which it
     then coalesces for small data. Nothing changes when the user has set
     that number. The previous setting is restored on exit.
     """
-    parts = None if spark.conf.get(_INITIAL_PARTS, None) else shuffle_parts_for(spark, df, target_bytes, max_parts)
+    parts = None if spark.conf.get(_INITIAL_PARTS, None) else shuffle_parts_for(spark, frames, target_bytes, max_parts)
     if parts:
         spark.conf.set(_INITIAL_PARTS, str(parts))
     try:
@@ -125,10 +139,16 @@ def sized_shuffle(spark: SparkSession, df, target_bytes: int = 128 * 1024 * 1024
             spark.conf.unset(_INITIAL_PARTS)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote (any Hadoop file system)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["DEFAULT_CONF", "build_session", "ensure_checkpoint_dir", "scratch_path", "sized_shuffle", "shuffle_parts_for", "local_path"]
+__all__ = ["DEFAULT_CONF", "build_session", "ensure_checkpoint_dir", "is_local", "remove_path", "scratch_path", "sized_shuffle", "shuffle_parts_for", "local_path"]
 

@@ -158,3 +158,80 @@ def test_unknown_supplier_is_counted_not_loaded(spark, cfg):
     n_missing = staging.where(F.col("CNPJ_FORNECEDOR") == one).count()
     assert inv.count() == 25 - n_missing
     assert obs.get["unmatched_0"] == n_missing >= 1
+
+
+def test_rows_without_a_business_key_do_not_pile_up(spark, cfg):
+    path = cfg.src(cfg.postal_codes_file)
+    with open(path, encoding="utf-8") as f:
+        lines = f.read()
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(lines.rstrip("\n") + "\nnone;SP;X;Y;Z\n")
+    counts = []
+    for _ in range(3):
+        stats = jobs.run_postal_codes(spark, cfg)
+        assert stats["rejected_null_key"] == 1
+        counts.append(jobs.tables_for(spark, cfg).read("CEP").count())
+    assert counts == [30, 30, 30]
+
+
+def test_too_long_text_and_unknown_parents_are_rejected_and_counted(spark, cfg):
+    t = jobs.tables_for(spark, cfg)
+    ok = t.upsert("TIPO_ENDERECO", spark.createDataFrame([(1, "HOME", "H"), (2, "x" * 256, "W")], "ID_TIPO_ENDERECO int, DESCRICAO string, SIGLA string"))
+    assert ok == {"INSERT": 1, "UPDATE": 0, "rejected_too_long": 1}
+    rows = spark.createDataFrame([("1", 5, None), ("2", None, None)], "NUMERO_NF string, ID_FORNECEDOR long, ID_CONDICAO int")
+    assert t.upsert("NOTAS_FISCAIS_ENTRADA", rows) == {"INSERT": 1, "UPDATE": 0, "rejected_no_parent": 1}
+    assert [r.NUMERO_NF for r in t.read("NOTAS_FISCAIS_ENTRADA").collect()] == ["2"]
+
+
+def test_a_supplier_with_two_mail_addresses(spark, cfg):
+    from ledgerflow.operators import DuplicateKeyError
+
+    jobs.run_postal_codes(spark, cfg)
+    path = cfg.src(cfg.purchases_file)
+    jobs.run_quarantine(spark, cfg)
+    first = jobs.read_staging(spark, cfg).first()
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    line = next(x for x in text.splitlines() if first["EMAIL_FORNECEDOR"] in x and first["NUMERO_NF"] in x)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text.rstrip("\n") + "\n" + line.replace(first["EMAIL_FORNECEDOR"], "zzz@other.example").replace(first["NUMERO_NF"], "99999999") + "\n")
+    with pytest.raises(DuplicateKeyError):
+        jobs.run_all(spark, cfg)
+    cfg.on_duplicate, cfg.order_by = "latest", {"FORNECEDORES": ["EMAIL"]}
+    out = jobs.run_all(spark, cfg)
+    assert out["FORNECEDORES"]["INSERT"] == 23
+    mails = {r.CNPJ: r.EMAIL for r in jobs.tables_for(spark, cfg).read("FORNECEDORES").collect()}
+    assert mails[first["CNPJ_FORNECEDOR"]] == "zzz@other.example"
+
+
+def test_invoices_without_a_schedule_are_reported(spark, cfg):
+    jobs.run_all(spark, cfg)
+    t = jobs.tables_for(spark, cfg)
+    rows = spark.createDataFrame([("n1", None, 90), ("n2", None, None)], "NUMERO_NF string, ID_FORNECEDOR long, ID_CONDICAO int")
+    t.upsert("CONDICAO_PAGAMENTO", spark.createDataFrame([(90, "NONE", 0)], "ID_CONDICAO int, DESCRICAO string, QTD_PARCELAS int"))
+    t.upsert("NOTAS_FISCAIS_ENTRADA", rows)
+    stats = jobs.run_schedule(spark, cfg)
+    assert stats["unscheduled"] == 2 and stats["unmatched_term"] == 1
+
+
+def test_lake_versions_sort_by_number_and_old_ones_go(spark, tmp_path):
+    from ledgerflow.plans.tables import LakeTables
+
+    t = LakeTables(spark, str(tmp_path / "lake"), keep_versions=2)
+    src = spark.createDataFrame([(1, "A VISTA", 1)], "ID_CONDICAO int, DESCRICAO string, QTD_PARCELAS int")
+    t.upsert("CONDICAO_PAGAMENTO", src)
+    folder = tmp_path / "lake" / "CONDICAO_PAGAMENTO"
+    (folder / "v000001").rename(folder / "v999999")
+    for _ in range(3):
+        t.upsert("CONDICAO_PAGAMENTO", src)
+    assert [v.rsplit("/", 1)[1] for v in t.versions("CONDICAO_PAGAMENTO")] == ["v1000001", "v1000002"]
+
+
+def test_annotated_copy_of_the_quarantine_is_removed(spark, cfg):
+    import glob
+
+    from ledgerflow.session import ensure_checkpoint_dir, local_path
+
+    jobs.run_postal_codes(spark, cfg)
+    jobs.run_quarantine(spark, cfg)
+    assert not glob.glob(local_path(ensure_checkpoint_dir(spark)) + "/scratch/purchases-annotated-*")

@@ -31,7 +31,7 @@ def test_quarantine_prunes_columns_and_shuffles_once(spark):
     assert shuffles(plan) == 1
 
 
-def test_lookup_rule_broadcasts_proven_small_dimension(spark):
+def test_lookup_rule_broadcasts_small_dimension(spark):
     plan = formatted(E.queries()["rule_lookup"](spark, SF))
     assert "BroadcastHashJoin LeftOuter" in plan
     assert "PushedFilters: [IsNotNull(c_custkey)]" in plan

@@ -21,7 +21,7 @@ def test_validate_matches_model(spark, rows, dim, salted):
         rule_duplicated(),
         rule_not_null(["v"]),
         rule_expr(F.col("v") == "x", "is x"),
-        rule_in_lookup("k", d, "k", "no k", broadcast_rows=None if salted else 1000, salt_hot_keys=2 if salted else None),
+        rule_in_lookup("k", d, "k", "no k", broadcast=False if salted else None, salt_hot_keys=2 if salted else None),
     ]
     v = validate(df, rules)
     counts = Counter(rows)
@@ -42,7 +42,7 @@ KEYED = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 8)), st.integers(
 
 
 @SETTINGS
-@given(target=KEYED, source=KEYED, strategy=st.sampled_from(["shuffle", "broadcast"]))
+@given(target=KEYED, source=KEYED, strategy=st.sampled_from(["shuffle", "broadcast", "auto"]))
 def test_upsert_matches_model(spark, target, source, strategy):
     # keep source keys unique (non-NULL), as the default mode requires
     seen, src = set(), []

@@ -58,7 +58,7 @@ def test_validate_generic_rules(spark):
         rule_duplicated(),
         rule_not_null(["v"]),
         rule_in_domain("v", ["a", "b"], "bad v"),
-        rule_in_lookup("k", dim, "k", "no k", broadcast_rows=None),  # force the shuffle path
+        rule_in_lookup("k", dim, "k", "no k", broadcast=False),  # force the shuffle path
         rule_expr(F.col("k") > 3, "big k", blocking=False),
     ])
     rej = {r.k: r.inconsistencies for r in v.rejected.collect()}
@@ -69,7 +69,7 @@ def test_validate_generic_rules(spark):
 def test_validate_plan_is_one_aggregation_and_broadcast_lookup(spark):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
     dim = spark.createDataFrame([(1,)], "k int")
-    v = validate(df, [rule_duplicated(), rule_in_lookup("k", dim, "k", "no k")])
+    v = validate(df, [rule_duplicated(), rule_in_lookup("k", dim, "k", "no k", broadcast=True)])
     plan = v.rejected._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "BatchEvalPython" not in plan
@@ -80,7 +80,7 @@ def test_validate_without_distinct_is_map_only(spark):
 
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, v string")
     dim = spark.createDataFrame([(1,), (2,)], "k int")
-    v = validate(df, [rule_not_null(["v"]), rule_in_lookup("k", dim, "k", "no k")], distinct=False)
+    v = validate(df, [rule_not_null(["v"]), rule_in_lookup("k", dim, "k", "no k", broadcast=True)], distinct=False)
     assert sorted(tuple(r) for r in v.accepted.collect()) == [(1, "a"), (1, "a")]
     assert [tuple(r) for r in v.rejected.collect()] == [(2, None, "null column(s)")]
     plan = v.accepted._jdf.queryExecution().executedPlan().toString()

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +7,6 @@ from ledgerflow.operators import (
     DuplicateKeyError, assign_surrogate_keys, check_length, check_not_null, check_references, check_unique,
     lookup_join, merge_stats, upsert_snapshot,
 )
-from ledgerflow.operators.joins import is_bounded
 
 
 def stats(res):
@@ -46,7 +47,7 @@ def test_upsert_case_insensitive_and_only_changed(spark, strategy):
 def test_broadcast_merge_does_not_shuffle_the_target(spark):
     target = spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     source = spark.createDataFrame([(5, -1), (5000, 7)], "k long, v long")
-    merged = upsert_snapshot(target, source, ["k"]).merged
+    merged = upsert_snapshot(target, source, ["k"], strategy="broadcast").merged
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan and "BroadcastHashJoin" in plan
     rows = {r.k: (r.v, r._action) for r in merged.collect()}
@@ -72,16 +73,16 @@ def test_surrogate_keys_consecutive(spark):
 def test_lookup_join_null_keys_and_paths(spark):
     left = spark.createDataFrame([(1, "a"), (None, "n"), (2, "b"), (9, "z")], "k int, v string")
     right = spark.createDataFrame([(1, "one"), (2, "two")], "rk int, name string")
-    for bounded in (True, False):
-        got = sorted((r.k or 0, r.name) for r in lookup_join(left, right, ["k"], ["rk"], "left", bounded=bounded).collect())
+    for broadcast in (True, False, None):
+        got = sorted((r.k or 0, r.name) for r in lookup_join(left, right, ["k"], ["rk"], "left", broadcast=broadcast).collect())
         assert got == [(0, None), (1, "one"), (2, "two"), (9, None)]
-        anti = sorted(r.k or 0 for r in lookup_join(left, right, ["k"], ["rk"], "left_anti", bounded=bounded).collect())
+        anti = sorted(r.k or 0 for r in lookup_join(left, right, ["k"], ["rk"], "left_anti", broadcast=broadcast).collect())
         assert anti == [0, 9]
-        inner = sorted(r.k for r in lookup_join(left, right, ["k"], ["rk"], "inner", bounded=bounded).collect())
+        inner = sorted(r.k for r in lookup_join(left, right, ["k"], ["rk"], "inner", broadcast=broadcast).collect())
         assert inner == [1, 2]
-    assert is_bounded(right, 2) and not is_bounded(right, 1)
-    plan = lookup_join(left, right, ["k"], ["rk"], "left", bounded=False)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in plan  # NULL-key rows bypass the shuffle join
+    plan = lookup_join(left, right, ["k"], ["rk"], "left", broadcast=False)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[__lf_lk0#\d+, __lf_salt#\d+L\]", plan)  # the salt is part of the join key
+    assert "Union" not in plan
 
 
 def test_self_join_anti(spark):
@@ -111,8 +112,8 @@ def test_lookup_join_salted_hot_key(spark):
         return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, x or 0) for x in t))
 
     for how in ("inner", "left", "left_anti"):
-        plain = rows(lookup_join(left, right, ["k"], ["rk"], how, bounded=True))
-        salted = lookup_join(left, right, ["k"], ["rk"], how, bounded=False, salt_hot_keys=500, salt_buckets=8)
+        plain = rows(lookup_join(left, right, ["k"], ["rk"], how, broadcast=True))
+        salted = lookup_join(left, right, ["k"], ["rk"], how, broadcast=False, salt_hot_keys=500, salt_buckets=8)
         assert rows(salted) == plain, how
         assert "__lf_hot" in salted._jdf.queryExecution().optimizedPlan().toString()
 
@@ -125,3 +126,57 @@ def test_upsert_identity_both_strategies(spark, strategy):
     rows = sorted((r.id, r.k, r.v) for r in res.state.collect())
     assert rows[:3] == [(10, "a", "1"), (11, "b", "22"), (12, None, "n")]
     assert sorted(r[0] for r in rows[3:]) == [13, 14] and {r[2] for r in rows[3:]} == {"3", "4"}
+
+
+STRATEGIES = ["auto", "broadcast", "shuffle"]
+
+
+def sorted_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, x or 0) for x in t))
+
+
+def test_strategies_give_the_same_table_with_null_and_given_ids(spark):
+    target = spark.createDataFrame([(1, 1, "a"), (2, None, "b"), (None, 7, "n")], "k int, id long, v string")
+    source = spark.createDataFrame([(3, 77, "c"), (2, 78, "B")], "k int, id long, v string")
+    states = [sorted_rows(upsert_snapshot(target, source, ["k"], identity_col="id", strategy=s).state) for s in STRATEGIES]
+    # stored ids stay (NULL too), the source's ids are ignored, inserts go on above the maximum
+    assert states[0] == [(1, 1, "a"), (2, None, "B"), (3, 8, "c"), (None, 7, "n")]
+    assert states[1] == states[0] and states[2] == states[0]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_keys_that_differ_in_case_only_are_duplicates(spark, strategy):
+    target = spark.createDataFrame([(10, "ABC", 1)], "id long, k string, v int")
+    source = spark.createDataFrame([("abc", 2), ("Abc", 3), ("x", 4)], "k string, v int")
+    with pytest.raises(DuplicateKeyError):
+        upsert_snapshot(target, source, ["k"], case_insensitive=True, strategy=strategy)
+    res = upsert_snapshot(target, source, ["k"], case_insensitive=True, on_duplicate="latest", order_by=["v"], identity_col="id", strategy=strategy)
+    assert sorted_rows(res.state) == [(10, "Abc", 3), (11, "x", 4)]
+
+
+def test_merge_reads_each_side_once_in_a_shuffle(spark, tmp_path):
+    spark.range(500).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.createDataFrame([(5, -1), (None, 7), (None, 7)], "k long, v long")
+    merged = upsert_snapshot(target, source, ["k"], strategy="shuffle").merged
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "FullOuter" in plan and "Union" not in plan
+    assert merged.count() == 502 and merged.where("k IS NULL").count() == 2
+
+
+def test_null_keys_of_target_and_source_never_meet(spark):
+    target = spark.range(3000).selectExpr("CAST(NULL AS LONG) AS k", "id AS v")
+    source = spark.range(3000).selectExpr("CAST(NULL AS LONG) AS k", "-id - 1 AS v")
+    for strategy in STRATEGIES:
+        assert stats(upsert_snapshot(target, source, ["k"], strategy=strategy)) == {"INSERT": 3000}
+
+
+def test_identity_checkpoints_no_target_rows(spark, monkeypatch):
+    frame = type(spark.range(1))
+    sizes = []
+    real = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda self, eager=True: (sizes.append(self.count()), real(self, eager))[1])
+    target = spark.range(1000).selectExpr("id + 1 AS id", "id AS k", "'t' AS v")
+    source = spark.createDataFrame([(5, "s"), (5000, "s")], "k long, v string")
+    assert upsert_snapshot(target, source, ["k"], identity_col="id", strategy="shuffle").state.count() == 1001
+    assert max(sizes) == 2
