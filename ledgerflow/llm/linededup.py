@@ -118,9 +118,10 @@ def line_marks(docs: DataFrame, min_chars: int = 10, id_col: str = "doc_id", tex
     order = ["h1", "h2", "id", "pos"]
     marks = shared_table(lines.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_runs, _MARKS), "line-marks")
     still_open = marks.where("open")
-    # a few keys a partition are open, whatever their number of lines
+    # a few keys a partition are open, whatever their number of lines: few
+    # enough to broadcast (two a partition, and one for each _HELD lines)
     keepers = still_open.groupBy("h1", "h2").agg(F.min("id").alias("keeper"))
-    lost = still_open.join(keepers, ["h1", "h2"]).where("id > keeper")
+    lost = still_open.join(F.broadcast(keepers), ["h1", "h2"]).where("id > keeper")
     return marks.where("not open").select("id", "text_hash", "pos").unionByName(lost.select("id", "text_hash", "pos"))
 
 
