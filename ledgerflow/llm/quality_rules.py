@@ -123,6 +123,7 @@ def judge(statistics: DataFrame) -> DataFrame:
     """``text_statistics`` rows with base_failed, d2 (null where there is no
     estimate) and kept."""
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    statistics = shared_table(statistics, "statistics")  # read for the group sizes too
     rows = statistics.withColumn("base_failed", failed).withColumns(_vector())
     usable = rows.where(~F.col("base_failed"))
     key = F.concat_ws("|", *(F.coalesce(F.concat(F.lit("="), c), F.lit("?")) for c in ("lang", "source")))
