@@ -105,6 +105,25 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM hits JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item
     """,
+    "op9_ngram_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, trim(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), e' \t\n\x0b\x0c\r') AS t FROM documents
+        ), p AS (
+            SELECT doc_id, regexp_split_to_array(t, '[\x20\x09-\x0D]+') AS w FROM w WHERE t <> ''
+        ), sh AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM p, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i)
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+        ), shared AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM sh a JOIN sh b USING (s) GROUP BY 1, 2
+        ), links AS (
+            SELECT u, v FROM shared JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * c >= 75 * (a.n + b.n - c)
+        ), reach AS (
+            SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+        )
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.v) AS component_id
+        FROM documents d LEFT JOIN n USING (doc_id) JOIN reach r ON r.u = d.doc_id GROUP BY d.doc_id
+    """,
     "op8_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, i AS pos, parts[i] AS line, translate(trim(parts[i], e' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
