@@ -30,24 +30,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
-def _word_hashes(data: np.ndarray) -> np.ndarray:
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of every word of a stretch of text."""
     global _POWERS
     inside = _WORD[data]
     edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
-    sizes = np.flatnonzero(edge == -1) - np.flatnonzero(edge == 1)
+    starts = np.flatnonzero(edge == 1)
+    sizes = np.flatnonzero(edge == -1) - starts
     if not len(sizes):
-        return np.zeros(0, _U)
+        return np.zeros(0, _U), starts
     if sizes.max() > len(_POWERS):
         _POWERS = _powers(int(sizes.max()))
     first = np.cumsum(sizes) - sizes
-    at = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-    return mix(np.add.reduceat((_FOLD[data[inside]].astype(_U) + _U(1)) * _POWERS[at], first) + sizes.astype(_U))
+    at = np.arange(int(sizes.sum()), dtype=np.int32) - np.repeat(first.astype(np.int32), sizes)
+    h = _POWERS.take(at)
+    h *= (_FOLD[data[inside]].astype(_U) + _U(1))
+    return mix(np.add.reduceat(h, first) + sizes.astype(_U)), starts
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """One hash per word, a bounded stretch of the text at a time."""
-    data = np.frombuffer(text.encode(), np.uint8)
-    parts, start = [], 0
+def word_hashes(data: np.ndarray) -> np.ndarray:
+    """One hash per word of a long text, a bounded stretch at a time."""
+    parts, start = [np.zeros(0, _U)], 0
     while start < len(data):
         stop = start + CHUNK
         while stop < len(data):  # up to a blank
@@ -56,27 +59,59 @@ def word_hashes(text: str) -> np.ndarray:
                 stop += int(blanks[0])
                 break
             stop += CHUNK
-        parts.append(_word_hashes(data[start:stop]))
+        parts.append(_word_hashes(data[start:stop])[0])
         start = stop
-    return np.concatenate(parts) if parts else np.zeros(0, _U)
+    return np.concatenate(parts)
 
 
-def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
-    """Sorted distinct hashes (int64) of the text's shingles of ``size``
-    words; of all its words as one when there are fewer; none without words."""
-    w = word_hashes(text or "")
-    if not len(w):
-        return np.zeros(0, np.int64)
-    n = min(size, len(w))
+def _rolled(w: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of ``n`` consecutive words."""
     h = np.full(len(w) - n + 1, n, _U)
     for k in range(n):
         h = (h ^ w[k : len(w) - n + 1 + k]) * _U(0xE7037ED1A0B428DB)
         h ^= h >> _U(31)
-    return np.unique(mix(h).view(np.int64))
-
-
-def set_id(hashes: np.ndarray) -> int:
-    """One 64-bit id of a set: equal sets have equal ids, and among D different
-    sets about D * D / 2**65 pairs share one."""
-    h = mix(hashes.view(_U) + _U(len(hashes)))
-    return int(mix(np.array([h.sum(dtype=_U)], _U) ^ np.array([mix(h).sum(dtype=_U)], _U) * _U(_BASE)).view(np.int64)[0])
+    return mix(h).view(np.int64)
+
+
+def _distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    return h[np.concatenate([[True], h[1:] != h[:-1]])] if len(h) > 1 else h
+
+
+def shingle_sets(texts: list[str | None], size: int = 5) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes (int64) of its shingles of
+    ``size`` words; of all its words as one when there are fewer; none without
+    words. Short texts are hashed together."""
+    raw = [(t or "").encode() for t in texts]
+    sets: list[np.ndarray] = []
+    a = 0
+    while a < len(raw):
+        b, held = a + 1, len(raw[a])
+        while b < len(raw) and held + len(raw[b]) < CHUNK:
+            held += len(raw[b]) + 1
+            b += 1
+        if b == a + 1:
+            words = word_hashes(np.frombuffer(raw[a], np.uint8))
+            ends = np.array([0, len(words)])
+        else:
+            words, starts = _word_hashes(np.frombuffer(b"\n".join(raw[a:b]), np.uint8))
+            ends = np.searchsorted(starts, np.cumsum([0, *(len(r) + 1 for r in raw[a:b])]))
+        rolled = _rolled(words, size) if len(words) >= size else np.zeros(0, np.int64)
+        for first, last in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            n = last - first
+            sets.append(_distinct(rolled[first : last - size + 1]) if n >= size else _rolled(words[first:last], n) if n else np.zeros(0, np.int64))
+        a = b
+    return sets
+
+
+def set_ids(sets: list[np.ndarray]) -> np.ndarray:
+    """One 64-bit id per set: equal sets have equal ids, and among D different
+    sets about D * D / 2**65 pairs share one. 0 for the empty set."""
+    ids = np.zeros(len(sets), np.int64)
+    full = [k for k, s in enumerate(sets) if len(s)]
+    if full:
+        sizes = np.array([len(sets[k]) for k in full])
+        h = mix(np.concatenate([sets[k] for k in full]).view(_U) + np.repeat(sizes.astype(_U), sizes))
+        first = np.cumsum(sizes) - sizes
+        ids[full] = mix(np.add.reduceat(h, first) ^ (np.add.reduceat(mix(h), first) * _U(_BASE))).view(np.int64)
+    return ids
