@@ -119,17 +119,27 @@ class Scanner:
             found[k] = merged
         return found
 
+    def places(self, k: int, words: str, a: int, b: int) -> Iterator[tuple[int, int, int]]:
+        """(start, stop, edits) of a notice's places in a stretch: the best
+        match, then those before and behind it."""
+        stretches = [(a, b)]
+        while stretches:
+            a, b = stretches.pop()
+            m = self.patterns[k].search(words, a, b)
+            if m is None or not (text := m.group().strip()):
+                continue
+            start = m.start() + len(m.group()) - len(m.group().lstrip())
+            stop = start + len(text)
+            yield start, stop, sum(m.fuzzy_counts)
+            stretches += [(a, start), (stop, b)]
+
     def fuzzy(self, words: str) -> list[tuple[str, int, int, int, float]]:
         """(label, first word, last word, edits, similarity) of every notice."""
         spans = []
         for k, windows in sorted(self.windows(words).items()):
             n = self.notices[k]
             for a, b in windows:
-                for m in self.patterns[k].finditer(words, a, b):
-                    edits = sum(m.fuzzy_counts)
-                    text = m.group()
-                    start = m.start() + len(text) - len(text.lstrip())
-                    stop = m.end() - len(text) + len(text.rstrip())
+                for start, stop, edits in self.places(k, words, a, b):
                     first, last = words.count(" ", 0, start + 1) - 1, words.count(" ", 0, stop) - 1
                     spans.append((n.label, first, last, edits, 1 - edits / len(n.text)))
         # of notices that claim the same words, the nearest has them

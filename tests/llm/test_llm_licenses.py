@@ -62,5 +62,13 @@ def test_every_planted_edit_within_the_bound_is_found():
             assert [s[0] for s in found] == ["mit"], edited
 
 
+def test_noisy_copies_beside_an_exact_one_each_have_a_span():
+    scan = licenses.Scanner(licenses.PHRASES, licenses.NOTICES, licenses.EDIT_CHARS)
+    lines = ["releasd under the mit license", "released under the mit license", "released undr the mit licens", "relesed under teh mit license"]
+    for some in ([0, 1], [1, 0], [0, 2, 1, 3], [0, 0, 2, 3, 1, 2, 0, 1, 1, 3], [3, 2, 0]):
+        found = scan.fuzzy(" " + " ".join(lines[k] for k in some) + " x ")
+        assert [(s[0], s[1], s[2], s[3]) for s in found] == [("mit", 5 * i, 5 * i + 4, [1, 0, 2, 3][k]) for i, k in enumerate(some)]
+
+
 def test_empty_table(empty):
     assert licenses.license_report(licenses.scan_licenses(empty)).count() == 0
