@@ -19,6 +19,7 @@ is passed through (null stays null); other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -30,17 +31,32 @@ from pyspark.sql import functions as F
 #: phrase -> label, matched exactly
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: notice -> label, matched with up to one edit per ``EDIT_CHARS`` characters
+#: notice -> label, matched with up to one edit per ``EDIT_CHARS`` characters.
+#: Words in brackets tell it from other notices: they allow one edit per three
+#: letters, and those that allow none are whole words.
 NOTICES = {
     "licensed under the apache license version 2 0": "apache-2.0",
-    "released under the mit license": "mit",
+    "licensed under the apache license version [1] [1]": "apache-1.1",
+    "licensed under the apache license version [1] [0]": "apache-1.0",
+    "released under the [mit] license": "mit",
     "permission is hereby granted free of charge to any person obtaining a copy": "mit",
     "licensed under the gnu general public license": "gpl",
     "gnu lesser general public license": "lgpl",
     "gnu affero general public license": "agpl",
-    "licensed under cc by nc": "cc-by-nc",
-    "licensed under cc by sa": "cc-by-sa",
+    "licensed under cc [by]": "cc-by",
+    "licensed under cc by [nc]": "cc-by-nc",
+    "licensed under cc by [sa]": "cc-by-sa",
+    "licensed under cc by [nd]": "cc-by-nd",
+    "licensed under cc by [nc] [sa]": "cc-by-nc-sa",
+    "licensed under cc by [nc] [nd]": "cc-by-nc-nd",
     "creative commons attribution": "cc-by",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "creative commons attribution noderivs": "cc-by-nd",
+    "creative commons attribution noderivatives": "cc-by-nd",
+    "creative commons attribution noncommercial sharealike": "cc-by-nc-sa",
+    "creative commons attribution noncommercial noderivs": "cc-by-nc-nd",
+    "creative commons attribution noncommercial noderivatives": "cc-by-nc-nd",
     "redistribution and use in source and binary forms": "bsd",
     "subject to the terms of the mozilla public license": "mpl",
     "this is free and unencumbered software released into the public domain": "unlicense",
@@ -63,12 +79,28 @@ class Notice:
     label: str
     edits: int
     pieces: tuple[tuple[int, str], ...]  # (offset, piece)
+    pattern: str
 
 
-def _notice(text: str, label: str, edit_chars: int) -> Notice:
+def _pattern(marked: str, edits: int) -> str:
+    """The best match of a notice, with the bounds of its bracketed words."""
+    made, parts = "(?b)", re.split(r"\[(.*?)\]", marked)
+    for i, part in enumerate(parts):
+        if i % 2 == 0:
+            made += f"(?:{re.escape(part)}){{e<={edits}}}" if part else ""
+        elif len(part) >= 3:
+            made += f"(?:{re.escape(part)}){{e<={len(part) // 3}}}"
+        else:  # only the space before it may be missing
+            before = "".join(parts[:i]).split()[-1:]
+            made += f"(?<=^|{'|'.join([' ', *map(re.escape, before)])}){re.escape(part)}(?= )"
+    return made
+
+
+def _notice(marked: str, label: str, edit_chars: int) -> Notice:
+    text = marked.replace("[", "").replace("]", "")
     k = len(text) // edit_chars
     cuts = [len(text) * i // (k + 1) for i in range(k + 2)]
-    return Notice(text, label, k, tuple((a, text[a:b]) for a, b in zip(cuts, cuts[1:])))
+    return Notice(text, label, k, tuple((a, text[a:b]) for a, b in zip(cuts, cuts[1:])), _pattern(marked, k))
 
 
 class Scanner:
@@ -80,7 +112,8 @@ class Scanner:
 
         self.phrases = [(b" " + p.encode() + b" ", label) for p, label in phrases.items()]
         self.notices = [_notice(t, label, edit_chars) for t, label in notices.items()]
-        self.patterns = [regex.compile(f"(?b)(?:{regex.escape(n.text)}){{e<={n.edits}}}") for n in self.notices]
+        self.patterns = [regex.compile(n.pattern) for n in self.notices]
+        self.longer = [[o.text.startswith(n.text + " ") for o in self.notices] for n in self.notices]
         seeds: dict[str, list[tuple[int, int]]] = {}
         for k, n in enumerate(self.notices):
             for offset, piece in n.pieces:
@@ -107,7 +140,7 @@ class Scanner:
             for k, offset in at:
                 n = self.notices[k]
                 start = end + 1 - size - offset
-                a, b = max(0, start - n.edits), min(len(words), start + len(n.text) + n.edits)
+                a, b = max(0, start - n.edits), min(len(words), start + len(n.text) + n.edits + 1)
                 found.setdefault(k, []).append([a, b])
         for k, spans in found.items():
             merged: list[list[int]] = []
@@ -130,7 +163,8 @@ class Scanner:
                 continue
             start = m.start() + len(m.group()) - len(m.group().lstrip())
             stop = start + len(text)
-            yield start, stop, sum(m.fuzzy_counts)
+            if (edits := sum(m.fuzzy_counts)) <= self.notices[k].edits:  # of all parts together
+                yield start, stop, edits
             stretches += [(a, start), (stop, b)]
 
     def fuzzy(self, words: str) -> list[tuple[str, int, int, int, float]]:
@@ -141,9 +175,11 @@ class Scanner:
             for a, b in windows:
                 for start, stop, edits in self.places(k, words, a, b):
                     first, last = words.count(" ", 0, start + 1) - 1, words.count(" ", 0, stop) - 1
-                    spans.append((n.label, first, last, edits, 1 - edits / len(n.text)))
-        # of notices that claim the same words, the nearest has them
-        best = [s for s in spans if not any(o[1] <= s[2] and s[1] <= o[2] and o[4] > s[4] for o in spans)]
+                    spans.append((n.label, first, last, edits, 1 - edits / len(n.text), k))
+        meet = lambda s, o: o[1] <= s[2] and s[1] <= o[2]
+        # a notice that goes on as a longer one is that one; of others that claim the same words, the nearest has them
+        whole = [s for s in spans if not any(self.longer[s[5]][o[5]] and meet(s, o) for o in spans)]
+        best = [s[:5] for s in whole if not any(meet(s, o) and o[4] > s[4] for o in whole)]
         return sorted(best, key=lambda s: s[1:3])
 
 

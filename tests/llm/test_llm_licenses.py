@@ -70,5 +70,32 @@ def test_noisy_copies_beside_an_exact_one_each_have_a_span():
         assert [(s[0], s[1], s[2], s[3]) for s in found] == [("mit", 5 * i, 5 * i + 4, [1, 0, 2, 3][k]) for i, k in enumerate(some)]
 
 
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("licensed under cc by 4 0", ["cc-by"]),
+        ("licensed under cc by", ["cc-by"]),
+        ("licenced under ccby 4 0", ["cc-by"]),
+        ("licensed under cc by nd 4 0", ["cc-by-nd"]),
+        ("licensd under cc by nc 4 0", ["cc-by-nc"]),
+        ("licensed under cc bysa 4 0", ["cc-by-sa"]),
+        ("licensed under cc by nc sa 4 0", ["cc-by-nc-sa"]),
+        ("licensed uner cc by nc nd", ["cc-by-nc-nd"]),
+        ("licensed under cc0 1 0", []),
+        ("licensed under cc by licensed under cc by sa", ["cc-by", "cc-by-sa"]),
+        ("creative commons attribution 4 0", ["cc-by"]),
+        ("creative commons attribution noncomercial share alike 4 0", ["cc-by-nc-sa"]),
+        ("creative commons attribution noderivatives", ["cc-by-nd"]),
+        ("licensed under the apache license version 2 0", ["apache-2.0"]),
+        ("licensed under the apache license version 1 1", ["apache-1.1"]),
+        ("released under the bsd license", []),
+        ("released under the gpl license", []),
+    ],
+)
+def test_notices_that_differ_by_few_letters_are_told_apart(text, labels):
+    scan = licenses.Scanner(licenses.PHRASES, licenses.NOTICES, licenses.EDIT_CHARS)
+    assert [s[0] for s in scan.fuzzy(f" see {text} x ")] == labels
+
+
 def test_empty_table(empty):
     assert licenses.license_report(licenses.scan_licenses(empty)).count() == 0
