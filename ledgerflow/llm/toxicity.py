@@ -32,6 +32,8 @@ from ledgerflow.llm.labelled import collect_sorted, sample_labels, sample_texts
 
 WINDOW, STRIDE = 64, 40
 GRAMS = (3, 4, 5)
+#: Longer words are read in pieces of so many characters.
+LONG, PIECE = 80, 16
 GRAM_ROWS, EMBED, HIDDEN, ATTEND = 1 << 14, 12, 8, 8
 #: Words of a task's table of projected inputs; it is begun anew when full.
 TABLE_WORDS = 200_000
@@ -39,15 +41,25 @@ TABLE_WORDS = 200_000
 TOGETHER = 2048
 
 
+def pieces_of(text: str | None) -> tuple[list[str], np.ndarray | None]:
+    """The words of a text, with those over ``LONG`` characters (scripts without
+    spaces, or words joined by punctuation) as overlapping pieces that hold
+    every n-gram; and each one's word number (None if all are whole)."""
+    words = (text or "").lower().split()
+    if max(map(len, words), default=0) <= LONG:
+        return words, None
+    step = PIECE - max(GRAMS) + 1
+    cut = [[w] if len(w) <= LONG else [w[a : a + PIECE] for a in range(0, len(w) - PIECE + step, step)] for w in words]
+    return [p for ps in cut for p in ps], np.repeat(np.arange(len(words)), list(map(len, cut)))
+
+
 def words_of(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    return pieces_of(text)[0]
 
 
 def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed character n-grams of each word, ends marked: all words' one after
-    another, and how many each has. Of a "word" over 80 characters the first 64
-    and the last 16 count."""
-    words = [w if len(w) <= 80 else w[:64] + w[-16:] for w in words]
+    another, and how many each has."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     pad = max(GRAMS) - 3
     chars = np.frombuffer(("".join(f"^{w}${chr(0) * pad}" for w in words) + chr(0) * 2).encode("utf-32-le"), np.uint32)
@@ -291,9 +303,12 @@ class Table(dict):
         return self[word]
 
     def project(self) -> tuple[np.ndarray, np.ndarray]:
+        made = [self.rows]
+        for a in range(0, len(self.new), TABLE_WORDS):
+            new = self.new[a : a + TABLE_WORDS]
+            made.append(self.net.tables(self.net.embed(np.array([self.net.vocabulary.get(w, 0) for w in new]), *grams_of(new))))
         if self.new:
-            x = self.net.embed(np.array([self.net.vocabulary.get(w, 0) for w in self.new]), *grams_of(self.new))
-            self.rows = tuple(np.concatenate([old, new]) for old, new in zip(self.rows, self.net.tables(x)))
+            self.rows = tuple(np.concatenate(rows) for rows in zip(*made))
         self.new = []
         return self.rows
 
@@ -309,7 +324,7 @@ def train(
 
 def score_toxicity(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_windows, worst (first word of its most toxic
-    window), score."""
+    window, or the long word that this begins in), score."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +333,7 @@ def score_toxicity(docs: DataFrame, net: Network | None, id_col: str = "doc_id",
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for a in range(0, len(ids), 256):
-                part = [words_of(t.as_py()) for t in texts[a : a + 256]]
+                part, numbers = zip(*(pieces_of(t.as_py()) for t in texts[a : a + 256]))
                 if model is None:
                     n = [len(window_starts(len(w))) for w in part]
                     best, score = np.zeros(len(part), int), np.zeros(len(part))
@@ -333,6 +348,7 @@ def score_toxicity(docs: DataFrame, net: Network | None, id_col: str = "doc_id",
                     at = _best(value, owner)
                     n = np.bincount(owner, minlength=len(part))
                     best = (at - np.searchsorted(owner, np.arange(len(part)))) * STRIDE
+                    best = [int(b if w is None else w[b]) for b, w in zip(best, numbers)]
                     score = 1 / (1 + np.exp(-value[at].astype(np.float64)))
                 columns = [pa.array(n, pa.int64()), pa.array(best, pa.int64()), pa.array(score, pa.float64())]
                 yield pa.RecordBatch.from_arrays([ids[a : a + 256], *columns], names=["id", "n_windows", "worst", "score"])

@@ -151,6 +151,25 @@ def test_one_bad_passage_in_a_very_long_text_counts(llm_spark, net):
     assert got[2].score > got[1].score and abs(got[2].worst - 15000) < toxicity.WINDOW
 
 
+def test_every_character_of_a_long_word_is_read():
+    for n in (81, 92, 93, 100, 1000):
+        word = "".join(chr(0x4E00 + i) for i in range(n))
+        pieces, numbers = toxicity.pieces_of(f"a {word} b")
+        assert pieces[0] == "a" and pieces[-1] == "b" and numbers.tolist() == [0] + [1] * (len(pieces) - 2) + [2]
+        grams = {p[k : k + 5] for p in pieces for k in range(len(p) - 4)}
+        assert grams == {word[k : k + 5] for k in range(n - 4)}
+    assert toxicity.pieces_of("x " + "y" * 80) == (["x", "y" * 80], None)
+
+
+def test_a_bad_passage_inside_a_text_without_spaces_counts(llm_spark, net):
+    calm = words(6, 2000)
+    loud = calm[:1000] + ["vilezor", "scumbo", "zagdirt", "vilekan"] * 4 + calm[1000:]
+    rows = [(1, "ab cd " + "_".join(calm)), (2, "ab cd " + "_".join(loud) + " ef"), (3, " ".join([*calm[:500], "_".join(loud)]))]
+    got = {r.doc_id: r for r in toxicity.score_toxicity(make_docs(llm_spark, rows), net).collect()}
+    assert got[2].score > got[1].score and got[2].worst == 2 and got[3].worst == 500
+    assert got[1].n_windows > 20
+
+
 def test_small_tables_and_chunks_give_the_same(net, monkeypatch):
     texts = [t for _, t in toxic_rows(40, seed=4)[0]]
     table = toxicity.Table(net)
