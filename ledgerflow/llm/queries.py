@@ -34,8 +34,8 @@ def op2_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # copied passages begin and end inside lines, so the units are clauses
-    passages = unitdedup.repeated_passages(read_table(spark, sf_dir, "documents"), unit="clause", min_words=25)
+    # copied passages begin and end inside lines and clauses
+    passages = unitdedup.extended_passages(read_table(spark, sf_dir, "documents"), min_words=25)
     return passages.drop("text_hash")
 
 

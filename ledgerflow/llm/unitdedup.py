@@ -37,27 +37,36 @@ SEPARATORS = {"paragraph": r"\n[^\S\n]*(?:\n\s*)+", "line": r"\n", "clause": r"(
 #: Units among which a task looks for repeats by itself.
 BLOCK = 500_000
 _NULL_ID = -(2**63)
-_COLUMNS = ["digest", "id", "text_hash", "seq", "start", "stop", "words", "earlier"]
-_SCHEMA = "digest long, id long, text_hash long, seq int, start int, stop int, words int, earlier long"
-_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+_COLUMNS = ["digest", "id", "text_hash", "seq", "start", "stop", "words", "earlier", "e_hash", "e_start", "e_stop"]
+_SCHEMA = "digest long, id long, text_hash long, seq int, start int, stop int, words int, earlier long, e_hash long, e_start int, e_stop int"
+_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+#: What is kept of a repeat's earlier occurrence: id, text hash, start, stop.
+_EARLIER = [1, 2, 4, 5]
+#: From this number on, units are whole lines and paragraphs.
+WHOLE = 1 << 30
+#: The least words of a run of equal clauses that is extended, and the
+#: characters that the first round looks at on either side.
+SEED_WORDS, REACH = 3, 160
 
 
-def units_of(text: str, separator: re.Pattern) -> list[tuple[int, int, bytes, int]]:
-    """(start, stop, digest, words) of the units that have words."""
+def units_of(text: str, separator: re.Pattern, space: bytes = b"") -> list[tuple[int, int, bytes, int]]:
+    """(start, stop, digest, words) of the units that have words; digests of
+    other spaces differ."""
     found, start = [], 0
     for m in [*separator.finditer(text), None]:
         stop = m.start() if m else len(text)
         parts = text[start:stop].lower().split()
         if parts:
-            found.append((start, stop, hashlib.blake2b(" ".join(parts).encode(), digest_size=8).digest(), len(parts)))
+            found.append((start, stop, hashlib.blake2b(space + " ".join(parts).encode(), digest_size=8).digest(), len(parts)))
         start = m.end() if m else stop
     return found
 
 
 def _batch(rows: np.ndarray, earlier: np.ndarray | None) -> pa.RecordBatch:
     """Rows (a 7-column table) as a batch; ``earlier`` marks sure repeats."""
-    arrays = [pa.array(rows[:, k]).cast(t) for k, t in enumerate(_TYPES[:-1])]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(earlier) if earlier is not None else pa.nulls(len(rows), pa.int64())], names=_COLUMNS)
+    arrays = [pa.array(rows[:, k]).cast(t) for k, t in enumerate(_TYPES[:7])]
+    arrays += [pa.array(earlier[:, k]).cast(t) if earlier is not None else pa.nulls(len(rows), t) for k, t in enumerate(_TYPES[7:])]
+    return pa.RecordBatch.from_arrays(arrays, names=_COLUMNS)
 
 
 def _split(rows: np.ndarray) -> list[pa.RecordBatch]:
@@ -67,11 +76,21 @@ def _split(rows: np.ndarray) -> list[pa.RecordBatch]:
     same_unit = (rows[1:, :4] == rows[:-1, :4]).all(axis=1)  # of a repeated row
     rows = rows[np.r_[True, ~same_unit]]
     fresh = np.r_[True, rows[1:, 0] != rows[:-1, 0]]
-    owner = rows[np.maximum.accumulate(np.where(fresh, np.arange(len(rows)), 0)), 1]
+    owner = rows[np.maximum.accumulate(np.where(fresh, np.arange(len(rows)), 0))][:, _EARLIER]
     return [b for b in (_batch(rows[fresh], None), _batch(rows[~fresh], owner[~fresh])) if len(b)]
 
 
-def _units(unit: str):
+def _whole_units(text: str) -> list[tuple[int, int, bytes, int]]:
+    """Lines, and paragraphs of several lines, in order."""
+    lines = units_of(text, re.compile(SEPARATORS["line"]), b"\n")
+    if len(lines) < 2:
+        return lines
+    stops = {u[0]: u[1] for u in lines}
+    several = [u for u in units_of(text, re.compile(SEPARATORS["paragraph"]), b"\n") if stops.get(u[0], 0) < u[1]]
+    return sorted(lines + several)
+
+
+def _units(unit: str, whole: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         separator = re.compile(SEPARATORS[unit])
         parts: list[np.ndarray] = []
@@ -80,11 +99,15 @@ def _units(unit: str):
             keys, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for key, text_hash, text in zip(keys, hashes, batch.column(2)):
                 found = units_of(text.as_py() or "", separator)
+                n = len(found)
+                if whole:
+                    found += _whole_units(text.as_py() or "")
                 if not found:
                     continue
                 rows = np.empty((len(found), 7), np.int64)
                 rows[:, 0] = np.frombuffer(b"".join(f[2] for f in found), "<i8")
                 rows[:, 1], rows[:, 2], rows[:, 3] = key, text_hash, np.arange(len(found))
+                rows[n:, 3] += WHOLE - n
                 rows[:, 4:] = [(f[0], f[1], f[3]) for f in found]
                 parts.append(rows)
                 held += len(rows)
@@ -112,7 +135,9 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         fresh = np.r_[digest != rows[0, 0], rows[1:, 0] != rows[:-1, 0]]
         at = np.maximum.accumulate(np.where(fresh, np.arange(len(rows)), -1))
-        own = np.where(at >= 0, rows[at, 1], owner if owner is not None else 0)
+        own = rows[at][:, _EARLIER]
+        if owner is not None:
+            own[at < 0] = owner
         before = rows[at, 1:4]
         if rank is not None:
             before[at < 0] = rank
@@ -122,16 +147,21 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, rank, owner = rows[-1, 0], before[-1], own[-1]
 
 
-def repeated_passages(docs: DataFrame, unit: str = "line", min_words: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_hash, start, stop, n_words, earlier_id): the passages to
-    remove, with character offsets, and a document that has (the first unit
-    of) the passage earlier."""
+def _marks(docs: DataFrame, id_col: str, text_col: str, unit: str, whole: bool = False) -> DataFrame:
+    """The repeated units, each with its place and that of an earlier one."""
     text = F.col(text_col)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)), F.xxhash64(text), text).mapInArrow(_units(unit), _SCHEMA)
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)), F.xxhash64(text), text).mapInArrow(_units(unit, whole), _SCHEMA)
     # sure repeats stay where they are; only first occurrences meet by digest
     route = F.when(F.col("earlier").isNull(), F.col("digest")).otherwise(F.xxhash64("id", "text_hash", "seq"))
     marks = rows.withColumn("route", route).repartition("route").drop("route").sortWithinPartitions("digest", "id", "text_hash", "seq").mapInArrow(_repeats, _SCHEMA)
-    marks = shared_table(marks, "repeats").groupBy("id", "text_hash", "seq").agg(F.min(F.struct("start", "stop", "words", "earlier")).alias("u")).select("id", "text_hash", "seq", "u.*")
+    return shared_table(marks, "repeats").groupBy("id", "text_hash", "seq").agg(F.min(F.struct("start", "stop", "words", "earlier", "e_hash", "e_start", "e_stop")).alias("u")).select("id", "text_hash", "seq", "u.*")
+
+
+def repeated_passages(docs: DataFrame, unit: str = "line", min_words: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text_hash, start, stop, n_words, earlier_id): the passages to
+    remove, with character offsets, and a document that has (the first unit
+    of) the passage earlier."""
+    marks = _marks(docs, id_col, text_col, unit)
     run = F.col("seq") - F.row_number().over(Window.partitionBy("id", "text_hash").orderBy("seq"))  # one document's units
     passages = marks.withColumn("run", run).groupBy("id", "text_hash", "run").agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("n_words"), F.min(F.struct("seq", "earlier")).alias("first")
@@ -140,6 +170,152 @@ def repeated_passages(docs: DataFrame, unit: str = "line", min_words: int = 25,
     return passages.where(F.col("n_words") >= min_words).select(null("id").alias(id_col), "text_hash", "start", "stop", "n_words", null("first.earlier").alias("earlier_id"))
 
 
+_WORD = re.compile(r"\S+")
+_ASKED = "array<struct<kind: int, start: int, stop: int, other: long, o_hash: long, o_start: int, o_stop: int, left: boolean, right: boolean>>"
+_CONTEXT = "id long, text_hash long, kind int, start int, stop int, other long, o_hash long, o_start int, o_stop int, first int, last int, before string, after string, left boolean, right boolean"
+_RUN = "id long, text_hash long, start int, stop int, first int, last int, other long, o_hash long, o_start int, o_stop int, left boolean, right boolean"
+
+
+def _contexts(reach: int):
+    """What stands on either side of the asked places of each text, and their
+    word numbers. ``left`` and ``right``: still to be extended there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([(c, t) for c, t in zip(["id", "text_hash"], [pa.int64()] * 2)] + [("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("other", pa.int64()), ("o_hash", pa.int64()), ("o_start", pa.int32()), ("o_stop", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("before", pa.string()), ("after", pa.string()), ("left", pa.bool_()), ("right", pa.bool_())])
+        for batch in batches:
+            made = []
+            for key, text_hash, text, asked in zip(*(batch.column(k) for k in range(4))):
+                t = text.as_py()
+                starts = np.array([m.start() for m in _WORD.finditer(t)], np.int64)
+                for q in asked.as_py():
+                    a, b = q["start"], q["stop"]
+                    low, high = max(0, a - reach), min(len(t), b + reach)
+                    sides = {"before": t[low:a] if q["left"] else "", "after": t[b:high] if q["right"] else ""}
+                    words = {"first": int(np.searchsorted(starts, a)), "last": int(np.searchsorted(starts, b))}
+                    # whether there is more text than this
+                    made.append({"id": key.as_py(), "text_hash": text_hash.as_py(), **q, **words, **sides, "left": q["left"] and low > 0, "right": q["right"] and high < len(t)})
+            yield pa.RecordBatch.from_pylist(made, schema=schema)
+
+    return run
+
+
+def _agree(mine: list[re.Match], other: list[re.Match]) -> int:
+    n = 0
+    for a, b in zip(mine, other):
+        if a.group().lower() != b.group().lower():
+            break
+        n += 1
+    return n
+
+
+def _side(mine: str, other: str, more: tuple[bool, bool], back: bool) -> tuple[int, int, int, bool]:
+    """(words, characters of mine, of the other, go on) that agree next to a
+    run. Where a text goes on, its outermost word may be cut and waits."""
+    found = []
+    for text, cut in zip((mine, other), more):
+        words = list(_WORD.finditer(text))
+        words = words[::-1] if back else words
+        found.append(words[:-1] if cut else words)
+    n = _agree(*found)
+    if not n:
+        reach = [0, 0]
+    elif back:
+        reach = [len(text) - w[n - 1].start() for text, w in zip((mine, other), found)]
+    else:
+        reach = [w[n - 1].end() for w in found]
+    # an end that was not seen yet, and no word that differs
+    return n, *reach, any(cut and n == len(w) for cut, w in zip(more, found)) and all(cut or n < len(w) for cut, w in zip(more, found))
+
+
+def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in _RUN.split(", ")]
+    types = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.bool_()] * 2
+    for batch in batches:
+        made = []
+        for r in batch.to_pylist():
+            left = _side(r["before"], r["o_before"], (r["left"], r["o_left"]), True)
+            right = _side(r["after"], r["o_after"], (r["right"], r["o_right"]), False)
+            r |= {"start": r["start"] - left[1], "o_start": r["o_start"] - left[2], "first": r["first"] - left[0], "left": left[3]}
+            r |= {"stop": r["stop"] + right[1], "o_stop": r["o_stop"] + right[2], "last": r["last"] + right[0], "right": right[3]}
+            made.append({c: r[c] for c in names})
+        yield pa.RecordBatch.from_pylist(made, schema=pa.schema(list(zip(names, types))))
+
+
+def _merged(spans: list[tuple]) -> list[list]:
+    """Overlapping or touching (first, last, start, stop, earlier) as one."""
+    out: list[list] = []
+    for s in sorted(spans):
+        if out and s[0] <= out[-1][1]:
+            out[-1][1], out[-1][3] = max(out[-1][1], s[1]), max(out[-1][3], s[3])
+        else:
+            out.append(list(s))
+    return out
+
+
+def _passages(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [("id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("n_words", pa.int64()), ("earlier", pa.int64())]
+        for batch in batches:
+            made = []
+            for key, text_hash, spans in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                parts = {w: [(s["first"], s["last"], s["start"], s["stop"], s["other"]) for s in spans if s["whole"] == w] for w in (False, True)}
+                long = [tuple(s) for s in _merged(parts[False]) if s[1] - s[0] >= min_words]
+                made += [(key, text_hash, s[2], s[3], s[1] - s[0], s[4]) for s in _merged(long + parts[True])]
+            columns = zip(*made) if made else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, types)], names=[n for n, _ in types])
+
+    return run
+
+
+def extended_passages(docs: DataFrame, min_words: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``repeated_passages``, by words: runs of repeated clauses (of
+    ``SEED_WORDS`` words or more) are extended word by word on both sides while
+    the text of their earlier occurrence agrees, and count from ``min_words``
+    on; repeated whole lines and paragraphs count whatever their length. A
+    passage that holds no whole clause of the earlier text is not found."""
+    marks = shared_table(_marks(docs, id_col, text_col, "clause", True), "marks")
+    run = F.col("seq") - F.row_number().over(Window.partitionBy("id", "text_hash").orderBy("seq"))  # one document's units
+    runs = marks.where(F.col("seq") < WHOLE).withColumn("run", run).groupBy("id", "text_hash", "run").agg(
+        F.sum("words").alias("words"), F.min("start").alias("start"), F.max("stop").alias("stop"),
+        F.min(F.struct("seq", "earlier", "e_hash", "e_start", "e_stop")).alias("a"), F.max(F.struct("seq", "earlier", "e_hash", "e_start", "e_stop")).alias("b"),
+    ).where(F.col("words") >= SEED_WORDS)
+    yes, no = F.lit(True), F.lit(False)
+    # the two ends may have their earlier occurrences in different texts
+    together = (F.col("a.earlier") == F.col("b.earlier")) & (F.col("a.e_hash") == F.col("b.e_hash"))
+    one = lambda end, left, right: F.struct(F.col(f"{end}.earlier").alias("other"), F.col(f"{end}.e_hash").alias("o_hash"), F.col("a.e_start" if left is yes else f"{end}.e_start").alias("o_start"), F.col("b.e_stop" if right is yes else f"{end}.e_stop").alias("o_stop"), left.alias("left"), right.alias("right"))
+    ends = F.when(together, F.array(one("a", yes, yes))).otherwise(F.array(one("a", yes, no), one("b", no, yes)))
+    asked = runs.select("id", "text_hash", F.lit(0).alias("kind"), "start", "stop", F.explode(ends).alias("o")).select("id", "text_hash", "kind", "start", "stop", "o.*")
+    whole = marks.where(F.col("seq") >= WHOLE).select("id", "text_hash", F.lit(2).alias("kind"), "start", "stop", F.col("earlier").alias("other"), F.col("e_hash").alias("o_hash"), F.col("e_start").alias("o_start"), F.col("e_stop").alias("o_stop"), no.alias("left"), no.alias("right"))
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    open_runs, done, reach = asked.unionByName(whole), [], REACH
+    while True:
+        mine = open_runs.where("kind = 0")
+        theirs = mine.select(F.col("other").alias("id"), F.col("o_hash").alias("text_hash"), F.col("o_start").alias("start"), F.col("o_stop").alias("stop"), "left", "right").distinct()
+        for c, t in (("kind", F.lit(1)), ("other", F.lit(0)), ("o_hash", F.lit(0)), ("o_start", F.lit(0)), ("o_stop", F.lit(0))):
+            theirs = theirs.withColumn(c, t)
+        fields = ["kind", "start", "stop", "other", "o_hash", "o_start", "o_stop", "left", "right"]
+        wanted = open_runs.unionByName(theirs).groupBy("id", "text_hash").agg(F.collect_set(F.struct(*fields)).cast(_ASKED).alias("asked"))
+        rows = texts.join(wanted, ["id", "text_hash"]).select("id", "text_hash", "text", "asked")
+        found = shared_table(rows.mapInArrow(_contexts(reach), _CONTEXT), "contexts")
+        done.append(found.where("kind = 2").select("id", "text_hash", "first", "last", "start", "stop", "other", yes.alias("whole")))
+        # the sides that were asked for tell places apart; both texts hold them
+        side = lambda f: f.where("kind = 1").select(F.col("id").alias("other"), F.col("text_hash").alias("o_hash"), F.col("start").alias("o_start"), F.col("stop").alias("o_stop"), F.col("before").alias("o_before"), F.col("after").alias("o_after"), F.col("left").alias("o_left"), F.col("right").alias("o_right"))
+        pairs = found.where("kind = 0").join(side(found), ["other", "o_hash", "o_start", "o_stop"])
+        longer = shared_table(pairs.mapInArrow(_extend, _RUN), "extended")
+        done.append(longer.select("id", "text_hash", "first", "last", "start", "stop", "other", no.alias("whole")))
+        open_runs = longer.where("left or right").withColumn("kind", F.lit(0)).select("id", "text_hash", *fields)
+        if open_runs.isEmpty():
+            break
+        reach *= 10
+    spans = done[0]
+    for d in done[1:]:
+        spans = spans.unionByName(d)
+    spans = spans.groupBy("id", "text_hash").agg(F.collect_set(F.struct("first", "last", "start", "stop", "other", "whole")).alias("spans"))
+    passages = spans.mapInArrow(_passages(min_words), "id long, text_hash long, start int, stop int, n_words long, earlier long")
+    null = lambda c: F.when(F.col(c) != _NULL_ID, F.col(c))
+    return passages.select(null("id").alias(id_col), "text_hash", "start", "stop", "n_words", null("earlier").alias("earlier_id"))
+
+
 @F.pandas_udf(StringType())
 def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
     out = []

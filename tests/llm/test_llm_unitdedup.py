@@ -78,6 +78,19 @@ def test_spans_cut_the_original(llm_spark):
             assert not r.removed
 
 
+def test_passages_are_extended_by_words(llm_spark):
+    a, b, c = " ".join(words(1, 20)), " ".join(words(2, 6)), " ".join(words(3, 400))
+    passage = f"{a}, {b}, {c}"  # one whole clause of six words; a long cut one on each side
+    line = "Read more here."
+    rows = [(1, f"x1 {passage} y1\n{line}"), (2, f"x2 z2 {passage} y2\n{line}"), (3, f"x3 {a.upper()},\n{b}, v w"), (4, f"{line} q\n\n{line}"), (None, "other text, of no concern"), (5, "w, w w, w")]
+    texts = dict(rows)
+    found = unitdedup.extended_passages(make_docs(llm_spark, rows + rows[:2]), 25).collect()
+    assert all(r.earlier_id < r.doc_id for r in found)
+    got = sorted((r.doc_id, r.n_words, texts[r.doc_id][r.start : r.stop]) for r in found)
+    assert got == [(2, 3, line), (2, 426, passage), (3, 26, f"{a.upper()},\n{b},"), (4, 3, line)]
+    assert unitdedup.extended_passages(make_docs(llm_spark, [(1, None), (2, "")]), 25).count() == 0
+
+
 def test_empty_table(empty):
     passages = unitdedup.repeated_passages(empty, "clause")
     assert passages.count() == 0 and unitdedup.remove_spans(empty, passages).count() == 0
