@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="needs the given t
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_its_sql(llm_spark, name):
     with duckdb.connect() as con:
-        for t in ("documents", "benchmark", "labels"):
+        for t in ("documents", "benchmark", "labels", "embeddings"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
         result = con.execute(ORACLE_SQL[name])
         columns = [c[0] for c in result.description]
