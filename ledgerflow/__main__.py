@@ -39,6 +39,9 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--target-path", required=True)
     p.add_argument("--as-of", help="payment status reference day (default: today)")
     p.add_argument("--postal-codes-file", default="postal_codes.csv")
+    p.add_argument("--buckets", type=int, help="keep lake tables in so many buckets: an upsert rewrites those it touches")
+    p.add_argument("--load", help="name of this load of purchases: duplicates are found across loads")
+    p.add_argument("--run", help="(all) name of this run: kept in the history, and gone on with when it stopped")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-driver")
     p.add_argument("--jdbc-user", default=os.environ.get("LEDGERFLOW_DB_USER"))
@@ -52,10 +55,11 @@ def main(argv: list[str] | None = None) -> dict:
     cfg = jobs.JobConfig(
         source_path=args.source_path, target_path=args.target_path, as_of=args.as_of,
         postal_codes_file=args.postal_codes_file, jdbc=jdbc, jdbc_upsert_method=args.jdbc_upsert_method,
+        buckets=args.buckets, load=args.load,
     )
     spark = build_session(app_name=f"ledgerflow-{args.job}")
     try:
-        out = RUNNERS[args.job](spark, cfg)
+        out = jobs.run_all(spark, cfg, args.run) if args.job == "all" else RUNNERS[args.job](spark, cfg)
     finally:
         spark.stop()
     print(json.dumps(out))

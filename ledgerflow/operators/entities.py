@@ -33,7 +33,8 @@ class Lookup:
 
     ``take`` maps dimension columns to output names. ``how`` is "inner"
     (unmatched rows dropped) or "left" (kept with NULLs). ``casefold``
-    compares ``upper(left_on)`` with the (already upper-case) dimension key.
+    compares ``upper(left_on)`` with the (already upper-case) dimension key,
+    ``collation`` compares both as a Spark collation does.
     """
 
     dim: DataFrame
@@ -44,6 +45,7 @@ class Lookup:
     casefold: bool = False
     broadcast: bool | None = None  # this and the next: see operators.joins.lookup_join
     salt_hot_keys: int | None = None
+    collation: str | None = None
 
 
 def resolve_keys(df: DataFrame, lookups: Sequence[Lookup], observe: Observation | None = None) -> DataFrame:
@@ -68,10 +70,10 @@ def resolve_keys(df: DataFrame, lookups: Sequence[Lookup], observe: Observation
             raise ValueError(f"unsupported lookup type {lk.how!r}")
         if how == "inner" and observe is None:
             out = lookup_join(out, right, [key], [lk.dim_key], "inner", broadcast=lk.broadcast,
-                              salt_hot_keys=lk.salt_hot_keys).drop(marker)
+                              salt_hot_keys=lk.salt_hot_keys, collation=lk.collation).drop(marker)
             continue
         out = lookup_join(out, right, [key], [lk.dim_key], "left", broadcast=lk.broadcast,
-                          salt_hot_keys=lk.salt_hot_keys)
+                          salt_hot_keys=lk.salt_hot_keys, collation=lk.collation)
         if how == "inner":
             markers.append((i, marker))
         else:

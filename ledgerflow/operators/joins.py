@@ -36,6 +36,12 @@ def any_null(keys: Sequence[str]) -> Column:
     return out
 
 
+def collated(key: Column, collation: str | None) -> Column:
+    """The text key under a Spark collation (e.g. ``UNICODE_CI_RTRIM``): equality,
+    grouping and joins then go by it."""
+    return F.collate(key, collation) if collation else key
+
+
 def null_salt(keys: Sequence[str]) -> Column:
     """0 for rows whose key is set, else a number that spreads the rows."""
     spread = F.pmod(F.monotonically_increasing_id(), F.lit(_NULL_SALTS)) + 1
@@ -62,6 +68,7 @@ def lookup_join(
     broadcast: bool | None = None,
     salt_hot_keys: int | None = None,
     salt_buckets: int = 64,
+    collation: str | None = None,
 ) -> DataFrame:
     """Equi-join ``left`` to ``right`` where ``left_on[i] == right[right_on[i]]``.
 
@@ -72,6 +79,9 @@ def lookup_join(
     (which must not clash with ``left``'s). ``broadcast`` as in the module
     docstring.
 
+    ``collation`` compares text keys as a Spark collation does; a right side
+    with one row per key must then be so under the collation.
+
     Keys are joined under fresh internal names, so self-joins (``right``
     derived from ``left``) are unambiguous.
 
@@ -94,6 +104,10 @@ def lookup_join(
     rk = [f"__lf_rk{i}" for i in range(len(right_on))]
     l = left.select("*", *[(F.col(a) if isinstance(a, str) else a).alias(n) for a, n in zip(left_on, lk)])
     r = right.select(*[F.col(b).alias(n) for b, n in zip(right_on, rk)], *extra)
+    if collation:
+        text = {n for n, t in l.select(*lk).dtypes if t.startswith("string")}
+        l = l.withColumns({n: collated(F.col(n), collation) for n in lk if n in text})
+        r = r.withColumns({m: collated(F.col(m), collation) for n, m in zip(lk, rk) if n in text})
     pairs = list(zip(lk, rk))
 
     def on(ps) -> Column:

@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.checks import cnpj_is_valid, with_cnpj_valid
 from ledgerflow.functions.clean import concat_labels
-from ledgerflow.operators.joins import lookup_join
+from ledgerflow.operators.bitmaps import mark_members, stage_bitmaps
+from ledgerflow.operators.joins import collated, lookup_join
+from ledgerflow.session import remove_path
 
 ColumnOrName = Column | str
 
@@ -55,6 +57,8 @@ class Rule:
     # "frame" rules add their own boolean *pass* column: (df, name) -> df
     add_ok: Callable[[DataFrame, str], DataFrame] | None = None
     salt_hot_keys: int | None = None
+    collation: str | None = None
+    bitmap: bool = False  # test membership by bitmaps of integer keys
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -73,7 +77,7 @@ def rule_not_null(columns: Iterable[str] | None = None, label: str = "null colum
     excl = set(exclude)
 
     def fails(df: DataFrame) -> Column:
-        names = [c for c in (cols if cols is not None else df.columns) if c not in excl]
+        names = [c for c in (cols if cols is not None else df.columns) if c not in excl and not c.startswith("__lf_")]
         out = F.lit(False)
         for name in names:
             out = out | F.col(name).isNull()
@@ -105,19 +109,29 @@ def rule_in_lookup(
     blocking: bool = True,
     broadcast: bool | None = None,
     salt_hot_keys: int | None = None,
+    collation: str | None = None,
+    bitmap: bool = False,
 ) -> Rule:
     """Fires when ``key`` has no match in ``dim[dim_key]``.
 
     ``key`` may be an expression, e.g. a parsed integer of a text column. A
     NULL or unparseable key has no match, so it fires. ``salt_hot_keys``
     spreads keys with that many distinct rows when the lookup shuffles.
+    ``collation`` compares text keys as a Spark collation does.
+
+    ``bitmap=True`` is for integer keys too many to broadcast as rows: the
+    dimension becomes one bit a key (``operators.bitmaps``), written when the
+    rules are run, and the checked rows are not shuffled as long as the bits
+    fit a broadcast.
     """
+    if bitmap and collation:
+        raise ValueError("bitmap is for integer keys")
     if isinstance(key, (str, Column)):
         kf = lambda df, k=key: _col(k)
     else:
         kf = key
     return Rule(label=label, kind="lookup", key=kf, dim=dim, dim_key=dim_key, blocking=blocking,
-                broadcast=broadcast, salt_hot_keys=salt_hot_keys)
+                broadcast=broadcast, salt_hot_keys=salt_hot_keys, collation=collation, bitmap=bitmap)
 
 
 def rule_check_digit(column: ColumnOrName, label: str, kind: str = "cnpj", *, blocking: bool = True) -> Rule:
@@ -144,19 +158,45 @@ class Validation:
     count_col: str
     reasons_col: str
 
+    seen: object | None = None  # plans.seen.SeenRows
+    load: str | None = None
+    staged: str | None = None  # the load's rows, written
+
+    def _with(self, annotated: DataFrame) -> "Validation":
+        return Validation(annotated, self.columns, self.rules, self.count_col, self.reasons_col, self.seen, self.load, self.staged)
+
+    @property
+    def is_accepted(self) -> Column:
+        # a row that an earlier load had was judged there
+        ok = ~F.col("__lf_blocked")
+        return ok & (F.col("__lf_prior") == 0) if self.seen else ok
+
+    @property
+    def is_rejected(self) -> Column:
+        # ... and becomes a duplicate with its second copy, not with each one
+        fired = F.col("__lf_fired")
+        return fired & (F.col("__lf_prior") <= 1) if self.seen else fired
+
     @property
     def accepted(self) -> DataFrame:
-        return self.annotated.filter(~F.col("__lf_blocked")).select(*self.columns)
+        return self.annotated.filter(self.is_accepted).select(*self.columns)
 
     @property
     def rejected(self) -> DataFrame:
-        return self.annotated.filter(F.col("__lf_fired")).select(*self.columns, self.reasons_col)
+        return self.annotated.filter(self.is_rejected).select(*self.columns, self.reasons_col)
+
+    def record(self) -> None:
+        """Keep the load's digests for later loads (with ``seen``): once its
+        outputs are published."""
+        digests = self.annotated.select("__lf_d1", "__lf_d2", F.col(self.count_col).alias("n"))
+        self.seen.record(digests, self.load)
+        remove_path(digests.sparkSession, self.staged)
 
     def stats(self, written: str = "written", rejected: str = "rejected") -> DataFrame:
         """One row (written, rejected): accepted and rejected row counts, one pass (K8)."""
         return self.annotated.agg(
-            F.count_if(~F.col("__lf_blocked")).alias(written),
-            F.count_if(F.col("__lf_fired")).alias(rejected),
+            F.count_if(self.is_accepted).alias(written),
+            F.count_if(self.is_rejected).alias(rejected),
         )
 
     def rule_counts(self) -> DataFrame:
@@ -176,7 +216,7 @@ class Validation:
         """
         self.annotated.write.mode("overwrite").parquet(path)
         back = self.annotated.sparkSession.read.parquet(path)
-        return Validation(back, self.columns, self.rules, self.count_col, self.reasons_col)
+        return self._with(back)
 
     @contextmanager
     def persisted(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
@@ -200,18 +240,34 @@ def validate(
     count_col: str = "__lf_n",
     sep: str = ", ",
     distinct: bool = True,
+    carry: Sequence[str] = (),
+    seen=None,
+    load: str | None = None,
 ) -> Validation:
     """Run ``rules`` over ``df`` and split it into accepted / rejected rows.
 
+    ``carry`` names columns that belong to a row (in the grouping too) but to
+    no output; the annotated rows have them.
+
+    ``seen`` (a ``plans.seen.SeenRows``) and the name of this ``load`` make the
+    duplicate rule look at earlier loads too. Then all loads together accept
+    each row once and report it as a duplicate once, as one load of everything
+    would; call ``record`` when the outputs are published.
+
     ``distinct=False`` (only without a duplicate rule) keeps every input row
     instead of distinct rows: no aggregation, so the whole validation runs
     map-side without a shuffle (lookups against a broadcast dimension).
     """
     cols = list(columns or df.columns)
-    base = df.select(*cols)
+    base = df.select(*cols, *carry)
+    staged = None
+    if seen is not None and (load is None or not distinct):
+        raise ValueError("seen rows need the name of the load and distinct=True")
     if distinct:
         # one shuffle: distinct rows with their multiplicity (partial aggregation)
-        g = base.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
+        g = base.groupBy(*cols, *carry).agg(F.count(F.lit(1)).alias(count_col))
+        if seen is not None:
+            g, staged = seen.with_prior(g, load, "__lf_prior")
     else:
         if any(r.kind == "duplicate" for r in rules):
             raise ValueError("the duplicate rule needs distinct=True")
@@ -220,16 +276,20 @@ def validate(
     for i, rule in enumerate(rules):
         name = f"__lf_fail{i}"
         if rule.kind == "duplicate":
-            g = g.withColumn(name, F.col(count_col) > 1)
+            copies = F.col(count_col) + F.col("__lf_prior") if seen is not None else F.col(count_col)
+            g = g.withColumn(name, copies > 1)
         elif rule.kind == "row":
             g = g.withColumn(name, F.coalesce(rule.fails(g), F.lit(False)))
         elif rule.kind == "frame":
             g = rule.add_ok(g, name).withColumn(name, ~F.coalesce(F.col(name), F.lit(False)))
+        elif rule.kind == "lookup" and rule.bitmap:
+            bitmaps, fits = stage_bitmaps(rule.dim, _col(rule.dim_key))
+            g = mark_members(g, rule.key(g), bitmaps, name, broadcast=fits or None).withColumn(name, ~F.col(name))
         elif rule.kind == "lookup":
             hit = f"__lf_hit{i}"
-            dim_keys = rule.dim.select(_col(rule.dim_key).alias("__lf_dk")).where(F.col("__lf_dk").isNotNull())
+            dim_keys = rule.dim.select(collated(_col(rule.dim_key), rule.collation).alias("__lf_dk")).where(F.col("__lf_dk").isNotNull())
             dim_keys = dim_keys.distinct().withColumn(hit, F.lit(True))
-            g = lookup_join(g, dim_keys, [rule.key(g)], ["__lf_dk"], "left", broadcast=rule.broadcast, salt_hot_keys=rule.salt_hot_keys)
+            g = lookup_join(g, dim_keys, [rule.key(g)], ["__lf_dk"], "left", broadcast=rule.broadcast, salt_hot_keys=rule.salt_hot_keys, collation=rule.collation)
             g = g.withColumn(name, F.col(hit).isNull()).drop(hit)
         else:
             raise ValueError(f"unknown rule kind {rule.kind!r}")
@@ -250,10 +310,12 @@ def validate(
     blocked = blocked & fence
     annotated = g.select(
         *cols,
+        *carry,
+        *(["__lf_d1", "__lf_d2", "__lf_prior"] if seen is not None else []),
         F.col(count_col),
         *[fc for fc in fail_cols],
         concat_labels([(fc, r.label) for fc, r in zip(fail_cols, rules)], sep).alias(reasons_col),
         blocked.alias("__lf_blocked"),
         fired.alias("__lf_fired"),
     )
-    return Validation(annotated=annotated, columns=cols, rules=list(rules), count_col=count_col, reasons_col=reasons_col)
+    return Validation(annotated=annotated, columns=cols, rules=list(rules), count_col=count_col, reasons_col=reasons_col, seen=seen, load=load, staged=staged)

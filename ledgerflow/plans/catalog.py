@@ -9,6 +9,7 @@ expression so the oracle SQL can inject the same. Round-trip entries
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ from ledgerflow.operators import (
     validate,
 )
 from ledgerflow.session import scratch_path
-from ledgerflow.sources import read_csv, read_parquet, write_csv, write_parquet
+from ledgerflow.sources import read_csv, read_csv_checked, read_parquet, typed_schema, write_csv, write_parquet
 from ledgerflow.sources import jdbc as J
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,22 +71,46 @@ def _orders_with_bad_keys(spark, sf_dir, *extra) -> DataFrame:
 
 
 def scan_parquet(spark, sf_dir):
-    return table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    return table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
 
 
 def scan_csv_header_strings(spark, sf_dir):
-    path = scratch_path(spark, "nation-csv")
-    write_csv(scan_parquet(spark, sf_dir), path, sep=",", header=True)
+    path = scratch_path(spark, "customer-csv")
+    write_csv(table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_acctbal"), path, sep=",", header=True)
     return read_csv(spark, path, header=True)
 
 
 def scan_csv_schema(spark, sf_dir):
-    from ledgerflow.sources import typed_schema
+    path = scratch_path(spark, "orders-csv")
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate")
+    write_csv(o.withColumn("o_orderdate", F.to_date("o_orderdate")), path, sep=";", header=False)
+    schema = typed_schema({"o_orderkey": "bigint", "o_orderpriority": "string", "o_totalprice": "double", "o_orderdate": "date"})
+    df = read_csv(spark, path, header=False, sep=";", schema=schema)
+    return df.withColumn("o_orderpriority", upper_trim("o_orderpriority"))
+
+
+def _checked_orders(spark, sf_dir):
+    """Orders as lines of text, of which some lack a field, have one too many
+    or hold a value that is not of its type."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate")
+    k = F.col("o_orderkey")
+    price = F.when(k % 13 == 0, F.lit("much")).otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
+    day = F.when(k % 17 == 0, F.lit("someday")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    fields = F.concat_ws(";", k.cast("string"), F.col("o_orderpriority"), price)
+    line = F.when(k % 10 == 0, fields).when(k % 11 == 0, F.concat_ws(";", fields, day, F.lit("more"))).otherwise(F.concat_ws(";", fields, day))
+    path = scratch_path(spark, "orders-lines")
+    o.select(line.alias("value")).write.text(path)
+    schema = typed_schema({"o_orderkey": "bigint", "o_orderpriority": "string", "total": "decimal(12,2)", "d": "date"})
+    return read_csv_checked(spark, path, schema, header=False, sep=";")
+
 
-    path = scratch_path(spark, "region-csv")
-    write_csv(table(spark, sf_dir, "region", "r_regionkey", "r_name"), path, sep=";", header=False)
-    df = read_csv(spark, path, header=False, sep=";", schema=typed_schema({"r_regionkey": "int", "r_name": "string"}))
-    return df.select("r_regionkey", upper_trim("r_name").alias("r_name"))
+def malformed_lines_q(spark, sf_dir):
+    """Every malformed line, word for word, and what is wrong with it."""
+    return _checked_orders(spark, sf_dir).malformed.select("line", "reason")
+
+
+def wellformed_lines(spark, sf_dir):
+    return _checked_orders(spark, sf_dir).rows
 
 
 def _derby(spark, tables: dict[str, DataFrame]) -> J.JdbcConfig:
@@ -139,8 +164,6 @@ def sink_parquet_roundtrip(spark, sf_dir):
 
 
 def sink_csv_roundtrip(spark, sf_dir):
-    from ledgerflow.sources import typed_schema
-
     path = scratch_path(spark, "customer-csv")
     write_csv(table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment"), path, sep=";", header=True)
     schema = typed_schema({"c_custkey": "bigint", "c_name": "string", "c_mktsegment": "string"})
@@ -209,6 +232,37 @@ def ci_upsert_duplicates(spark, sf_dir):
     return upsert_snapshot(target, source, ["segment"], case_insensitive=True, on_duplicate="latest", order_by=["n"]).state
 
 
+def upsert_buckets(spark, sf_dir):
+    """Customers in a bucketed table, then a source of every second key and as
+    many new ones: only touched buckets are read and rewritten."""
+    from ledgerflow.plans.buckets import BucketTable
+
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+    stored = BucketTable(spark, scratch_path(spark, "customer-buckets"), cust.schema, ["c_custkey"], n_buckets=16)
+    stored.upsert(cust)
+    stored.upsert(cust.select((F.col("c_custkey") * 2).alias("c_custkey"), F.lower("c_mktsegment").alias("c_mktsegment")))
+    return stored.read()
+
+
+#: Trailing blanks and case do not count, accents do.
+COLLATION = "UNICODE_CI_RTRIM"
+
+
+def _spelled(name, key):
+    """A name in one of three spellings that are equal under ``COLLATION``."""
+    return F.when(key % 3 == 0, F.lower(name)).when(key % 3 == 1, F.concat(F.upper(name), F.lit("  "))).otherwise(name)
+
+
+def collated_upsert(spark, sf_dir):
+    """Customers by name, where the source spells the names in other ways."""
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_name")
+    target = cust.select(F.concat(F.lit("ação "), "c_name").alias("name"), F.lit(0).cast("long").alias("n"))
+    name = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("acao "), "c_name")).otherwise(F.concat(F.lit("ação "), "c_name"))
+    source = cust.select(_spelled(name, F.col("c_custkey")).alias("name"), F.col("c_custkey").alias("n"))
+    state = upsert_snapshot(target, source, ["name"], collation=COLLATION).state
+    return state.select(F.rtrim("name").alias("name"), "n")
+
+
 def dimension_load(spark, sf_dir):
     """Postal codes from a headerless file into a stored table, twice (D2):
     rows whose code is no number are rejected, not piled up."""
@@ -225,6 +279,40 @@ def dimension_load(spark, sf_dir):
     return tables.read("CEP")
 
 
+def _loaded_twice(spark, sf_dir, name, compute, df):
+    """A dimension's CSV file into its stored table, twice."""
+    from ledgerflow.plans.tables import LakeTables
+
+    path = scratch_path(spark, name)
+    write_csv(df, path, sep=",", header=True)
+    tables = LakeTables(spark, scratch_path(spark, "lake"))
+    for _ in range(2):
+        tables.upsert(name, compute(spark, path))
+    return tables.read(name)
+
+
+def payment_terms_load(spark, sf_dir):
+    """Payment terms (D3) from a file of four columns, of which three are
+    kept; a term whose id is no number is rejected."""
+    from ledgerflow.plans.jobs import compute_payment_terms
+
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size")
+    code = F.when(F.col("p_partkey") % 10 == 0, F.lit("?")).otherwise(F.col("p_partkey").cast("string"))
+    count = F.when(F.col("p_partkey") % 7 == 0, F.lit("many")).otherwise(F.col("p_size").cast("string"))
+    df = p.select(code.alias("ID_CONDICAO"), F.concat(F.lit(" "), "p_name").alias("DESCRICAO"), F.lit("-").alias("ENTRADA"), count.alias("QTD_PARCELAS"))
+    return _loaded_twice(spark, sf_dir, "CONDICAO_PAGAMENTO", compute_payment_terms, df)
+
+
+def address_types_load(spark, sf_dir):
+    """Address types (D4); a short name of more than 50 characters is rejected."""
+    from ledgerflow.plans.jobs import compute_address_types
+
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment")
+    short = F.when(F.col("c_custkey") % 10 == 0, F.repeat(F.lit("x"), 51)).otherwise(F.lower(F.substring("c_mktsegment", 1, 3)))
+    df = c.select(F.col("c_custkey").alias("id_tipo_endereco"), F.concat("c_name", F.lit(" ")).alias("nome_tipo_endereco"), short.alias("sigla_endereco"))
+    return _loaded_twice(spark, sf_dir, "TIPO_ENDERECO", compute_address_types, df)
+
+
 # ---------------------------------------------------------- projections
 
 
@@ -320,6 +408,19 @@ def rule_lookup_shuffled(spark, sf_dir):
     return _reasons(v, "o_orderkey")
 
 
+def rule_lookup_bitmap(spark, sf_dir):
+    """The customer lookup of all orders by a bitmap of the customers' keys."""
+    v = validate(_orders_with_bad_keys(spark, sf_dir), [rule_in_lookup("o_custkey", _customers(spark, sf_dir), "c_custkey", "invalid customer", bitmap=True)])
+    return _reasons(v, "o_orderkey")
+
+
+def check_references_bitmap(spark, sf_dir):
+    """Lineitems without their order; the lineitems are not shuffled."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+    key = F.when(F.col("l_partkey") % 11 == 0, -F.col("l_orderkey")).when(F.col("l_partkey") % 11 > 1, F.col("l_orderkey"))
+    return check_references(li.select(key.alias("l_orderkey"), "l_linenumber"), ["l_orderkey"], table(spark, sf_dir, "orders", "o_orderkey"), ["o_orderkey"], bitmap=True)
+
+
 def _tax_ids(spark, sf_dir):
     o = table(spark, sf_dir, "orders", "o_orderkey")
     # a 14-digit id derived from the order key; some pass the check digits
@@ -364,6 +465,50 @@ def quarantine_lineitem_accepted(spark, sf_dir):
     return lineitem_quarantine(spark, sf_dir).accepted
 
 
+def duplicates_across_loads(spark, sf_dir):
+    """Lineitems in three loads, of which the second and the third bring rows
+    of the first again: what all loads accept and report together."""
+    from ledgerflow.plans.seen import SeenRows
+
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
+    seen = SeenRows(spark, scratch_path(spark, "lineitem-seen"), li.columns, n_buckets=16)
+    out = []
+    for name, part in (("a", li.where("l_orderkey % 3 < 2")), ("b", li.where("l_orderkey % 3 > 0")), ("c", li.where("l_orderkey % 2 = 0"))):
+        v = validate(part, [rule_duplicated(), rule_expr(F.col("l_quantity") > 40, "too many")], seen=seen, load=name)
+        v = v.materialize(scratch_path(spark, "lineitem-load"))
+        v.record()
+        said = v.rejected.where("inconsistencies LIKE 'duplicated%'").withColumnRenamed("inconsistencies", "verdict")
+        out += [v.accepted.withColumn("verdict", F.lit("accepted")), said.withColumn("verdict", F.lit("duplicated"))]
+    return reduce(DataFrame.unionByName, out)
+
+
+def published_quarantine(spark, sf_dir):
+    """The lineitem quarantine published as one run and read back from it:
+    accepted rows and rejected ones with their reasons."""
+    from ledgerflow.plans.jobs import publish_quarantine, read_published
+    from ledgerflow.plans.publish import Publication
+
+    v = _lineitem_quarantine(spark, sf_dir)
+    published = Publication(spark, scratch_path(spark, "published"))
+    with published.new_run() as folder:
+        publish_quarantine(v, folder)
+    good = read_published(spark, published.newest(), v.accepted.schema).withColumn("reason", F.lit("accepted"))
+    bad = read_csv(spark, f"{published.newest()}/rejected", header=True, sep=";", schema=v.rejected.schema)
+    return good.unionByName(bad.withColumnRenamed(v.reasons_col, "reason"))
+
+
+def run_history_q(spark, sf_dir):
+    """Two runs of a quarantine with other rules, told by the kept history."""
+    from ledgerflow.plans.history import RunHistory
+
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
+    history = RunHistory(spark, scratch_path(spark, "history"))
+    for run, label in (("first", "4-NOT SPECIFIED"), ("second", "5-LOW"), ("second", "5-LOW")):
+        v = validate(o, [rule_expr(F.col("o_orderpriority") == label, "unwanted priority")])
+        history.step(run, "quarantine", lambda v=v: v.stats("written", "rejected").first().asDict())
+    return history.read().select("run", "step", "metric", "value")
+
+
 def collect_reasons(spark, sf_dir):
     ev = table(spark, sf_dir, "events", "user_id", "event_type")
     return collect_labels(ev, ["user_id"], "event_type", "types")
@@ -398,6 +543,22 @@ def casefold_lookup(spark, sf_dir):
     return out.select("event_id", "len")
 
 
+def collated_lookup(spark, sf_dir):
+    """Event types against a dimension that spells them in other ways."""
+    ev = table(spark, sf_dir, "events", "event_id", "event_type")
+    dim = ev.select(F.concat(F.upper("event_type"), F.lit(" ")).alias("descr"), F.length("event_type").cast("int").alias("len")).distinct()
+    ev = ev.withColumn("event_type", F.when(F.col("event_id") % 10 == 0, F.concat("event_type", F.lit("?"))).otherwise(_spelled(F.col("event_type"), F.col("event_id"))))
+    out = resolve_keys(ev, [Lookup(dim, "event_type", "descr", take={"len": "len"}, collation=COLLATION)])
+    return out.select("event_id", "len")
+
+
+def collated_unique(spark, sf_dir):
+    """Market segments in three spellings are one key each."""
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+    found = check_unique(c.select(_spelled(F.col("c_mktsegment"), F.col("c_custkey")).alias("segment")), ["segment"], collation=COLLATION)
+    return found.select(F.upper(F.rtrim("segment")).alias("segment"), "n")
+
+
 def two_lookups(spark, sf_dir):
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
@@ -491,12 +652,54 @@ def status_as_of(spark, sf_dir):
 
 
 def schedule_with_pending_q(spark, sf_dir):
+    """Both sides are whole; half of the fresh rows have stored ones."""
     o = table(spark, sf_dir, "orders", "o_orderkey")
-    computed = o.where(F.col("o_orderkey") % 2 == 0).select("o_orderkey", F.lit(1).alias("installment_no"), F.lit(1.0).alias("amount"))
+    computed = o.select((F.col("o_orderkey") * 2).alias("o_orderkey"), F.lit(1).alias("installment_no"), F.lit(1.0).alias("amount"))
     pending = o.select("o_orderkey", F.lit(1).alias("installment_no"), F.lit(2.0).alias("amount"))
     return schedule_with_pending(computed, pending, ["o_orderkey", "installment_no"])
 
 
+def _invoice_versions(spark, sf_dir):
+    """Orders as invoices in a bucketed table: a first version of all, and a
+    second where every fortieth has another total and as many are new."""
+    from ledgerflow.plans.buckets import BucketTable
+
+    inv = _invoices(spark, sf_dir)
+    invoices = BucketTable(spark, scratch_path(spark, "invoices"), inv.schema, ["o_orderkey"], n_buckets=16)
+    invoices.upsert(inv)
+    some = inv.where("o_orderkey % 40 = 0")
+    changed = some.withColumn("total", F.lit(1).cast("decimal(10,2)")).unionByName(some.withColumn("o_orderkey", -F.col("o_orderkey") - 1))
+    return invoices, changed
+
+
+def table_changes(spark, sf_dir):
+    """What an upsert changed, told from the two versions."""
+    invoices, changed = _invoice_versions(spark, sf_dir)
+    invoices.upsert(changed)
+    return invoices.changes(1).withColumnRenamed("_change", "change")
+
+
+def schedule_incremental(spark, sf_dir):
+    """The schedule of all invoices, refreshed for those that changed."""
+    from ledgerflow.plans.buckets import BucketTable
+    from ledgerflow.plans.increment import refresh_schedule
+
+    invoices, changed = _invoice_versions(spark, sf_dir)
+
+    def compute(df):
+        sched = installment_schedule(df, id_col="o_orderkey", issue_date_col="d", total_col="total", count_col="n")
+        return refresh_status(sched, "due_date", "status", as_of=AS_OF)
+
+    empty = compute(invoices.read([]))
+    schedule = BucketTable(spark, scratch_path(spark, "schedule"), empty.schema, ["o_orderkey", "installment_no"], n_buckets=16, bucket_by=["o_orderkey"])
+    terms = BucketTable(spark, scratch_path(spark, "terms"), empty.select(F.col("installment_no").alias("n")).schema, ["n"], n_buckets=1)
+    for source in (None, changed):
+        if source is not None:
+            invoices.upsert(source)
+        refresh_schedule(invoices, terms, schedule, compute, id_col="o_orderkey", term_col="n", due_col="due_date", status_col="status", paid="PAID", pending="PENDING", as_of=AS_OF)
+    return _rounded(schedule.read())
+
+
 def flagship_schedule(spark, sf_dir):
     """orders → canonical priority → quarantine (not-null, domain, customer
     lookup) → installment schedule of the accepted orders → status."""
@@ -596,4 +799,19 @@ QUERIES: dict[str, Query] = {
     "check_references": check_references_q,
     "check_not_null": check_not_null_q,
     "check_length": check_length_q,
+    "malformed_lines": malformed_lines_q,
+    "wellformed_lines": wellformed_lines,
+    "upsert_buckets": upsert_buckets,
+    "collated_upsert": collated_upsert,
+    "collated_lookup": collated_lookup,
+    "collated_unique": collated_unique,
+    "payment_terms_load": payment_terms_load,
+    "address_types_load": address_types_load,
+    "rule_lookup_bitmap": rule_lookup_bitmap,
+    "check_references_bitmap": check_references_bitmap,
+    "duplicates_across_loads": duplicates_across_loads,
+    "published_quarantine": published_quarantine,
+    "run_history": run_history_q,
+    "table_changes": table_changes,
+    "schedule_incremental": schedule_incremental,
 }

@@ -2,7 +2,7 @@
 
 Each ``compute_*`` function is pure (DataFrames in, DataFrames out) and each
 ``run_*`` function reads, computes, writes and returns its counts. Nothing
-runs at import. ``run_all`` calls the jobs in dependency order:
+runs at import. ``run_all`` runs the jobs as their dependencies allow:
 
     postal codes ─► quarantine ─► suppliers ─┬─► invoices ─► schedule
     payment terms ───────────────────────────┘
@@ -31,15 +31,23 @@ from ledgerflow.operators import (
     resolve_keys,
     rule_check_digit,
     rule_duplicated,
+    rule_expr,
     rule_in_domain,
     rule_in_lookup,
     rule_not_null,
     schedule_with_pending,
     validate,
 )
+from ledgerflow.plans.claims import exists
+from ledgerflow.plans.graph import Step, run_steps
+from ledgerflow.plans.history import RunHistory
+from ledgerflow.plans.increment import refresh_schedule
+from ledgerflow.plans.publish import Publication
+from ledgerflow.plans.seen import SeenRows
 from ledgerflow.plans.tables import JdbcTables, LakeTables, pending_rows
-from ledgerflow.session import remove_path, scratch_path, sized_shuffle
-from ledgerflow.sources import read_csv, read_parquet, string_schema, typed_schema, write_csv, write_parquet
+from ledgerflow.session import sized_shuffle
+from ledgerflow.sources import read_csv, read_csv_checked, string_schema, typed_schema, write_csv
+from ledgerflow.sources.files import LINE, ORIGIN, malformed_lines
 
 LOG = logging.getLogger("ledgerflow")
 
@@ -68,6 +76,7 @@ LABEL_NULL = "null column(s)"
 LABEL_TERM = "invalid payment condition"
 LABEL_CNPJ = "invalid CNPJ"
 LABEL_CEP = "invalid CEP"
+LABEL_MALFORMED = "malformed line"
 STATUS_PAID = "PAGO"
 STATUS_PENDING = "PENDENTE"
 
@@ -90,6 +99,8 @@ class JobConfig:
     on_duplicate: str = "raise"
     order_by: Mapping[str, list[str]] = field(default_factory=dict)  # per table; default: all its columns
     keep_versions: int | None = None       # lake tables: versions that stay; None = all
+    load: str | None = None                # name of this load of purchases: duplicates are found across loads
+    buckets: int | None = None             # lake tables: rewrite by bucket of the key; None = whole tables
 
     def src(self, name: str) -> str:
         return f"{self.source_path.rstrip('/')}/{name}"
@@ -101,7 +112,7 @@ class JobConfig:
 def tables_for(spark: SparkSession, cfg: JobConfig):
     if cfg.jdbc is not None:
         return JdbcTables(spark, cfg.jdbc, cfg.jdbc_upsert_method)
-    return LakeTables(spark, cfg.out("tables"), cfg.keep_versions)
+    return LakeTables(spark, cfg.out("tables"), cfg.keep_versions, cfg.buckets)
 
 
 def _upsert(spark, cfg: JobConfig, name: str, df: DataFrame) -> dict[str, int]:
@@ -143,8 +154,9 @@ def compute_address_types(spark: SparkSession, path: str) -> DataFrame:
 
 
 def clean_purchases(df: DataFrame, term_aliases: Mapping[str, str]) -> DataFrame:
-    """Trim all, upper names and terms, canonical terms, COMPLEMENTO NULL → 'N/A'."""
-    df = trim_strings(df, upper=["NOME_FORNECEDOR", "CONDICAO_PAGAMENTO"])
+    """Trim all, upper names and terms, canonical terms, COMPLEMENTO NULL → 'N/A'.
+    The columns of a checked read's malformed lines stay as they are."""
+    df = trim_strings(df, [c for c in df.columns if c not in ORIGIN], upper=["NOME_FORNECEDOR", "CONDICAO_PAGAMENTO"])
     df = df.withColumn("CONDICAO_PAGAMENTO", canonicalize("CONDICAO_PAGAMENTO", term_aliases))
     return fill_null(df, "N/A", ["COMPLEMENTO"])
 
@@ -159,17 +171,32 @@ def purchase_rules(postal_codes: DataFrame, term_aliases: Mapping[str, str]):
     ]
 
 
-def compute_purchases_quarantine(purchases: DataFrame, postal_codes: DataFrame, term_aliases: Mapping[str, str] = TERM_ALIASES) -> Validation:
-    """Split purchases into accepted staging rows and rejected rows with reasons."""
+def compute_purchases_quarantine(purchases: DataFrame, postal_codes: DataFrame, term_aliases: Mapping[str, str] = TERM_ALIASES, seen=None, load: str | None = None) -> Validation:
+    """Split purchases into accepted staging rows and rejected rows with reasons.
+
+    Malformed lines of a checked read (its ``ORIGIN`` columns) are blocked in
+    the same pass; ``malformed_purchases`` lists them. ``seen`` and ``load``:
+    duplicates across loads (see ``validate``).
+    """
+    carry = [c for c in ORIGIN if c in purchases.columns]
     cleaned = clean_purchases(purchases, term_aliases)
-    return validate(cleaned, purchase_rules(postal_codes, term_aliases), columns=PURCHASE_COLUMNS)
+    rules = purchase_rules(postal_codes, term_aliases)
+    if carry:
+        rules = [*rules, rule_expr(F.col(LINE).isNotNull(), LABEL_MALFORMED)]
+    return validate(cleaned, rules, columns=PURCHASE_COLUMNS, carry=carry, seen=seen, load=load)
+
+
+def malformed_purchases(v: Validation) -> DataFrame:
+    """(line, file, block, reason) of the malformed lines of a validation."""
+    return malformed_lines(v.annotated, string_schema(PURCHASE_COLUMNS), {"sep": ","})
 
 
 def read_purchases(spark: SparkSession, path: str) -> DataFrame:
-    """The purchases feed as 17 string columns. The header must name them
-    (``enforceSchema=false``: a renamed or reordered column fails the read
-    instead of shifting values into the wrong column)."""
-    return read_csv(spark, path, header=True, sep=",", schema=string_schema(PURCHASE_COLUMNS), enforceSchema="false")
+    """The purchases feed as 17 string columns, and the ``ORIGIN`` columns of
+    malformed lines. The header must name the columns (``enforceSchema=false``:
+    a renamed or reordered column fails the read instead of shifting values
+    into the wrong column)."""
+    return read_csv_checked(spark, path, string_schema(PURCHASE_COLUMNS), header=True, sep=",", enforceSchema="false").all_rows
 
 
 # ---------------------------------------------------------------- entities
@@ -254,27 +281,72 @@ def run_address_types(spark, cfg: JobConfig):
     return _log("TIPO_ENDERECO", _upsert(spark, cfg, "TIPO_ENDERECO", compute_address_types(spark, cfg.src(cfg.address_types_file))))
 
 
+#: How a judged row is filed: "both" is a good row that is reported as a
+#: duplicate too, "seen" one that an earlier load delivered and reported.
+ACCEPTED, REJECTED, BOTH, MALFORMED, SEEN = "accepted", "rejected", "both", "malformed", "seen"
+
+
+def with_verdict(v: Validation) -> DataFrame:
+    """The annotated rows with their ``verdict``."""
+    ok, bad = v.is_accepted, v.is_rejected
+    verdict = F.when(ok & bad, BOTH).when(ok, ACCEPTED).when(bad, REJECTED).otherwise(SEEN)
+    if LINE in v.annotated.columns:
+        verdict = F.when(F.col(LINE).isNotNull(), MALFORMED).otherwise(verdict)
+    return v.annotated.withColumn("verdict", verdict)
+
+
+def publish_quarantine(v: Validation, folder: str) -> dict[str, int]:
+    """Write a judged load below ``folder``: all rows once, as Parquet by
+    verdict (``rows/``; staging reads two of these parts), and from that copy
+    the rejected rows and the malformed lines as ``;`` CSV. Returns the counts,
+    observed during the first write."""
+    spark = v.annotated.sparkSession
+    obs = Observation("verdicts")
+    rows = with_verdict(v)
+    rows = rows.observe(obs, *[F.count_if(F.col("verdict") == k).alias(k) for k in (ACCEPTED, REJECTED, BOTH, MALFORMED)])
+    rows.write.partitionBy("verdict").parquet(f"{folder}/rows")
+    back = spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+    write_csv(back.where(F.col("verdict").isin(REJECTED, BOTH)).select(*v.columns, v.reasons_col), f"{folder}/rejected", sep=";", header=True)
+    n = obs.get
+    if n[MALFORMED]:
+        lines = malformed_lines(back.where(F.col("verdict") == MALFORMED), string_schema(v.columns), {"sep": ","})
+        # a line with quotes, separators or blanks at its ends must come back as it was
+        write_csv(lines, f"{folder}/malformed", sep=";", header=True, quoteAll="true", escape='"')
+    return {"written": n[ACCEPTED] + n[BOTH], "rejected": n[REJECTED] + n[BOTH], **({"malformed": n[MALFORMED]} if n[MALFORMED] else {})}
+
+
+def purchases_publication(spark, cfg: JobConfig) -> Publication:
+    return Publication(spark, cfg.out("purchases"))
+
+
 def run_quarantine(spark, cfg: JobConfig):
-    """Write accepted rows (Parquet) and rejected rows (``;`` CSV); counts are
-    observed during the writes, so the plan runs once per output."""
+    """Judge the purchases file and publish accepted and rejected rows and
+    malformed lines together. With ``cfg.load``, rows of earlier loads count
+    as copies."""
     postal = tables_for(spark, cfg).read("CEP")
     purchases = read_purchases(spark, cfg.src(cfg.purchases_file))
-    v = compute_purchases_quarantine(purchases, postal, cfg.term_aliases)
-    # one grouped pass, written once; both outputs are scans of that copy.
-    # The grouping shuffles the whole input: size its partitions for it.
-    with sized_shuffle(spark, purchases):
-        # a fresh folder per run in the shared scratch area: runs never collide
-        annotated = scratch_path(spark, "purchases-annotated")
-        v = v.materialize(annotated)
-    ok = write_parquet(v.accepted, cfg.out("staging/purchases"), observe="accepted")
-    bad = write_csv(v.rejected, cfg.out("rejected/purchases"), sep=";", header=True, observe="rejected")
-    stats = {"written": int(ok.get["rows"]), "rejected": int(bad.get["rows"])}
-    remove_path(spark, annotated)
+    seen = SeenRows(spark, cfg.out("purchases-seen"), PURCHASE_COLUMNS) if cfg.load else None
+    # the grouping shuffles the whole input: size its partitions for it
+    with sized_shuffle(spark, purchases), purchases_publication(spark, cfg).new_run(cfg.keep_versions) as folder:
+        v = compute_purchases_quarantine(purchases, postal, cfg.term_aliases, seen=seen, load=cfg.load)
+        stats = publish_quarantine(v, folder)
+    if seen is not None:
+        v.record()
     return _log("quarantine", stats)
 
 
 def read_staging(spark, cfg: JobConfig) -> DataFrame:
-    return read_parquet(spark, cfg.out("staging/purchases"))
+    """The accepted purchases of the newest published run."""
+    folder = purchases_publication(spark, cfg).newest()
+    if folder is None:
+        raise FileNotFoundError(f"no purchases are published under {cfg.out('purchases')}")
+    return read_published(spark, folder, string_schema(PURCHASE_COLUMNS))
+
+
+def read_published(spark, folder: str, schema) -> DataFrame:
+    """The accepted rows of a published run."""
+    parts = [f"{folder}/rows/verdict={k}" for k in (ACCEPTED, BOTH) if exists(spark, f"{folder}/rows/verdict={k}")]
+    return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
 
 
 def run_suppliers(spark, cfg: JobConfig):
@@ -309,24 +381,55 @@ def run_schedule(spark, cfg: JobConfig):
     """``unscheduled`` counts the invoices without any installment, among them
     ``unmatched_term`` of no known payment term; left out when zero."""
     t = tables_for(spark, cfg)
+    if isinstance(t, LakeTables) and t.buckets:
+        return _log("PROGRAMACAO_PAGAMENTO", _refresh_schedule(t, cfg))
     cols = ["ID_NF_ENTRADA", "DATA_VENCIMENTO", "NUM_PARCELA", "VALOR_PARCELA"]
     pending = pending_rows(t.read("PROGRAMACAO_PAGAMENTO"), STATUS_PENDING, cols)
     invoices = t.invoices_with_counts()
     stats = _upsert(spark, cfg, "PROGRAMACAO_PAGAMENTO", compute_schedule(invoices, pending, as_of=cfg.as_of))
-    lost = unscheduled_invoices(invoices).agg(F.count(F.lit(1)).alias("unscheduled"), F.count_if(F.col("QTD_PARCELAS").isNull()).alias("unmatched_term")).first()
-    stats.update({k: int(v) for k, v in lost.asDict().items() if v})
+    stats.update(_unscheduled(invoices))
     return _log("PROGRAMACAO_PAGAMENTO", stats)
 
 
-def run_all(spark, cfg: JobConfig) -> dict[str, dict[str, int]]:
-    """All jobs in dependency order; returns the counts of each."""
-    out = {}
-    out["CEP"] = run_postal_codes(spark, cfg)
-    out["CONDICAO_PAGAMENTO"] = run_payment_terms(spark, cfg)
-    out["TIPO_ENDERECO"] = run_address_types(spark, cfg)
-    out["quarantine"] = run_quarantine(spark, cfg)
-    out["FORNECEDORES"] = run_suppliers(spark, cfg)
-    out["ENDERECOS_FORNECEDORES"] = run_supplier_addresses(spark, cfg)
-    out["NOTAS_FISCAIS_ENTRADA"] = run_invoices(spark, cfg)
-    out["PROGRAMACAO_PAGAMENTO"] = run_schedule(spark, cfg)
-    return out
+def _unscheduled(invoices: DataFrame) -> dict[str, int]:
+    lost = unscheduled_invoices(invoices).agg(F.count(F.lit(1)).alias("unscheduled"), F.count_if(F.col("QTD_PARCELAS").isNull()).alias("unmatched_term")).first()
+    return {k: int(v) for k, v in lost.asDict().items() if v}
+
+
+def _refresh_schedule(t: LakeTables, cfg: JobConfig) -> dict[str, int]:
+    """The schedule of changed invoices and of installments that came due."""
+    def compute(invoices: DataFrame) -> DataFrame:
+        return compute_schedule(t.invoices_with_counts(invoices), None, as_of=cfg.as_of)
+
+    stats = refresh_schedule(
+        t.bucketed("NOTAS_FISCAIS_ENTRADA"), t.bucketed("CONDICAO_PAGAMENTO"), t.bucketed("PROGRAMACAO_PAGAMENTO"), compute,
+        id_col="ID_NF_ENTRADA", term_col="ID_CONDICAO", due_col="DATA_VENCIMENTO", status_col="STATUS_PAGAMENTO",
+        paid=STATUS_PAID, pending=STATUS_PENDING, as_of=cfg.as_of,
+    )
+    return {"INSERT": stats["INSERT"], "UPDATE": stats["UPDATE"], **_unscheduled(t.invoices_with_counts())}
+
+
+def steps(cfg: JobConfig) -> list[Step]:
+    """The eight jobs and what each of them reads from."""
+    return [
+        Step("CEP", lambda s: run_postal_codes(s, cfg)),
+        Step("CONDICAO_PAGAMENTO", lambda s: run_payment_terms(s, cfg)),
+        Step("TIPO_ENDERECO", lambda s: run_address_types(s, cfg)),
+        Step("quarantine", lambda s: run_quarantine(s, cfg), ["CEP"]),
+        Step("FORNECEDORES", lambda s: run_suppliers(s, cfg), ["quarantine"]),
+        Step("ENDERECOS_FORNECEDORES", lambda s: run_supplier_addresses(s, cfg), ["CEP", "FORNECEDORES", "TIPO_ENDERECO"]),
+        Step("NOTAS_FISCAIS_ENTRADA", lambda s: run_invoices(s, cfg), ["FORNECEDORES", "CONDICAO_PAGAMENTO"]),
+        Step("PROGRAMACAO_PAGAMENTO", lambda s: run_schedule(s, cfg), ["NOTAS_FISCAIS_ENTRADA"]),
+    ]
+
+
+def run_history(spark, cfg: JobConfig) -> RunHistory:
+    return RunHistory(spark, cfg.out("history"))
+
+
+def run_all(spark, cfg: JobConfig, run: str | None = None, parallel: int = 4) -> dict[str, dict[str, int]]:
+    """All jobs, those that do not wait for each other side by side; returns
+    the counts of each. Under the name ``run`` they are kept in the history,
+    and a run of that name that stopped goes on after its finished steps."""
+    history = run_history(spark, cfg) if run else None
+    return run_steps(spark, steps(cfg), history=history, run=run, parallel=parallel)

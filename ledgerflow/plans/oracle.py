@@ -2,13 +2,13 @@
 
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": """
-SELECT n_nationkey, n_name, n_regionkey FROM nation
+SELECT c_custkey, c_name, c_nationkey FROM customer
 """,
     "scan_csv_header_strings": """
-SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_acctbal AS VARCHAR) AS c_acctbal FROM customer
 """,
     "scan_csv_schema": """
-SELECT r_regionkey, upper(trim(r_name)) AS r_name FROM region
+SELECT o_orderkey, upper(trim(o_orderpriority)) AS o_orderpriority, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders
 """,
     "jdbc_table_scan": """
 SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
@@ -163,7 +163,8 @@ FROM o, LATERAL (SELECT unnest(range(1, n + 1)) AS i) u
 SELECT o_orderkey, CASE WHEN CAST(o_orderdate AS DATE) <= DATE '1998-06-30' THEN 'PAID' ELSE 'PENDING' END AS status FROM orders
 """,
     "schedule_with_pending": """
-SELECT o_orderkey, 1 AS installment_no, CASE WHEN o_orderkey % 2 = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS amount FROM orders
+SELECT o_orderkey * 2 AS o_orderkey, 1 AS installment_no, 1.0::DOUBLE AS amount FROM orders
+UNION ALL SELECT o_orderkey, 1, 2.0::DOUBLE FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey * 2 FROM orders)
 """,
     "surrogate_keys": """
 SELECT count(*) AS n, CAST(1001 AS BIGINT) AS min_id, 1000 + count(*) AS max_id, count(*) AS n_distinct FROM customer
@@ -231,5 +232,79 @@ f AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_exten
   NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = w.l_partkey) AS f_lk
 FROM w)
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, tax_id FROM f WHERE NOT (f_null OR f_dom OR f_cd OR f_lk)
+""",
+    "malformed_lines": """
+WITH l AS (
+  SELECT o_orderkey AS k, o_orderpriority, CAST(o_totalprice AS DECIMAL(12,2)) AS total, CAST(o_orderdate AS DATE) AS d,
+   concat_ws(';', o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 13 = 0 THEN 'much' ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END) AS fields,
+   CASE WHEN o_orderkey % 17 = 0 THEN 'someday' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders)
+SELECT CASE WHEN k % 10 = 0 THEN fields WHEN k % 11 = 0 THEN fields || ';' || day || ';more' ELSE fields || ';' || day END AS line,
+ CASE WHEN k % 10 = 0 OR k % 11 = 0 THEN 'wrong number of fields' ELSE 'malformed value: ' || concat_ws(', ', CASE WHEN k % 13 = 0 THEN 'total' END, CASE WHEN k % 17 = 0 THEN 'd' END) END AS reason
+FROM l WHERE k % 10 = 0 OR k % 11 = 0 OR k % 13 = 0 OR k % 17 = 0
+""",
+    "wellformed_lines": """
+WITH l AS (
+  SELECT o_orderkey AS k, o_orderpriority, CAST(o_totalprice AS DECIMAL(12,2)) AS total, CAST(o_orderdate AS DATE) AS d,
+   concat_ws(';', o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 13 = 0 THEN 'much' ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END) AS fields,
+   CASE WHEN o_orderkey % 17 = 0 THEN 'someday' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders)
+SELECT k AS o_orderkey, o_orderpriority, total, d FROM l WHERE NOT (k % 10 = 0 OR k % 11 = 0 OR k % 13 = 0 OR k % 17 = 0)
+""",
+    "upsert_buckets": """
+SELECT coalesce(s.k, t.c_custkey) AS c_custkey, coalesce(s.seg, t.c_mktsegment) AS c_mktsegment FROM customer t FULL OUTER JOIN (SELECT c_custkey * 2 AS k, lower(c_mktsegment) AS seg FROM customer) s ON t.c_custkey = s.k
+""",
+    "collated_upsert": """
+WITH s AS (SELECT c_custkey AS n, c_custkey % 4 = 0 AS other, CASE WHEN c_custkey % 4 = 0 THEN 'acao ' ELSE 'ação ' END || c_name AS name FROM customer)
+SELECT CASE n % 3 WHEN 0 THEN lower(name) WHEN 1 THEN upper(name) ELSE name END AS name, n FROM s
+UNION ALL SELECT 'ação ' || c_name, 0 FROM customer WHERE c_custkey % 4 = 0
+""",
+    "collated_lookup": """
+SELECT event_id, CAST(length(event_type) AS INTEGER) AS len FROM events WHERE event_id % 10 <> 0
+""",
+    "collated_unique": """
+SELECT upper(c_mktsegment) AS segment, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) > 1
+""",
+    "payment_terms_load": """
+SELECT CAST(p_partkey AS INTEGER) AS ID_CONDICAO, upper(trim(p_name)) AS DESCRICAO, CASE WHEN p_partkey % 7 <> 0 THEN CAST(p_size AS INTEGER) END AS QTD_PARCELAS FROM part WHERE p_partkey % 10 <> 0
+""",
+    "address_types_load": """
+SELECT CAST(c_custkey AS INTEGER) AS ID_TIPO_ENDERECO, upper(trim(c_name)) AS DESCRICAO, upper(substr(c_mktsegment, 1, 3)) AS SIGLA FROM customer WHERE c_custkey % 10 <> 0
+""",
+    "rule_lookup_bitmap": """
+SELECT o_orderkey, 'invalid customer' AS inconsistency FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN -o_custkey ELSE o_custkey END AS k FROM orders) o LEFT JOIN customer c ON o.k = c.c_custkey WHERE c.c_custkey IS NULL
+""",
+    "check_references_bitmap": """
+WITH l AS (SELECT CASE WHEN l_partkey % 11 = 0 THEN -l_orderkey WHEN l_partkey % 11 > 1 THEN l_orderkey END AS l_orderkey, l_linenumber FROM lineitem)
+SELECT l.l_orderkey, l.l_linenumber FROM l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_orderkey IS NOT NULL AND o.o_orderkey IS NULL
+""",
+    "duplicates_across_loads": """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem),
+ a AS (SELECT * FROM l WHERE l_orderkey % 3 < 2 UNION ALL SELECT * FROM l WHERE l_orderkey % 3 > 0 UNION ALL SELECT * FROM l WHERE l_orderkey % 2 = 0),
+ g AS (SELECT l_orderkey, l_linenumber, l_quantity, count(*) AS n FROM a GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, l_quantity, 'accepted' AS verdict FROM g WHERE l_quantity <= 40
+UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, 'duplicated' FROM g WHERE n > 1
+""",
+    "published_quarantine": """
+WITH s AS (SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'R') AS flag, l_suppkey % 7 AS code FROM lineitem),
+ g AS (SELECT l_orderkey, l_linenumber, flag, code, count(*) AS n FROM s GROUP BY 1, 2, 3, 4)
+SELECT l_orderkey, l_linenumber, flag, code, 'accepted' AS reason FROM g WHERE flag IS NOT NULL AND code <> 3
+UNION ALL SELECT l_orderkey, l_linenumber, flag, code, concat_ws(', ', CASE WHEN n > 1 THEN 'duplicated' END, CASE WHEN flag IS NULL THEN 'null column(s)' END, CASE WHEN code = 3 THEN 'invalid code' END)
+FROM g WHERE n > 1 OR flag IS NULL OR code = 3
+""",
+    "run_history": """
+WITH r AS (SELECT 'first' AS run, '4-NOT SPECIFIED' AS p UNION ALL SELECT 'second', '5-LOW')
+SELECT run, 'quarantine' AS step, 'written' AS metric, count(*) AS value FROM orders, r WHERE o_orderpriority <> p GROUP BY run
+UNION ALL SELECT run, 'quarantine', 'rejected', count(*) FROM orders, r WHERE o_orderpriority = p GROUP BY run
+""",
+    "table_changes": """
+SELECT o_orderkey, 'update' AS change FROM orders WHERE o_orderkey % 40 = 0 AND CAST(o_totalprice AS DECIMAL(10,2)) <> 1
+UNION ALL SELECT -o_orderkey - 1, 'insert' FROM orders WHERE o_orderkey % 40 = 0
+""",
+    "schedule_incremental": """
+WITH v AS (
+ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderkey % 40 = 0 THEN 1 ELSE CAST(o_totalprice AS DECIMAL(10,2)) END AS total, CAST(1 + o_orderkey % 4 AS INTEGER) AS n FROM orders
+ UNION ALL SELECT -o_orderkey - 1, CAST(o_orderdate AS DATE), CAST(o_totalprice AS DECIMAL(10,2)), CAST(1 + o_orderkey % 4 AS INTEGER) FROM orders WHERE o_orderkey % 40 = 0)
+SELECT o_orderkey, CAST(d + to_months(CAST(i - 1 AS INTEGER)) AS DATE) AS due_date, CAST(i AS INTEGER) AS installment_no, round(CAST(total AS DOUBLE) / n, 4) AS amount,
+ CASE WHEN d + to_months(CAST(i - 1 AS INTEGER)) <= DATE '1998-06-30' THEN 'PAID' ELSE 'PENDING' END AS status
+FROM v, unnest(range(1, n + 1)) AS u(i)
 """,
 }

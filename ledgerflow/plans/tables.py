@@ -6,6 +6,12 @@
 read is never overwritten, so a failed write leaves the table as it was and
 readers never see a half-written version.
 
+With ``buckets=n`` a table lies in ``plans.buckets.BucketTable`` instead: an
+upsert then reads and rewrites only the buckets that its source touches.
+
+Either way one writer at a time holds the claim of a table's next version (and
+of the ids that go with it); another one stops with ``ConcurrentWriteError``.
+
 ``JdbcTables`` reads whole tables with JDBC and upserts with a staged MERGE
 run by the database (identity columns are then filled by the database).
 """
@@ -22,6 +28,8 @@ from pyspark.sql import types as T
 
 from ledgerflow.operators.joins import lookup_join
 from ledgerflow.operators.upsert import merge_observation, upsert_snapshot
+from ledgerflow.plans import claims
+from ledgerflow.plans.buckets import BucketTable
 from ledgerflow.session import sized_shuffle
 from ledgerflow.sources import jdbc as J
 from ledgerflow.sources.sinks import write_parquet
@@ -32,6 +40,10 @@ def _s(n: int | None = None) -> T.DataType:
     return T.StringType() if n is None else T.VarcharType(n)
 
 
+#: How the tables' text columns compare: without regard to case and trailing
+#: blanks, but with accents (SQL Server's Latin1_General_CP1_CI_AS).
+DDL_COLLATION = "UNICODE_CI_RTRIM"
+
 # The seven target tables of the ledger, their columns, types,
 # business keys, identity columns, columns that must be set and foreign keys.
 TABLES: dict[str, dict] = {
@@ -66,6 +78,7 @@ TABLES: dict[str, dict] = {
         "references": {"ID_FORNECEDOR": ("FORNECEDORES", "ID_FORNECEDOR"), "ID_CONDICAO": ("CONDICAO_PAGAMENTO", "ID_CONDICAO")},
     },
     "PROGRAMACAO_PAGAMENTO": {
+        "bucket_by": ["ID_NF_ENTRADA"],  # an invoice's installments are replaced together
         "schema": [("ID_PROG_PAGAMENTO", T.LongType()), ("ID_NF_ENTRADA", T.LongType()), ("DATA_VENCIMENTO", T.DateType()),
                    ("NUM_PARCELA", T.IntegerType()), ("VALOR_PARCELA", T.DecimalType(21, 13)), ("STATUS_PAGAMENTO", _s(255))],
         "keys": ["ID_NF_ENTRADA", "NUM_PARCELA"], "identity": "ID_PROG_PAGAMENTO", "not_null": ["NUM_PARCELA", "STATUS_PAGAMENTO"],
@@ -139,6 +152,18 @@ class LakeTables:
     spark: SparkSession
     root: str
     keep_versions: int | None = None  # older ones are deleted after a switch; None: all stay
+    buckets: int | None = None  # rewrite by bucket; None: a version is the whole table
+    collation: str | None = DDL_COLLATION  # of text keys in the merge
+    stale_after: float = 24 * 3600.0  # seconds after which an unfinished writer's claim no longer counts
+
+    def bucketed(self, name: str) -> BucketTable:
+        spec = TABLES[name]
+        return BucketTable(self.spark, f"{self.root.rstrip('/')}/{name}", table_schema(name), spec["keys"], self.buckets,
+                           collation=self._collation(name), identity_col=spec["identity"], stale_after=self.stale_after, bucket_by=spec.get("bucket_by"))
+
+    def _collation(self, name: str) -> str | None:
+        text = any(isinstance(_plain(t), T.StringType) for c, t in TABLES[name]["schema"] if c in TABLES[name]["keys"])
+        return self.collation if text else None
 
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
@@ -160,6 +185,8 @@ class LakeTables:
         return sorted(out, key=_version)
 
     def read(self, name: str) -> DataFrame:
+        if self.buckets:
+            return self.bucketed(name).read()
         vs = self.versions(name)
         if not vs:
             return self.spark.createDataFrame([], table_schema(name))
@@ -167,28 +194,53 @@ class LakeTables:
 
     def upsert(self, name: str, source: DataFrame, **kw) -> dict[str, int]:
         spec = TABLES[name]
-        target = self.read(name)
-        # a shuffle moves both sides: size its partitions for the two
-        with sized_shuffle(self.spark, target, source):
-            source, rejected = loadable(conform(source, name), name, self.read)
-            res = upsert_snapshot(target, source, spec["keys"], identity_col=spec["identity"], **kw)
-            merged, obs = merge_observation(res.merged, f"upsert-{name}")
-            # number past every folder, failed attempts included, and never
-            # overwrite: a concurrent writer of the same version fails
-            # instead of silently replacing the other's rows
-            vs = self.versions(name, complete=False)
-            nxt = _version(vs[-1]) + 1 if vs else 1
-            write_parquet(merged.drop("_action"), f"{self.root.rstrip('/')}/{name}/v{nxt:06d}", mode="errorifexists")
+        if self.buckets:
+            return self._upsert_buckets(name, source, **kw)
+        folder = f"{self.root.rstrip('/')}/{name}"
+        nxt = self._next_version(name)
+        # the claim is held before the table is read: what the merge and the
+        # new ids go by cannot change meanwhile
+        with claims.claimed(self.spark, f"{folder}/_claims/v{nxt:06d}", f"version {nxt} of {name}"):
+            target = self.read(name)
+            # a shuffle moves both sides: size its partitions for the two
+            with sized_shuffle(self.spark, target, source):
+                source, rejected = loadable(conform(source, name), name, self.read)
+                res = upsert_snapshot(target, source, spec["keys"], identity_col=spec["identity"], collation=self._collation(name), **kw)
+                merged, obs = merge_observation(res.merged, f"upsert-{name}")
+                write_parquet(merged.drop("_action"), f"{folder}/v{nxt:06d}", mode="errorifexists")
+                res.close()
         if self.keep_versions:
             for old in self.versions(name)[: -self.keep_versions]:
-                p, fs = self._fs(old)
-                fs.delete(p, True)
+                claims.delete(self.spark, old)
         return _counts(obs.get, rejected)
 
-    def invoices_with_counts(self) -> DataFrame:
-        """Invoices with the installment count of their payment term."""
+    def _next_version(self, name: str) -> int:
+        """The number past every folder and claim. Raises while an unfinished
+        version is claimed (see ``stale_after``)."""
+        folder = f"{self.root.rstrip('/')}/{name}"
+        done = {_version(v) for v in self.versions(name)}
+        seen = [_version(v) for v in self.versions(name, complete=False)]
+        for c in claims.children(self.spark, f"{folder}/_claims", dirs=False):
+            v = _version(f"/{c}")
+            # versions that are done may have been deleted since
+            if v > max(done, default=0) and claims.age(self.spark, f"{folder}/_claims/{c}") < self.stale_after:
+                raise claims.ConcurrentWriteError(f"version {v} of {name} is being written by another writer")
+            seen.append(v)
+        return max(seen, default=0) + 1
+
+    def _upsert_buckets(self, name: str, source: DataFrame, **kw) -> dict[str, int]:
+        source, rejected = loadable(conform(source, name), name, self.read)
+        table = self.bucketed(name)
+        merge = table.upsert(source, **kw)
+        if self.keep_versions:
+            table.vacuum(self.keep_versions)
+        return _counts(merge, rejected)
+
+    def invoices_with_counts(self, invoices: DataFrame | None = None) -> DataFrame:
+        """Invoices (default: all) with the installment count of their payment term."""
         terms = self.read("CONDICAO_PAGAMENTO").select("ID_CONDICAO", "QTD_PARCELAS")
-        invoices = self.read("NOTAS_FISCAIS_ENTRADA").select("ID_NF_ENTRADA", "DATA_EMISSAO", "VALOR_TOTAL", "ID_CONDICAO")
+        invoices = self.read("NOTAS_FISCAIS_ENTRADA") if invoices is None else invoices
+        invoices = invoices.select("ID_NF_ENTRADA", "DATA_EMISSAO", "VALOR_TOTAL", "ID_CONDICAO")
         return lookup_join(invoices, terms, ["ID_CONDICAO"], ["ID_CONDICAO"], "left")
 
 

@@ -12,7 +12,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale. AQE re-plans joins at runtime from real
 # shuffle sizes (broadcast only when the measured side is small), coalesces
@@ -98,6 +98,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch/{name}-{uuid.uuid4().hex}"
 
 
+def planned_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size of ``df``; None where it has none."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+    return size if size < 2**56 else None
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 _INITIAL_PARTS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -106,11 +120,8 @@ def shuffle_parts_for(spark: SparkSession, frames, target_bytes: int = 512 * 102
     keep the configured count, or no estimate available)."""
     est = 0
     for df in frames:
-        try:
-            size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        except Exception:  # noqa: BLE001
-            return None
-        if size >= 2**56:  # unknown size
+        size = planned_bytes(df)
+        if size is None:
             return None
         est += size
     current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -150,5 +161,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["DEFAULT_CONF", "build_session", "ensure_checkpoint_dir", "is_local", "remove_path", "scratch_path", "sized_shuffle", "shuffle_parts_for", "local_path"]
+__all__ = ["DEFAULT_CONF", "build_session", "broadcast_threshold", "ensure_checkpoint_dir", "is_local", "planned_bytes", "remove_path", "scratch_path", "sized_shuffle", "shuffle_parts_for", "local_path"]
 

@@ -1,6 +1,6 @@
 """Sources and sinks: CSV / Parquet files and JDBC tables."""
 
-from ledgerflow.sources.files import read_csv, read_parquet, string_schema, typed_schema
+from ledgerflow.sources.files import CheckedRead, read_csv, read_csv_checked, read_parquet, string_schema, typed_schema
 from ledgerflow.sources.sinks import write_csv, write_parquet
 from ledgerflow.sources.jdbc import (
     JdbcConfig,
@@ -12,7 +12,9 @@ from ledgerflow.sources.jdbc import (
 )
 
 __all__ = [
+    "CheckedRead",
     "read_csv",
+    "read_csv_checked",
     "read_parquet",
     "string_schema",
     "typed_schema",

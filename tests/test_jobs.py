@@ -45,7 +45,7 @@ def test_golden_quarantine(spark, cfg):
 
 def test_golden_rule_counts(spark, cfg):
     counts = {r["rule"]: r["failures"] for r in quarantine(spark, cfg).rule_counts().collect()}
-    assert counts == {"duplicated": 2, "null column(s)": 6, "invalid payment condition": 0, "invalid CNPJ": 24, "invalid CEP": 0}
+    assert counts == {"duplicated": 2, "null column(s)": 6, "invalid payment condition": 0, "invalid CNPJ": 24, "invalid CEP": 0, "malformed line": 0}
 
 
 def test_run_all_lake(spark, cfg):
@@ -97,10 +97,10 @@ def test_rejected_csv_written(spark, cfg, tmp_path):
     jobs.run_postal_codes(spark, cfg)
     stats = jobs.run_quarantine(spark, cfg)
     assert stats == {"written": 25, "rejected": 30}
-    back = spark.read.option("header", True).option("sep", ";").csv(cfg.out("rejected/purchases"))
+    back = spark.read.option("header", True).option("sep", ";").csv(jobs.purchases_publication(spark, cfg).newest() + "/rejected")
     assert back.count() == 30
     assert back.columns[-1] == "inconsistencies"
-    assert spark.read.parquet(cfg.out("staging/purchases")).count() == 25
+    assert jobs.read_staging(spark, cfg).count() == 25
 
 
 def test_purchases_header_is_checked(spark, tmp_path):

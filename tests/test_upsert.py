@@ -160,7 +160,8 @@ def test_merge_reads_each_side_once_in_a_shuffle(spark, tmp_path):
     source = spark.createDataFrame([(5, -1), (None, 7), (None, 7)], "k long, v long")
     merged = upsert_snapshot(target, source, ["k"], strategy="shuffle").merged
     plan = merged._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation [") == 1 and "FullOuter" in plan and "Union" not in plan
+    # the target and the staged source
+    assert plan.count("Relation [") == 2 and "FullOuter" in plan and "Union" not in plan
     assert merged.count() == 502 and merged.where("k IS NULL").count() == 2
 
 
@@ -179,4 +180,20 @@ def test_identity_checkpoints_no_target_rows(spark, monkeypatch):
     target = spark.range(1000).selectExpr("id + 1 AS id", "id AS k", "'t' AS v")
     source = spark.createDataFrame([(5, "s"), (5000, "s")], "k long, v string")
     assert upsert_snapshot(target, source, ["k"], identity_col="id", strategy="shuffle").state.count() == 1001
-    assert max(sizes) == 2
+    assert max(sizes) <= 2
+
+
+def test_a_small_source_is_not_shuffled_against_a_large_target(spark, tmp_path):
+    spark.range(100_000).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.range(99_990, 100_010).selectExpr("id AS k", "-id AS v").union(spark.createDataFrame([(None, 7)] * 3, "k long, v long"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")  # of the source's bytes, not of the target's
+    try:
+        res = upsert_snapshot(target, source, ["k"])
+        plan = res.merged._jdf.queryExecution().executedPlan().toString()
+        assert "bitmap_construct_agg" in plan and "SortMergeJoin" not in plan
+        assert stats(res) == {"UPDATE": 10, "INSERT": 13}
+        assert sorted_rows(res.state.where("k >= 99990 OR k IS NULL")) == sorted_rows(source)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32MB")
+    res.close()
