@@ -186,11 +186,13 @@ class Validation:
         return self.annotated.filter(self.is_rejected).select(*self.columns, self.reasons_col)
 
     def record(self) -> None:
-        """Keep the load's digests for later loads (with ``seen``): once its
-        outputs are published."""
-        digests = self.annotated.select("__lf_d1", "__lf_d2", F.col(self.count_col).alias("n"))
-        self.seen.record(digests, self.load)
-        remove_path(digests.sparkSession, self.staged)
+        """Keep the load's digests for later loads (with ``seen``), once its
+        outputs are published. The written rows that the outputs come from are
+        deleted then."""
+        spark = self.annotated.sparkSession
+        rows = spark.read.parquet(self.staged)
+        self.seen.record(rows.select("__lf_d1", "__lf_d2", F.col(self.count_col).alias("n")), self.load)
+        remove_path(spark, self.staged)
 
     def stats(self, written: str = "written", rejected: str = "rejected") -> DataFrame:
         """One row (written, rejected): accepted and rejected row counts, one pass (K8)."""
