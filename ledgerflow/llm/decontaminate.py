@@ -17,10 +17,16 @@ no item that it may hold.
 Sketches meet in one equi-join on the hash value; the candidate pairs that
 come out are verified on the shingles' words themselves.
 
-Defined results: null and blank texts and items, and items of fewer than
-``size`` words, have no shingles and match nothing; an id that repeats is
-searched row by row and reported once per different text; a null id is
-reported as null; empty tables give no rows; other columns are ignored.
+An item's text is the unit, not its id: texts that share an id are sought each
+on its own, and of those that a document contains the one with the greatest
+containment is reported.
+
+Defined results: an item of fewer than ``size`` words has one shingle, its
+whole word sequence, and is contained where these words stand consecutively;
+null and blank texts and items have no shingles and match nothing; a document
+id that repeats is searched row by row and reported once per different text; a
+null document or item id is reported as null; empty tables give no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,46 +58,79 @@ def _spelt(text: Column, size: int) -> Column:
     return let(words(F.lower(text)), of)
 
 
-def item_sketches(items: DataFrame, size: int, percent: int, item_col: str, text_col: str) -> DataFrame:
-    """(item_id, n_item, need, part, sketch) of items with shingles."""
-    hashed = items.select(F.col(item_col).alias("item_id"), F.sort_array(_hashes(F.col(text_col), size)).alias("h")).where(F.size("h") > 0)
+def item_sets(items: DataFrame, size: int, percent: int, item_col: str, text_col: str) -> DataFrame:
+    """(item, item_id, words, n_item, need, shingles, part, sketch) of every
+    different text of an id, numbered by ``item``; ``words`` is the length of
+    its shingles, which is less than ``size`` for shorter texts."""
+    once = items.select(F.col(item_col).alias("item_id"), F.col(text_col).alias("text")).distinct()
+    w = words(F.lower(F.col("text")))
+    spelt, hashed = F.array_join(w, " "), let(w, _short_hash)
+    short = F.size(w) < size
+    sets = once.where(F.size(w) > 0).select(
+        F.monotonically_increasing_id().alias("item"), "item_id", F.least(F.size(w), F.lit(size)).alias("words"),
+        F.when(short, F.array(spelt)).otherwise(_spelt(F.col("text"), size)).alias("shingles"),
+        F.sort_array(F.when(short, F.array(hashed)).otherwise(_hashes(F.col("text"), size))).alias("h"),
+    )
     n = F.size("h")
     need = F.ceil(n * percent / 100).cast("int")
-    return hashed.select("item_id", n.alias("n_item"), need.alias("need"), F.ceil(F.log2(n)).cast("int").alias("part"), F.slice("h", F.lit(1), n - need + 1).alias("sketch"))
+    part = F.ceil(F.log2(n)).cast("int")
+    return sets.select("item", "item_id", "words", n.alias("n_item"), need.alias("need"), "shingles", part.alias("part"), F.slice("h", F.lit(1), n - need + 1).alias("sketch"))
+
+
+def _short_hash(w: Column) -> Column:
+    """The hash of a whole word sequence, as ``runs`` makes it for that length."""
+    hashes = [F.when(F.size(w) == n, F.xxhash64(*(F.get(w, F.lit(k)) for k in range(n)))) for n in range(1, 9)]
+    return F.coalesce(*hashes)
 
 
 def contained_items(
     docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, text_hash, item_id, n_item, n_shared, containment): the items that
-    each document contains."""
-    sketches = shared_table(item_sketches(items, size, percent, item_col, text_col), "item-sketches")
-    parts = sketches.groupBy("part").agg(F.max(F.array_max("sketch")).alias("cut"), F.min("need").alias("least")).collect()  # a row per power of two
+    each document contains. ``size`` is 9 at most."""
+    if not 1 <= size <= 9:
+        raise ValueError("shingles have 1 to 9 words")
+    sets = shared_table(item_sets(items, size, percent, item_col, text_col), "item-sets")
+    # a row per power of two and shingle length
+    parts = sets.groupBy("words", "part").agg(F.max(F.array_max("sketch")).alias("cut"), F.min("need").alias("least")).collect()
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     if not parts:
-        empty = "id long, text_hash long, item_id long, n_item int, n_shared long, containment double"
-        return docs.sparkSession.createDataFrame([], empty).withColumnRenamed("id", id_col)
-
-    def sketch(h: Column) -> Column:
-        cuts = [F.when(F.size(h) >= r["least"], F.lit(r["cut"])) for r in parts]
-        cut = F.greatest(*cuts) if len(cuts) > 1 else cuts[0]
-        return let(cut, lambda c: F.filter(h, lambda x: x <= c))
-
-    looked = rows.select("id", "text_hash", F.explode(let(_hashes(F.col("text"), size), sketch)).alias("hash"))
-    entries = shared_table(sketches.select("item_id", F.explode("sketch").alias("hash")), "item-entries")
-    pairs = looked.join(_bounded(entries), "hash").groupBy("id", "text_hash").agg(F.collect_set("item_id").alias("items"))  # at most all items
-    pairs = shared_table(pairs, "candidates")
-
-    few = _bounded(pairs.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "items"))
-    found = rows.join(few, rows["id"].eqNullSafe(few["_id"]) & (rows["text_hash"] == few["_hash"]))
-    found = found.select("id", "text_hash", "items", F.explode(_spelt(F.col("text"), size)).alias("shingle"))
-    told = items.select(F.col(item_col).alias("item_id"), F.explode(_spelt(F.col(text_col), size)).alias("shingle"))
-    told = _bounded(shared_table(told.distinct(), "item-shingles"))
-    counts = found.join(told, "shingle").where(F.array_contains("items", F.col("item_id"))).groupBy("id", "text_hash", "item_id").agg(F.count_distinct("shingle").alias("n_shared"))
-    sizes = sketches.groupBy("item_id").agg(F.max("n_item").alias("n_item"), F.max("need").alias("need"))
-    kept = counts.join(sizes, "item_id").where("n_shared >= need")
-    return kept.select(F.col("id").alias(id_col), "text_hash", "item_id", "n_item", "n_shared", (F.col("n_shared") / F.col("n_item")).alias("containment"))
+        empty = "text_hash long, n_item int, n_shared long, containment double"
+        none = docs.sparkSession.createDataFrame([], empty)
+        ids = F.lit(None).cast(docs.schema[id_col].dataType).alias(id_col), F.lit(None).cast(items.schema[item_col].dataType).alias("item_id")
+        return none.select(ids[0], "text_hash", ids[1], "n_item", "n_shared", "containment")
+
+    def sketch(length: int) -> Column:
+        """The document's hashes of shingles of ``length`` words, up to the
+        largest cut-off that its size admits."""
+        of_length = [r for r in parts if r["words"] == length]
+
+        def cut(h: Column) -> Column:
+            cuts = [F.when(F.size(h) >= r["least"], F.lit(r["cut"])) for r in of_length]
+            most = F.greatest(*cuts) if len(cuts) > 1 else cuts[0]
+            return let(most, lambda c: F.filter(h, lambda x: x <= c))
+
+        return let(_hashes(F.col("text"), length), cut)
+
+    lengths = sorted({r["words"] for r in parts})
+    looked = rows.select("id", "text_hash", F.explode(F.concat(*(sketch(n) for n in lengths)) if len(lengths) > 1 else sketch(lengths[0])).alias("hash"))
+    entries = shared_table(sets.select("item", F.explode("sketch").alias("hash")), "item-entries")
+    pairs = shared_table(looked.join(_bounded(entries), "hash").select("id", "text_hash", "item").distinct(), "candidates")
+
+    # a candidate pair is a row, with the item's shingles beside the document's
+    # text: no shingle is a join key, however frequent it is
+    few = _bounded(pairs.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "item"))
+    found = rows.join(few, rows["id"].eqNullSafe(few["_id"]) & (rows["text_hash"] == few["_hash"])).join(sets.drop("part", "sketch"), "item")
+    lengths = [n for n in lengths if n < size]
+    held = _spelt(F.col("text"), size)
+    for n in lengths:
+        held = F.when(F.col("words") == n, _spelt(F.col("text"), n)).otherwise(held)
+    shared = F.size(F.array_intersect(held, F.col("shingles"))).cast("long")
+    counts = found.select("id", "text_hash", "item_id", "n_item", "need", shared.alias("n_shared")).where("n_shared >= need")
+    told = counts.select("id", "text_hash", "item_id", F.struct((F.col("n_shared") / F.col("n_item")).alias("containment"), "n_item", "n_shared").alias("best"))
+    best = told.groupBy("id", "text_hash", "item_id").agg(F.max("best").alias("best"))
+    return best.select(F.col("id").alias(id_col), "text_hash", "item_id", "best.n_item", "best.n_shared", "best.containment")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:

@@ -172,16 +172,23 @@ ORACLE_SQL: dict[str, str] = {
             SELECT doc_id, regexp_split_to_array(trim(lower(coalesce(text, '')), e' \t\n\x0b\x0c\r'), '[\x20\x09-\x0D]+') AS w FROM documents
         ), b AS (
             SELECT item_id, regexp_split_to_array(trim(lower(coalesce(text, '')), e' \t\n\x0b\x0c\r'), '[\x20\x09-\x0D]+') AS w FROM benchmark
+        ), items AS (
+            SELECT row_number() OVER () AS item, item_id, w, least(len(w), 5) AS k FROM (SELECT DISTINCT item_id, w FROM b WHERE w <> [''])
+        ), ks AS (
+            SELECT DISTINCT k FROM items
         ), ds AS (
-            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) AS u(i)
+            SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM d, ks, unnest(range(1, len(w) - k + 2)) AS u(i) WHERE w <> ['']
         ), bs AS (
-            SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM b, unnest(range(1, len(w) - 3)) AS u(i)
+            SELECT DISTINCT item, item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM items, unnest(range(1, len(w) - k + 2)) AS u(i)
         ), n AS (
-            SELECT item_id, CAST(count(*) AS INT) AS n_item FROM bs GROUP BY item_id
+            SELECT item, CAST(count(*) AS INT) AS n_item FROM bs GROUP BY item
         ), hits AS (
-            SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id
+            SELECT doc_id, item, item_id, count(*) AS n_shared FROM ds JOIN bs USING (k, s) GROUP BY ALL
+        ), best AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_shared / n_item DESC, n_item DESC) AS place
+            FROM hits JOIN n USING (item) WHERE 100 * n_shared >= 75 * n_item
         )
-        SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM hits JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item
+        SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM best WHERE place = 1
     """,
     "op9_ngram_jaccard_join": r"""
         WITH RECURSIVE w AS (
