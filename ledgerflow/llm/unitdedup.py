@@ -7,10 +7,10 @@ then offset) stays, all others are repeats, inside its document too. Adjacent
 repeats of a document form a passage; passages of at least ``min_words`` words
 are reported and removed, as spans of the original text.
 
-Only digests travel. Within a block of the input the first occurrence of a
-digest is sent on and the others are repeats for sure, so a unit that a third
-of the documents hold reaches its reducer once per block, not once per
-document. The reducers stream their sorted digests in one pass.
+Only digests travel, and the text next to a run that is to be extended. Within
+a block of the input the first occurrence of a digest is sent on and the others
+are repeats for sure, so a unit that a third of the documents hold reaches its
+reducer once per block, not once per document. The reducers stream their sorted digests in one pass.
 
 Defined results: null and blank texts have no units; rows that repeat both id
 and text are one document; a null id ranks first and is reported as null; an
@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -30,10 +32,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ledgerflow.llm.common import keyed_rows, shared_table, unpacked
+from ledgerflow.llm.common import keyed_rows, shared_table, ship, unpacked
 
 #: What separates units.
 SEPARATORS = {"paragraph": r"\n[^\S\n]*(?:\n\s*)+", "line": r"\n", "clause": r"(?<=[.!?,;:])\s+|\n"}
+_LINE, _PARAGRAPH = re.compile(SEPARATORS["line"]), re.compile(SEPARATORS["paragraph"])
+#: Ids (16 bytes each) that are broadcast to choose texts before they are shuffled.
+BROADCAST_IDS = 1_000_000
 #: Units among which a task looks for repeats by itself.
 BLOCK = 500_000
 _NULL_ID = -(2**63)
@@ -80,14 +85,42 @@ def _split(rows: np.ndarray) -> list[pa.RecordBatch]:
     return [b for b in (_batch(rows[fresh], None), _batch(rows[~fresh], owner[~fresh])) if len(b)]
 
 
-def _whole_units(text: str) -> list[tuple[int, int, bytes, int]]:
-    """Lines, and paragraphs of several lines, in order."""
-    lines = units_of(text, re.compile(SEPARATORS["line"]), b"\n")
+def _digest(text: str, space: bytes = b"") -> bytes:
+    return hashlib.blake2b(space + text.encode(), digest_size=8).digest()
+
+
+def clauses_and_wholes(text: str, separator: re.Pattern) -> tuple[list[tuple], list[tuple]]:
+    """The clauses of a text, and its lines and paragraphs of several lines in
+    order, all as ``units_of`` gives them. A clause never goes over a line's
+    end, so lines and paragraphs are put together from clauses."""
+    clauses, words, start = [], [], 0
+    for m in [*separator.finditer(text), None]:
+        stop = m.start() if m else len(text)
+        bare = " ".join(text[start:stop].lower().split())
+        if bare:
+            clauses.append((start, stop, _digest(bare), bare.count(" ") + 1))
+            words.append(bare)
+        start = m.end() if m else stop
+
+    def joined(matches: Iterator[re.Match]) -> dict[tuple[int, int], tuple]:
+        """The units between matches, by the range of their clauses."""
+        found, k, start = {}, 0, 0
+        for m in [*matches, None]:
+            stop = m.start() if m else len(text)
+            first = k
+            while k < len(clauses) and clauses[k][0] < stop:
+                k += 1
+            if k > first:
+                found[first, k] = (start, stop, _digest(" ".join(words[first:k]), b"\n"), sum(c[3] for c in clauses[first:k]))
+            start = m.end() if m else stop
+        return found
+
+    lines = joined(_LINE.finditer(text))
     if len(lines) < 2:
-        return lines
-    stops = {u[0]: u[1] for u in lines}
-    several = [u for u in units_of(text, re.compile(SEPARATORS["paragraph"]), b"\n") if stops.get(u[0], 0) < u[1]]
-    return sorted(lines + several)
+        return clauses, list(lines.values())
+    # a paragraph of one line is that line, whatever blanks stand around it
+    several = [u for clause_range, u in joined(_PARAGRAPH.finditer(text)).items() if clause_range not in lines]
+    return clauses, sorted([*lines.values(), *several])
 
 
 def _units(unit: str, whole: bool = False):
@@ -98,10 +131,9 @@ def _units(unit: str, whole: bool = False):
         for batch in batches:
             keys, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for key, text_hash, text in zip(keys, hashes, batch.column(2)):
-                found = units_of(text.as_py() or "", separator)
+                found, wholes = clauses_and_wholes(text.as_py() or "", separator) if whole else (units_of(text.as_py() or "", separator), [])
                 n = len(found)
-                if whole:
-                    found += _whole_units(text.as_py() or "")
+                found += wholes
                 if not found:
                     continue
                 rows = np.empty((len(found), 7), np.int64)
@@ -147,14 +179,21 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest, rank, owner = rows[-1, 0], before[-1], own[-1]
 
 
-def _marks(docs: DataFrame, id_col: str, text_col: str, unit: str, whole: bool = False) -> DataFrame:
-    """The repeated units, each with its place and that of an earlier one."""
+def _raw_marks(docs: DataFrame, id_col: str, text_col: str, unit: str, whole: bool = False) -> DataFrame:
+    """The repeated units, each with its place and that of an earlier one; once
+    for each row that repeats id and text."""
+    ship(docs.sparkSession)
     text = F.col(text_col)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)), F.xxhash64(text), text).mapInArrow(_units(unit, whole), _SCHEMA)
     # sure repeats stay where they are; only first occurrences meet by digest
     route = F.when(F.col("earlier").isNull(), F.col("digest")).otherwise(F.xxhash64("id", "text_hash", "seq"))
     marks = rows.withColumn("route", route).repartition("route").drop("route").sortWithinPartitions("digest", "id", "text_hash", "seq").mapInArrow(_repeats, _SCHEMA)
-    return shared_table(marks, "repeats").groupBy("id", "text_hash", "seq").agg(F.min(F.struct("start", "stop", "words", "earlier", "e_hash", "e_start", "e_stop")).alias("u")).select("id", "text_hash", "seq", "u.*")
+    return shared_table(marks, "repeats")
+
+
+def _marks(docs: DataFrame, id_col: str, text_col: str, unit: str) -> DataFrame:
+    marks = _raw_marks(docs, id_col, text_col, unit)
+    return marks.groupBy("id", "text_hash", "seq").agg(F.min(F.struct("start", "stop", "words", "earlier", "e_hash", "e_start", "e_stop")).alias("u")).select("id", "text_hash", "seq", "u.*")
 
 
 def repeated_passages(docs: DataFrame, unit: str = "line", min_words: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,33 +215,92 @@ _CONTEXT = "id long, text_hash long, kind int, start int, stop int, other long,
 _RUN = "id long, text_hash long, start int, stop int, first int, last int, other long, o_hash long, o_start int, o_stop int, left boolean, right boolean"
 
 
+_ASK = "id long, text_hash long, kind int, start int, stop int, other long, o_hash long, o_start int, o_stop int, left boolean, right boolean"
+_ASK_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_()]
+
+
+def _asks_of(m: np.ndarray) -> pa.RecordBatch:
+    """From the sorted marks of whole documents (id, text_hash, seq, start,
+    stop, words, earlier, e_hash, e_start, e_stop): a row of kind 0 for each run
+    of repeated clauses, or one for either end if their earlier occurrences lie
+    in different texts, and one of kind 2 for each line and paragraph."""
+    m = m[np.r_[True, (m[1:, :3] != m[:-1, :3]).any(axis=1)]]
+    whole, m = m[m[:, 2] >= WHOLE], m[m[:, 2] < WHOLE]
+    made = [np.column_stack([whole[:, :2], np.full(len(whole), 2), whole[:, 3:5], whole[:, 6:10], np.zeros((len(whole), 2), np.int64)])]
+    if len(m):
+        first = np.flatnonzero(np.r_[True, (m[1:, :2] != m[:-1, :2]).any(axis=1) | (m[1:, 2] != m[:-1, 2] + 1)])
+        last = np.r_[first[1:], len(m)] - 1
+        long = np.add.reduceat(m[:, 5], first) >= SEED_WORDS
+        a, b = m[first[long]], m[last[long]]
+        together = (a[:, 6:8] == b[:, 6:8]).all(axis=1)
+        for rows, left, right in ((together, 1, 1), (~together, 1, 0), (~together, 0, 1)):
+            x, y = a[rows], b[rows]
+            end = x if left else y
+            sides = np.tile([left, right], (len(x), 1))
+            made.append(np.column_stack([x[:, :2], np.zeros(len(x), np.int64), x[:, 3], y[:, 4], end[:, 6:9], (y if right else x)[:, 9], sides]))
+    rows = np.concatenate(made)
+    return pa.RecordBatch.from_arrays([pa.array(rows[:, k]).cast(t) for k, t in enumerate(_ASK_TYPES)], names=[c.split()[0] for c in _ASK.split(", ")])
+
+
+def _asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_asks_of`` over a partition sorted by document; the last document of a
+    batch waits for the next one."""
+    held = np.zeros((0, 10), np.int64)
+    for batch in batches:
+        held = np.concatenate([held, np.column_stack([batch.column(k).to_numpy() for k in range(10)]).astype(np.int64)])
+        if len(held):
+            other = np.flatnonzero((held[:, :2] != held[-1, :2]).any(axis=1))
+            done = int(other[-1]) + 1 if len(other) else 0
+            if done:
+                yield _asks_of(held[:done])
+            held = held[done:]
+    if len(held):
+        yield _asks_of(held)
+
+
+_CONTEXT_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_()]
+
+
+def _columns(columns: list, types: list, spec: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[c.split()[0] for c in spec.split(", ")])
+
+
 def _contexts(reach: int):
     """What stands on either side of the asked places of each text, and their
     word numbers. ``left`` and ``right``: still to be extended there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(c, t) for c, t in zip(["id", "text_hash"], [pa.int64()] * 2)] + [("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("other", pa.int64()), ("o_hash", pa.int64()), ("o_start", pa.int32()), ("o_stop", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("before", pa.string()), ("after", pa.string()), ("left", pa.bool_()), ("right", pa.bool_())])
+        last = None
         for batch in batches:
-            made = []
-            for key, text_hash, text, asked in zip(*(batch.column(k) for k in range(4))):
+            made: list[list] = [[] for _ in _CONTEXT_TYPES]
+            asked = batch.column(3)
+            ends = asked.offsets.to_pylist()
+            kind, start, stop, other, o_hash, o_start, o_stop, left, right = (f.to_pylist() for f in asked.values.flatten())
+            for k, (key, text_hash, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))):
+                # rows that repeat id and text lie next to each other
+                if (key, text_hash) == last:
+                    continue
+                last = key, text_hash
                 t = text.as_py()
-                starts = np.array([m.start() for m in _WORD.finditer(t)], np.int64)
-                for q in asked.as_py():
-                    a, b = q["start"], q["stop"]
+                words = [m.start() for m in _WORD.finditer(t)]
+                for q in range(ends[k], ends[k + 1]):
+                    a, b = start[q], stop[q]
                     low, high = max(0, a - reach), min(len(t), b + reach)
-                    sides = {"before": t[low:a] if q["left"] else "", "after": t[b:high] if q["right"] else ""}
-                    words = {"first": int(np.searchsorted(starts, a)), "last": int(np.searchsorted(starts, b))}
-                    # whether there is more text than this
-                    made.append({"id": key.as_py(), "text_hash": text_hash.as_py(), **q, **words, **sides, "left": q["left"] and low > 0, "right": q["right"] and high < len(t)})
-            yield pa.RecordBatch.from_pylist(made, schema=schema)
+                    row = (
+                        key, text_hash, kind[q], a, b, other[q], o_hash[q], o_start[q], o_stop[q], bisect_left(words, a), bisect_left(words, b),
+                        t[low:a] if left[q] else "", t[b:high] if right[q] else "", left[q] and low > 0, right[q] and high < len(t),  # more text than this
+                    )
+                    for column, value in zip(made, row):
+                        column.append(value)
+            yield _columns(made, _CONTEXT_TYPES, _CONTEXT)
 
     return run
 
 
-def _agree(mine: list[re.Match], other: list[re.Match]) -> int:
+def _agree(mine: list[str], other: list[str]) -> int:
     n = 0
     for a, b in zip(mine, other):
-        if a.group().lower() != b.group().lower():
+        if a != b and a.lower() != b.lower():
             break
         n += 1
     return n
@@ -211,34 +309,44 @@ def _agree(mine: list[re.Match], other: list[re.Match]) -> int:
 def _side(mine: str, other: str, more: tuple[bool, bool], back: bool) -> tuple[int, int, int, bool]:
     """(words, characters of mine, of the other, go on) that agree next to a
     run. Where a text goes on, its outermost word may be cut and waits."""
-    found = []
+    found, sizes = [], []
     for text, cut in zip((mine, other), more):
-        words = list(_WORD.finditer(text))
-        words = words[::-1] if back else words
+        words = text.split()
+        sizes.append(len(words))
+        if back:
+            words.reverse()
         found.append(words[:-1] if cut else words)
     n = _agree(*found)
-    if not n:
-        reach = [0, 0]
-    elif back:
-        reach = [len(text) - w[n - 1].start() for text, w in zip((mine, other), found)]
-    else:
-        reach = [w[n - 1].end() for w in found]
+    reach = [0, 0]
+    if n:
+        for k, text in enumerate((mine, other)):
+            # the outermost word that agrees, counted from the text's beginning
+            m = next(islice(_WORD.finditer(text), sizes[k] - n if back else n - 1, None))
+            reach[k] = len(text) - m.start() if back else m.end()
     # an end that was not seen yet, and no word that differs
     return n, *reach, any(cut and n == len(w) for cut, w in zip(more, found)) and all(cut or n < len(w) for cut, w in zip(more, found))
 
 
+_RUN_TYPES = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.bool_()] * 2
+
+
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in _RUN.split(", ")]
-    types = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.bool_()] * 2
+    asked = ["before", "o_before", "after", "o_after", "left", "o_left", "right", "o_right"]
     for batch in batches:
-        made = []
-        for r in batch.to_pylist():
-            left = _side(r["before"], r["o_before"], (r["left"], r["o_left"]), True)
-            right = _side(r["after"], r["o_after"], (r["right"], r["o_right"]), False)
-            r |= {"start": r["start"] - left[1], "o_start": r["o_start"] - left[2], "first": r["first"] - left[0], "left": left[3]}
-            r |= {"stop": r["stop"] + right[1], "o_stop": r["o_stop"] + right[2], "last": r["last"] + right[0], "right": right[3]}
-            made.append({c: r[c] for c in names})
-        yield pa.RecordBatch.from_pylist(made, schema=pa.schema(list(zip(names, types))))
+        now = {c: batch.column(c).to_pylist() for c in [*names, *asked]}
+        for k, (before, o_before, after, o_after, left, o_left, right, o_right) in enumerate(zip(*(now[c] for c in asked))):
+            n, mine, theirs, go_on = _side(before, o_before, (left, o_left), True)
+            now["start"][k] -= mine
+            now["o_start"][k] -= theirs
+            now["first"][k] -= n
+            now["left"][k] = go_on
+            n, mine, theirs, go_on = _side(after, o_after, (right, o_right), False)
+            now["stop"][k] += mine
+            now["o_stop"][k] += theirs
+            now["last"][k] += n
+            now["right"][k] = go_on
+        yield _columns([now[c] for c in names], _RUN_TYPES, _RUN)
 
 
 def _merged(spans: list[tuple]) -> list[list]:
@@ -273,21 +381,12 @@ def extended_passages(docs: DataFrame, min_words: int = 25, id_col: str = "doc_i
     the text of their earlier occurrence agrees, and count from ``min_words``
     on; repeated whole lines and paragraphs count whatever their length. A
     passage that holds no whole clause of the earlier text is not found."""
-    marks = shared_table(_marks(docs, id_col, text_col, "clause", True), "marks")
-    run = F.col("seq") - F.row_number().over(Window.partitionBy("id", "text_hash").orderBy("seq"))  # one document's units
-    runs = marks.where(F.col("seq") < WHOLE).withColumn("run", run).groupBy("id", "text_hash", "run").agg(
-        F.sum("words").alias("words"), F.min("start").alias("start"), F.max("stop").alias("stop"),
-        F.min(F.struct("seq", "earlier", "e_hash", "e_start", "e_stop")).alias("a"), F.max(F.struct("seq", "earlier", "e_hash", "e_start", "e_stop")).alias("b"),
-    ).where(F.col("words") >= SEED_WORDS)
+    marks = _raw_marks(docs, id_col, text_col, "clause", True).select("id", "text_hash", "seq", "start", "stop", "words", "earlier", "e_hash", "e_start", "e_stop")
+    asked = marks.repartition("id", "text_hash").sortWithinPartitions("id", "text_hash", "seq", "earlier", "e_hash", "e_start", "e_stop").mapInArrow(_asks, _ASK)
+    asked = shared_table(asked, "asked")
     yes, no = F.lit(True), F.lit(False)
-    # the two ends may have their earlier occurrences in different texts
-    together = (F.col("a.earlier") == F.col("b.earlier")) & (F.col("a.e_hash") == F.col("b.e_hash"))
-    one = lambda end, left, right: F.struct(F.col(f"{end}.earlier").alias("other"), F.col(f"{end}.e_hash").alias("o_hash"), F.col("a.e_start" if left is yes else f"{end}.e_start").alias("o_start"), F.col("b.e_stop" if right is yes else f"{end}.e_stop").alias("o_stop"), left.alias("left"), right.alias("right"))
-    ends = F.when(together, F.array(one("a", yes, yes))).otherwise(F.array(one("a", yes, no), one("b", no, yes)))
-    asked = runs.select("id", "text_hash", F.lit(0).alias("kind"), "start", "stop", F.explode(ends).alias("o")).select("id", "text_hash", "kind", "start", "stop", "o.*")
-    whole = marks.where(F.col("seq") >= WHOLE).select("id", "text_hash", F.lit(2).alias("kind"), "start", "stop", F.col("earlier").alias("other"), F.col("e_hash").alias("o_hash"), F.col("e_start").alias("o_start"), F.col("e_stop").alias("o_stop"), no.alias("left"), no.alias("right"))
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    open_runs, done, reach = asked.unionByName(whole), [], REACH
+    open_runs, done, reach = asked, [], REACH
     while True:
         mine = open_runs.where("kind = 0")
         theirs = mine.select(F.col("other").alias("id"), F.col("o_hash").alias("text_hash"), F.col("o_start").alias("start"), F.col("o_stop").alias("stop"), "left", "right").distinct()
@@ -295,7 +394,10 @@ def extended_passages(docs: DataFrame, min_words: int = 25, id_col: str = "doc_i
             theirs = theirs.withColumn(c, t)
         fields = ["kind", "start", "stop", "other", "o_hash", "o_start", "o_stop", "left", "right"]
         wanted = open_runs.unionByName(theirs).groupBy("id", "text_hash").agg(F.collect_set(F.struct(*fields)).cast(_ASKED).alias("asked"))
-        rows = texts.join(wanted, ["id", "text_hash"]).select("id", "text_hash", "text", "asked")
+        wanted = shared_table(wanted, "wanted")
+        # the texts that nothing is asked of stay where they are
+        few = texts.join(F.broadcast(wanted.select("id", "text_hash")), ["id", "text_hash"], "left_semi") if wanted.count() <= BROADCAST_IDS else texts
+        rows = few.hint("merge").join(wanted, ["id", "text_hash"]).select("id", "text_hash", "text", "asked").sortWithinPartitions("id", "text_hash")
         found = shared_table(rows.mapInArrow(_contexts(reach), _CONTEXT), "contexts")
         done.append(found.where("kind = 2").select("id", "text_hash", "first", "last", "start", "stop", "other", yes.alias("whole")))
         # the sides that were asked for tell places apart; both texts hold them
