@@ -20,6 +20,7 @@ is passed through (null stays null); other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -63,6 +64,8 @@ NOTICES = {
     "all rights reserved": "reserved",
 }
 EDIT_CHARS = 10
+#: Notices' lengths that are searched at once.
+_PIECE = 8
 
 _SEPARATE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 _SEPARATE = _SEPARATE.translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256)))
@@ -127,9 +130,10 @@ class Scanner:
         """(word number, label) of every place of every phrase."""
         places = []
         for phrase, label in self.phrases:
-            at = words.find(phrase)
+            at, n, counted = words.find(phrase), 0, 0
             while at >= 0:
-                places.append((words.count(b" ", 0, at), label))
+                n, counted = n + words.count(b" ", counted, at), at
+                places.append((n, label))
                 at = words.find(phrase, at + 1)
         return places
 
@@ -153,8 +157,22 @@ class Scanner:
         return found
 
     def places(self, k: int, words: str, a: int, b: int) -> Iterator[tuple[int, int, int]]:
-        """(start, stop, edits) of a notice's places in a stretch: the best
-        match, then those before and behind it."""
+        """(start, stop, edits) of a notice's places in a stretch, however
+        long: it is read from left to right in pieces of ``_PIECE`` notices.
+        What ends in the last notice's length of a piece might go on or be
+        beaten behind it, and is searched again with the next piece."""
+        size = len(self.notices[k].text) + 2 * self.notices[k].edits
+        while b - a > _PIECE * size:
+            sure, done = a + (_PIECE - 1) * size, a
+            for start, stop, edits in self._best_first(k, words, a, a + _PIECE * size):
+                if stop <= sure:
+                    yield start, stop, edits
+                    done = max(done, stop)
+            a = max(done, sure - size)
+        yield from self._best_first(k, words, a, b)
+
+    def _best_first(self, k: int, words: str, a: int, b: int) -> Iterator[tuple[int, int, int]]:
+        """The best match of a stretch, then those before and behind it."""
         stretches = [(a, b)]
         while stretches:
             a, b = stretches.pop()
@@ -169,18 +187,31 @@ class Scanner:
 
     def fuzzy(self, words: str) -> list[tuple[str, int, int, int, float]]:
         """(label, first word, last word, edits, similarity) of every notice."""
+        found = [(k, *place) for k, windows in sorted(self.windows(words).items()) for a, b in windows for place in self.places(k, words, a, b)]
+        if not found:
+            return []
+        spaces = [m.start() for m in re.finditer(" ", words)]
         spans = []
-        for k, windows in sorted(self.windows(words).items()):
+        for k, start, stop, edits in found:
             n = self.notices[k]
-            for a, b in windows:
-                for start, stop, edits in self.places(k, words, a, b):
-                    first, last = words.count(" ", 0, start + 1) - 1, words.count(" ", 0, stop) - 1
-                    spans.append((n.label, first, last, edits, 1 - edits / len(n.text), k))
-        meet = lambda s, o: o[1] <= s[2] and s[1] <= o[2]
+            spans.append((n.label, bisect_left(spaces, start + 1) - 1, bisect_left(spaces, stop) - 1, edits, 1 - edits / len(n.text), k))
         # a notice that goes on as a longer one is that one; of others that claim the same words, the nearest has them
-        whole = [s for s in spans if not any(self.longer[s[5]][o[5]] and meet(s, o) for o in spans)]
-        best = [s[:5] for s in whole if not any(meet(s, o) and o[4] > s[4] for o in whole)]
-        return sorted(best, key=lambda s: s[1:3])
+        whole = [s for s, near in _meeting(spans) if not any(self.longer[s[5]][o[5]] for o in near)]
+        return [s[:5] for s, near in _meeting(whole) if not any(o[4] > s[4] for o in near)]
+
+
+def _meeting(spans: list[tuple]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Each span, by its first word, with those that share a word with it."""
+    spans = sorted(spans, key=lambda s: s[1:3])
+    reach = max((s[2] - s[1] for s in spans), default=0)
+    low = 0
+    for i, s in enumerate(spans):
+        while spans[low][1] < s[1] - reach:
+            low += 1
+        high = i
+        while high < len(spans) and spans[high][1] <= s[2]:
+            high += 1
+        yield s, [o for o in spans[low:high] if o is not s and o[2] >= s[1]]
 
 
 @lru_cache(maxsize=2)

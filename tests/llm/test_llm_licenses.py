@@ -99,3 +99,23 @@ def test_notices_that_differ_by_few_letters_are_told_apart(text, labels):
 
 def test_empty_table(empty):
     assert licenses.license_report(licenses.scan_licenses(empty)).count() == 0
+
+
+def test_long_texts_full_of_notices_are_scanned_in_linear_time():
+    import time
+
+    scan = licenses.scanner(tuple(licenses.PHRASES.items()), tuple(licenses.NOTICES.items()), licenses.EDIT_CHARS)
+    notice = max((t for t in licenses.NOTICES), key=len).replace("[", "").replace("]", "")
+    one = f"{notice} all rights reserved released under the mit license "
+    took = []
+    for copies in (400, 1600):
+        words = licenses.words_of(one * copies)
+        began = time.process_time()
+        found, exact = scan.fuzzy(words.decode()), scan.exact(words)
+        took.append(time.process_time() - began)
+        alone = scan.fuzzy(licenses.words_of(one).decode())
+        n = len(licenses.words_of(one).split())
+        assert [s[:3] for s in found] == [(label, first + n * k, last + n * k) for k in range(copies) for label, first, last, *_ in alone]
+        assert len(exact) == copies * len(scan.exact(licenses.words_of(one)))
+    assert took[1] < 8 * took[0] + 1
+
