@@ -55,10 +55,36 @@ def test_run_equals_its_stages_one_by_one(llm_spark):
     assert {r.doc_id for r in P.run(llm_spark, SF).select("doc_id").collect()} == clean
 
 
+def test_edge_rows_of_every_stage(llm_spark):
+    """Null, empty, blank, long and repeated texts, null and repeated ids, and
+    columns that the stages do not know, alone and as an empty table."""
+    import corpus_pipeline as P
+
+    labelled = llm_spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1")
+    t = [r.text for r in llm_spark.read.parquet(f"{SF}/documents.parquet").join(labelled, "doc_id").orderBy("doc_id").limit(3).collect()]
+    item = llm_spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, None), (1, None), (2, ""), (3, " \t\n"), (4, t[0]), (4, t[0]), (5, t[0]), (None, t[1]), (7, t[2] * 40), (8, "ok"), (9, f"before {item} behind")]
+    docs = llm_spark.createDataFrame([(i, x, "en", "web", len(x or ""), "a", "b", "c") for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long, row string, label string, key string").repartition(3)
+    gone = {"quality": [], "line_dedup": ["5"], "near_duplicates": ["4", "5"], "decontamination": ["9"]}
+    for name, stage in P.STAGES[:-1]:
+        out = stage(llm_spark, docs, SF)
+        assert out.columns == P.COLUMNS
+        kept = sorted(str(r.doc_id) for r in out.collect())
+        want = sorted(str(i) for i, _ in rows)
+        for i in gone[name]:
+            want.remove(i)
+        assert kept == want, name
+        assert stage(llm_spark, docs.limit(0), SF).count() == 0
+    packed = P.STAGES[-1][1](llm_spark, docs, SF).collect()
+    assert sorted({str(r.doc_id) for r in packed}) == sorted({str(i) for i, _ in rows})
+    assert sum(r.piece == 0 for r in packed) == len(rows)
+    assert P.STAGES[-1][1](llm_spark, docs.limit(0), SF).count() == 0
+
+
 def test_every_operator_has_a_query():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
 
