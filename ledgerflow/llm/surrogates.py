@@ -5,12 +5,16 @@ A surrogate is derived from a secret key and the entity's canonical value, so
 every mention of an entity, in whatever layout and document, gets the same one
 (coreference), written in that mention's own layout. Names keep their script
 and the gender that their title tells; given and family names are entities of
-their own, so "Frau Anna Berg" and "Frau Berg" still belong together.
+their own, so "Frau Anna Berg" and "Frau Berg" still belong together. A full
+name that a title stands before anywhere in a text is an entity without title
+in that text too, and of the gender that any of its titles tells. Phone numbers
+with a country code other than 1 are told apart by it.
 
 Distinctness is checked, not hoped for: the corpus' distinct entities draw
 surrogates in rounds, a surrogate that two entities drew, that was given
 before, or that is itself an entity of the corpus goes to nobody but the
-smallest drawer (to no one in the last case), and the losers draw again.
+smallest drawer (to no one in the last case), and the losers draw again. Where
+a format has no free values left, later rounds draw longer ones.
 Entities are counted down by a partial aggregation before any of this, so a
 hot entity is one row; the mentions get their surrogates by one equi-join.
 
@@ -27,6 +31,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import pandas as pd
 import pyarrow as pa
@@ -55,6 +60,7 @@ PATTERNS = {
 }
 #: What a text must hold for a pattern to be worth a look.
 _HINT = {"email": "@", "access_key": "IA", "ip": ".", "ssn": "-"}
+#: Rounds of draws in an entity's own format; later ones are longer.
 ROUNDS = 40
 
 
@@ -87,6 +93,7 @@ def mentions_of(text: str) -> list[tuple[int, int, str, str, str]]:
     ``entity`` is the canonical value that all layouts of it share."""
     found: list[tuple[int, int, str, str, str]] = []
     taken: list[tuple[int, int]] = []
+    people: list[tuple[int, str, str]] = []
     digits = any(c in text for c in "0123456789")
     for kind, pattern in _compiled().items():
         if (h := _HINT.get(kind)) and h not in text or not digits and kind in ("iban", "card", "ssn", "ip", "phone"):
@@ -103,24 +110,40 @@ def mentions_of(text: str) -> list[tuple[int, int, str, str, str]]:
                 continue
             taken.append((a, b))
             if kind == "person":
-                gender = "m" if m.group("m") else "f" if m.group("f") else "u"
-                words = list(re.finditer(r"\S+", raw))
-                for k, w in enumerate(words):
-                    part = "family" if k == len(words) - 1 else f"given_{gender}"
-                    tail = "_f" if part == "family" and gender == "f" and script_of(w.group()) == "CYRILLIC" else ""
-                    found.append((a + w.start(), a + w.end(), part + tail, w.group().casefold(), w.group()))
+                people.append((a, raw, "m" if m.group("m") else "f" if m.group("f") else "u"))
                 continue
             entity = raw
             if kind == "email":
                 entity = raw.lower()
-            elif kind == "phone":  # with or without its country code
-                entity = plain[len(_country_code(raw)) :]
+            elif kind == "phone":  # with or without the country code 1
+                code = _country_code(raw)
+                entity = plain[len(code) :] if code in ("", "1") else f"+{code} {plain[len(code) :]}"
             elif kind in ("card", "ssn"):
                 entity = plain
             elif kind == "iban":
                 entity = raw.replace(" ", "")
             found.append((a, b, kind, entity, raw))
-    return sorted(found)
+    return sorted(found + _named(text, people, taken))
+
+
+def _named(text: str, people: list[tuple[int, str, str]], taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str, str]]:
+    """The parts of the titled names (start, name, gender), and of the same full
+    names where they stand without a title."""
+    gender = {raw.casefold(): g for _, raw, g in sorted(people, key=lambda p: p[2] == "u", reverse=True)}
+    full = sorted({raw for _, raw, _ in people if " " in raw}, key=len, reverse=True)
+    if full:
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, full))})(?!\w)", text):
+            if not any(m.start() < d and c < m.end() for c, d in taken):
+                people.append((m.start(), m.group(), "u"))
+    parts = []
+    for a, raw, _ in people:
+        known = gender[raw.casefold()]
+        words = list(re.finditer(r"\S+", raw))
+        for k, w in enumerate(words):
+            part = "family" if k == len(words) - 1 else f"given_{known}"
+            tail = "_f" if part == "family" and known == "f" and script_of(w.group()) == "CYRILLIC" else ""
+            parts.append((a + w.start(), a + w.end(), part + tail, w.group().casefold(), w.group()))
+    return parts
 
 
 #: Syllables of invented names, by script; and endings by gender.
@@ -159,12 +182,19 @@ class _Draw:
 
 
 def draw(key: bytes, kind: str, entity: str, attempt: int) -> str:
-    """The canonical surrogate of an entity at this attempt."""
+    """The canonical surrogate of an entity at this attempt; from ``ROUNDS`` on
+    it is longer than the entity."""
+    if attempt >= ROUNDS and not kind.startswith(("given", "family", "ip")):
+        more = 1 + (attempt - ROUNDS) // 4
+        entity = entity[:1] * more + entity if kind == "email" else entity + entity[-1:] * more
     d = _Draw(key, kind, entity, attempt)
     if kind == "email":
         local, _, domain = entity.rpartition("@")
         host, _, top = domain.rpartition(".")
         return "".join(map(d.char, local)) + "@" + "".join(map(d.char, host)) + "." + top
+    if kind == "phone" and entity.startswith("+"):  # the country code stays
+        code, _, number = entity.partition(" ")
+        return f"{code} " + "".join(map(d.char, number))
     if kind == "phone":
         return (entity[0] if entity[0] in "01" else str(2 + d.below(8))) + "".join(map(d.char, entity[1:]))
     if kind == "ip":
@@ -195,12 +225,12 @@ def written(kind: str, raw: str, surrogate: str) -> str:
     """The surrogate in the layout of the mention ``raw``."""
     if kind.startswith(("given", "family")):
         return surrogate.upper() if raw.isupper() and len(raw) > 1 else "-".join(p[:1].upper() + p[1:] for p in surrogate.split("-"))
-    if kind == "phone":
+    if kind == "phone" and not surrogate.startswith("+"):
         surrogate = _country_code(raw) + surrogate
     if kind in ("phone", "card", "ssn", "iban"):
         rest = iter(c for c in surrogate if c.isalnum())
-        return "".join(next(rest) if c.isalnum() else c for c in raw)
-    if kind == "email":
+        return "".join(next(rest) if c.isalnum() else c for c in raw) + "".join(rest)
+    if kind == "email" and len(raw) == len(surrogate):
         return "".join(s.upper() if c.isupper() else s for c, s in zip(raw, surrogate))
     return surrogate
 
@@ -235,7 +265,7 @@ def assign_surrogates(mentions: DataFrame, key: bytes) -> DataFrame:
 
     real = entities.withColumnRenamed("entity", "surrogate")
     done, waiting = None, entities
-    for attempt in range(ROUNDS):
+    for attempt in count():
         tried = waiting.withColumn("surrogate", drawer(attempt)).join(real, ["type", "surrogate"], "left_anti")
         if done is not None:
             tried = tried.join(done.select("type", "surrogate"), ["type", "surrogate"], "left_anti")
@@ -244,7 +274,6 @@ def assign_surrogates(mentions: DataFrame, key: bytes) -> DataFrame:
         waiting = shared_table(waiting.join(won, ["type", "entity"], "left_anti"), "waiting")
         if waiting.isEmpty():
             return done
-    raise ValueError(f"no free surrogates of the types {[r['type'] for r in waiting.select('type').distinct().limit(20).collect()]}")
 
 
 @F.pandas_udf(StringType())

@@ -87,3 +87,48 @@ def test_replaced_documents(llm_spark):
 
 def test_empty_table(empty):
     assert S.replace_entities(empty, KEY).count() == 0
+
+
+def test_names_are_one_entity_with_and_without_title():
+    text = "Frau Anna Berg called. Anna Berg left, ANNA Berg too. Dr Anna Berg came. Mr Otto Berg and Anna Bergman. Prof Kim Lee, Kim Lee."
+    found = S.mentions_of(text)
+    assert [(m[2], m[4]) for m in found] == [
+        ("given_f", "Anna"), ("family", "Berg"), ("given_f", "Anna"), ("family", "Berg"), ("given_f", "Anna"), ("family", "Berg"),
+        ("given_m", "Otto"), ("family", "Berg"), ("given_u", "Kim"), ("family", "Lee"), ("given_u", "Kim"), ("family", "Lee"),
+    ]
+    assert all(text[a:b] == raw for a, b, *_, raw in found)
+
+
+def test_phone_numbers_of_two_countries_are_two_entities():
+    texts = ["+49 30 123 4567", "+1 30 123 4567", "+49-30-1234567", "+44 30 123 4567"]
+    one, other, same, third = (S.mentions_of(f"call {t} now")[0] for t in texts)
+    assert one[3] == same[3] and len({one[3], other[3], third[3]}) == 3
+    for m, t in zip((one, other, third), (texts[0], texts[1], texts[3])):
+        new = S.written("phone", m[4], S.draw(KEY, "phone", m[3], 0))
+        assert new != t and new[:3] == t[:3] and [c.isdigit() for c in new] == [c.isdigit() for c in t]
+
+
+def test_formats_without_free_values_grow(llm_spark, monkeypatch):
+    real = S.draw
+    monkeypatch.setattr(S, "ROUNDS", 2)
+    monkeypatch.setattr(S, "draw", lambda key, kind, entity, attempt: "taken" if attempt < 2 else real(key, kind, entity, attempt))
+    rows = [(i, f"SSN 078-05-{1000 + i} or user{i}@x.org or password={'abcdefgh' + str(i)}") for i in range(12)]
+    docs = make_docs(llm_spark, rows)
+    got = S.assign_surrogates(S.find_mentions(docs), KEY).collect()
+    assert len(got) == 36 and len({(r.type, r.surrogate) for r in got}) == 36
+    assert sum(len(r.surrogate) > len(r.entity) for r in got) >= 33
+    assert S.written("ssn", "078-05-1000", "1234567890") == "123-45-67890"
+
+
+def test_replacement_equals_brute_force(llm_spark):
+    """Every mention, found text by text, is cut out and replaced by hand."""
+    rows = mails(60) + [(200 + i, f"{TEXT} Dr Anna Berg met Anna Berg. +49 30 123 456{i}") for i in range(8)]
+    docs = make_docs(llm_spark, rows)
+    given = {(r.type, r.entity): r.surrogate for r in S.assign_surrogates(S.find_mentions(docs), KEY).collect()}
+    want = {}
+    for i, text in rows:
+        out, at = "", 0
+        for a, b, kind, entity, raw in S.mentions_of(text):
+            out, at = out + text[at:a] + S.written(kind, raw, given[kind, entity]), b
+        want[i] = out + text[at:]
+    assert {r.doc_id: r.text for r in S.replace_entities(docs, KEY).collect()} == want
