@@ -56,13 +56,39 @@ BROADCAST_LABELS = 100_000
 _SALTS = 32
 
 
-def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact squared distances of the rows of ``a`` to those of ``b``."""
-    most = max(int(np.abs(a).max(initial=0)), int(np.abs(b).max(initial=0)))
-    if 4 * most * most * max(1, a.shape[1]) < 1 << 53:  # every step is exact in a double
-        a, b = a.astype(np.float64), b.astype(np.float64)
-    d = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T)
-    return d.astype(np.int64)
+def _kind(most: int, width: int) -> type:
+    """Doubles where every step of a squared distance is exact in them, which
+    the integers of usual vectors are; else 64-bit integers."""
+    return np.float64 if 4 * most * most * max(1, width) < 1 << 53 else np.int64
+
+
+def _squared(a: np.ndarray, b: np.ndarray, a2: np.ndarray, b2: np.ndarray) -> np.ndarray:
+    """Exact squared distances of the rows of ``a`` to those of ``b``, given
+    their squared lengths."""
+    return a2[:, None] + b2[None, :] - 2 * (a @ b.T)
+
+
+class _Search:
+    """Queries on their walk through a tree, with the best found so far."""
+
+    def __init__(self, queries: np.ndarray, entries: np.ndarray) -> None:
+        most = max(int(np.abs(queries).max(initial=0)), int(np.abs(entries).max(initial=0)))
+        kind = _kind(most, queries.shape[1])
+        self.queries, self.entries = queries.astype(kind), entries.astype(kind)
+        self.q2, self.e2 = ((x * x).sum(axis=1) for x in (self.queries, self.entries))
+        self.best = np.full(len(queries), np.finfo(kind).max if kind is np.float64 else np.iinfo(kind).max, kind)
+        self.index = np.full(len(queries), len(entries))
+
+    def offer(self, rows: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Compare ``rows`` of the queries with the entries ``which`` (in
+        ascending order), exactly; returns the squared distances."""
+        d = _squared(self.queries[rows], self.entries[which], self.q2[rows], self.e2[which])
+        k = d.argmin(axis=1)  # the lowest index of the nearest
+        found, name = d[np.arange(len(rows)), k], which[k]
+        best, index = self.best[rows], self.index[rows]
+        better = (found < best) | (found == best) & (name < index)
+        self.best[rows[better]], self.index[rows[better]] = found[better], name[better]
+        return d
 
 
 @dataclass
@@ -82,7 +108,8 @@ class Gnat:
         node = cls(entries, members)
         if len(members) <= LEAF:
             return node
-        d = _squared(entries[members], entries[members])
+        s = _Search(entries[members], entries[members])
+        d = _squared(s.queries, s.entries, s.q2, s.e2)
         chosen = [0]  # then always the entry farthest from those chosen
         near = d[0].copy()
         while len(chosen) < SPLITS and near.max() > 0:
@@ -90,6 +117,7 @@ class Gnat:
             near = np.minimum(near, d[chosen[-1]])
         if len(chosen) < 2:  # equal entries alone
             return node
+        chosen.sort()
         home = d[:, chosen].argmin(axis=1)
         home[chosen] = np.arange(len(chosen))
         real = np.sqrt(d[chosen].astype(np.float64))
@@ -106,45 +134,37 @@ class Gnat:
                 node.greatest[:, j] = real[:, mine].max(axis=1) * (1 + _SLACK)
         return node
 
-    def _offer(self, queries: np.ndarray, rows: np.ndarray, which: np.ndarray, best: np.ndarray, index: np.ndarray) -> np.ndarray:
-        """Compare ``rows`` of the queries with the entries ``which``, exactly."""
-        d = _squared(queries[rows], self.entries[which])
-        order = np.argsort(which, kind="stable")
-        k = order[d[:, order].argmin(axis=1)]  # the lowest index of the nearest
-        found, name = d[np.arange(len(rows)), k], which[k]
-        better = (found < best[rows]) | (found == best[rows]) & (name < index[rows])
-        best[rows[better]], index[rows[better]] = found[better], name[better]
-        return d
-
-    def _walk(self, queries: np.ndarray, rows: np.ndarray, best: np.ndarray, index: np.ndarray) -> None:
+    def _walk(self, s: _Search, rows: np.ndarray) -> None:
         if not self.children:
-            self._offer(queries, rows, self.members, best, index)
+            s.offer(rows, self.members)
             return
-        d = self._offer(queries, rows, self.splits, best, index)
-        real = np.sqrt(d.astype(np.float64))
+        d = s.offer(rows, self.splits)
+        real = np.sqrt(d, dtype=np.float64)
         low, high = real * (1 - _SLACK), real * (1 + _SLACK)
         # the bound of every subtree: the largest that any split gives
-        bound = np.zeros((len(rows), len(self.children)))
+        bound = np.zeros((len(self.children), len(rows)))
         for i in range(len(self.splits)):
-            np.maximum(bound, np.maximum(low[:, i : i + 1] - self.greatest[i], self.least[i] - high[:, i : i + 1]), out=bound)
+            for j, child in enumerate(self.children):
+                if child is not None:
+                    np.maximum(bound[j], low[:, i] - self.greatest[i, j], out=bound[j])
+                    np.maximum(bound[j], self.least[i, j] - high[:, i], out=bound[j])
         home = d.argmin(axis=1)
         # the nearest split's subtree first: it tightens the best distance
         for first in (True, False):
             for j, child in enumerate(self.children):
                 if child is None:
                     continue
-                todo = (home == j) if first else (home != j)
-                todo &= bound[:, j] <= np.sqrt(best[rows].astype(np.float64)) * (1 + _SLACK)
-                if todo.any():
-                    child._walk(queries, rows[todo], best, index)
+                todo = np.flatnonzero((home == j) if first else (home != j))
+                todo = todo[bound[j][todo] <= np.sqrt(s.best[rows[todo]], dtype=np.float64) * (1 + _SLACK)]
+                if len(todo):
+                    child._walk(s, rows[todo])
 
     def nearest(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of each query's nearest entry, and its squared distance."""
-        best = np.full(len(queries), np.iinfo(np.int64).max)
-        index = np.full(len(queries), len(self.entries))
+        s = _Search(queries, self.entries)
         if len(queries):
-            self._walk(queries, np.arange(len(queries)), best, index)
-        return index, best
+            self._walk(s, np.arange(len(queries)))
+        return s.index, s.best.astype(np.int64)
 
 
 def _integers(batches: Iterator[pa.RecordBatch], scale: int, length: int) -> Iterator[pa.RecordBatch]:
