@@ -45,7 +45,7 @@ from ledgerflow.plans.increment import refresh_schedule
 from ledgerflow.plans.publish import Publication
 from ledgerflow.plans.seen import SeenRows
 from ledgerflow.plans.tables import JdbcTables, LakeTables, pending_rows
-from ledgerflow.session import sized_shuffle
+from ledgerflow.session import sized_shuffle, small_tasks
 from ledgerflow.sources import read_csv, read_csv_checked, string_schema, typed_schema, write_csv
 from ledgerflow.sources.files import LINE, ORIGIN, malformed_lines
 
@@ -304,7 +304,9 @@ def publish_quarantine(v: Validation, folder: str) -> dict[str, int]:
     obs = Observation("verdicts")
     rows = with_verdict(v)
     rows = rows.observe(obs, *[F.count_if(F.col("verdict") == k).alias(k) for k in (ACCEPTED, REJECTED, BOTH, MALFORMED)])
-    rows.write.partitionBy("verdict").parquet(f"{folder}/rows")
+    # the grouping, and the sort by verdict behind it, hold a task's rows in memory
+    with small_tasks(spark, v.annotated):
+        rows.write.partitionBy("verdict").parquet(f"{folder}/rows")
     back = spark.read.schema(rows.schema).parquet(f"{folder}/rows")
     write_csv(back.where(F.col("verdict").isin(REJECTED, BOTH)).select(*v.columns, v.reasons_col), f"{folder}/rejected", sep=";", header=True)
     n = obs.get

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerflow.operators import check_unique, rule_duplicated, rule_in_lookup, upsert_snapshot, validate
+from ledgerflow.operators import check_unique, rule_duplicated, rule_expr, rule_in_lookup, upsert_snapshot, validate
 
 
 def shuffle_records_per_partition(df):
@@ -69,6 +69,46 @@ def test_sized_shuffle_sets_and_restores_initial_partitions(spark):
     assert spark.conf.get(key, None) is None
 
 
+def test_published_quarantine_task_holds_few_rows(spark, tmp_path, monkeypatch):
+    from ledgerflow import session
+    from ledgerflow.plans.jobs import publish_quarantine
+
+    monkeypatch.setattr(session, "TASK_BYTES", 1024 * 1024, raising=False)
+    n = 600_000
+    rows = spark.range(0, n, numPartitions=8).select("id", (F.col("id") % 7).alias("code"), F.xxhash64("id").alias("v"))
+    rows.union(rows.where("id % 10 = 0")).write.parquet(str(tmp_path / "in"))
+    v = validate(spark.read.parquet(str(tmp_path / "in")), [rule_duplicated(), rule_expr(F.col("code") == 3, "code 3")])
+    before = spark.conf.getAll
+    stats = publish_quarantine(v, str(tmp_path / "out"))
+    assert spark.conf.getAll == before
+    assert stats == {"written": v.accepted.count(), "rejected": v.rejected.count()}
+    back = spark.read.parquet(str(tmp_path / "out/rows"))
+    assert back.count() == back.select("id").distinct().count() == n
+    # a task's rows of one verdict are one file
+    per_task = back.groupBy(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)).count().agg(F.max("count")).first()[0]
+    assert per_task < n / 8
+
+
+def test_small_tasks_sizes(spark, tmp_path):
+    from ledgerflow.session import small_tasks
+
+    split, advisory, parts = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.range(100_000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    # the sides of a join count once each, not as their product
+    with small_tasks(spark, df.join(df.withColumnRenamed("id", "k"), F.col("id") == F.col("k")), task_bytes=65536, max_tasks=20) as n:
+        assert n == 20 and int(spark.conf.get(split)) < 1_000_000
+    spark.conf.set(split, "1000b")
+    spark.conf.set(parts, "70")
+    try:
+        with small_tasks(spark, df, task_bytes=65536) as n:
+            assert n >= 70 and int(spark.conf.get(split)) == 1000 and int(spark.conf.get(advisory)) == 65536
+        assert spark.conf.get(split) == "1000b" and spark.conf.get(parts) == "70"
+    finally:
+        spark.conf.set(split, "128MB")
+        spark.conf.unset(parts)
+
+
 def test_a_side_of_much_text_is_not_broadcast(spark):
     # 100,000 rows of 20 KB: few rows, but the optimizer and AQE go by bytes
     from ledgerflow.operators import lookup_join
